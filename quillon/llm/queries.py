@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from quillon.llm import quality
+from quillon.llm import chat, decontam, line_dedup, mixing, pii, quality
 
 QUERIES = {
+    "op1_pii": pii.query,
+    "op2_mixing": mixing.query,
+    "op4_line_dedup": line_dedup.query,
     "op6_quality_rules": quality.query,
+    "op7_decontamination": decontam.query,
+    "op10_chat_formatting": chat.query,
 }
 
 ORACLES = {
+    "op2_mixing": mixing.ORACLE_SQL,
+    "op4_line_dedup": line_dedup.ORACLE_SQL,
     "op6_quality_rules": quality.ORACLE_SQL,
+    "op7_decontamination": decontam.ORACLE_SQL,
+    "op10_chat_formatting": chat.ORACLE_SQL,
 }
