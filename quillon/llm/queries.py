@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from quillon.llm import chat, decontam, line_dedup, mixing, pii, quality
+from quillon.llm import chat, decontam, langid, line_dedup, lm_score, mixing, ngram_join, pii, quality, token_files
 
 QUERIES = {
     "op1_pii": pii.query,
     "op2_mixing": mixing.query,
+    "op3_ngram_jaccard": ngram_join.query,
     "op4_line_dedup": line_dedup.query,
+    "op5_lm_scoring": lm_score.query,
     "op6_quality_rules": quality.query,
     "op7_decontamination": decontam.query,
+    "op8_token_files": token_files.query,
+    "op9_language_id": langid.query,
     "op10_chat_formatting": chat.query,
 }
 
 ORACLES = {
     "op2_mixing": mixing.ORACLE_SQL,
+    "op3_ngram_jaccard": ngram_join.ORACLE_SQL,
     "op4_line_dedup": line_dedup.ORACLE_SQL,
     "op6_quality_rules": quality.ORACLE_SQL,
     "op7_decontamination": decontam.ORACLE_SQL,
