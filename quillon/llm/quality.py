@@ -116,7 +116,9 @@ def apply_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
 
     Null and empty texts have no words and fail by length. An empty table gives an empty table; repeated rows are
     each judged; other columns pass through."""
-    return with_counts(df, text).withColumns({"q_base_failed": base_failed(), "q_failed": compiled(rules)}).withColumn("q_kept", ~F.col("q_base_failed") & (F.size("q_failed") == 0))
+    judged = with_counts(df, text).withColumns({"q_base_failed": base_failed(), "q_failed": compiled(rules)})
+    # the row number is a fence: a filter on q_kept that were pushed below the counts would repeat their expressions
+    return judged.withColumn("q_kept", ~F.col("q_base_failed") & (F.size("q_failed") == 0) & (F.monotonically_increasing_id() >= 0))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
