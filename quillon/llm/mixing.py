@@ -71,7 +71,7 @@ def thresholds(sizes: DataFrame) -> DataFrame:
         cells = cells.withColumn("end", F.col("start") + F.sum("sum").over(order))
         hit = cells.filter((F.col("end") > F.col("limit")) & (F.col("end") - F.col("sum") <= F.col("limit")))
         hit = hit.select("m_key", F.col("bucket").alias("to"), (F.col("end") - F.col("sum")).alias("from"), F.col("sum").alias("sum"), "n")
-        state = join_small(state, hit, ["m_key"], how="left")
+        state = join_small(state.drop("n"), hit, ["m_key"], how="left")
         state = state.select("m_key", "m_source_size", "m_target", "m_all", "budget", F.coalesce("to", "prefix").alias("prefix"), F.coalesce("from", "before").alias("before"), F.coalesce("sum", "cell").alias("cell"), "open", F.coalesce("n", F.lit(0)).alias("n"))
         state = stored(state, "mix")
         if (state.agg(F.max(F.when(F.col("open"), F.col("n")))).first()[0] or 0) <= 1:
