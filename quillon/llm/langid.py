@@ -28,7 +28,7 @@ FAMILIES = {
 FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 BUCKETS = 4096
 #: Rows that are fitted on, about, and languages that are told apart: the most frequent.
-MOST_ROWS, MOST_LANGS = 3000, 100
+MOST_ROWS, MOST_LANGS = 2000, 100
 PIECE = 1 << 20
 _LETTER = re.compile(rb"[A-Za-z]")
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -81,7 +81,9 @@ class Model:
         self.families = sorted(set(family.tolist()))
         scale = 1 / (x.std(axis=0) + 1e-4)
         mean = x.mean(axis=0)
-        z = np.hstack([(x - mean) * scale, np.ones((len(x), 1))]) / np.sqrt(BUCKETS)
+        z = np.ones((len(x), BUCKETS + 1), np.float32)
+        np.multiply(x - mean, scale, out=z[:, :-1])
+        z /= np.float32(np.sqrt(BUCKETS))
         self.of = {f: [c for c in self.langs if FAMILY.get(c, c) == f] for f in self.families}
         self.pairs = [(*p, family) for p in combinations(self.families, 2)] + [(*p, lang) for f in self.families for p in combinations(self.of[f], 2)]
         rows = []
@@ -123,7 +125,8 @@ def fit(docs: DataFrame, most_rows: int = MOST_ROWS) -> Model:
         chosen = chosen | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))))
     got = rows.filter(chosen).select("lang", F.col("text").cast("binary")).mapInArrow(_vectors, "lang string, x binary").toArrow()  # about most_rows rows of 16 kB
     langs = got.column("lang").to_pylist()
-    x = np.array([np.frombuffer(v, "<f4") for v in got.column("x").to_pylist()], np.float64).reshape(len(langs), BUCKETS)
+    x = np.array([np.frombuffer(v, "<f4") for v in got.column("x").to_pylist()], np.float32).reshape(len(langs), BUCKETS)
+    del got
     order = np.lexsort((x @ np.arange(BUCKETS), np.array(langs, dtype=str))) if langs else []  # the same whatever order rows come in
     return Model(x[order], [langs[i] for i in order])
 
