@@ -6,6 +6,8 @@ import numpy as np
 import xxhash
 
 WORDS = 5
+#: Words whose hashes a worker keeps: about 20 MB.
+MOST_WORDS = 100_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -17,7 +19,7 @@ class WordHashes(dict):
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > 500_000:
+        if len(self) > MOST_WORDS:
             self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
