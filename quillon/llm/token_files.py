@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +21,25 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Tokens of a file, about; and bytes of text in a range of ids, of which there are so many at most.
 FILE_TOKENS, RANGE_BYTES, MOST_RANGES = 3_000_000, 8_000_000, 50_000
-#: White space that isn't one blank or one newline between other characters: such texts are cut more carefully.
-_ODD = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z|\x01")
+_RUNS = re.compile(r" ?[A-Za-z]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-MOST_PIECES = 700_000
+MOST_PIECES = 250_000
 
 
-class Encoder:
+def _odd(t: str) -> bool:
+    """Whether a text has white space other than one blank or one newline between other characters (or a mark of
+    ours): such texts are cut more carefully. What can't be printed includes all other white space."""
+    return "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] in " \n" or t[-1] in " \n" or not t.replace("\n", "a").isprintable()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: visible Latin-1 for itself, the rest from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in visible]
+    return {b: chr(b) if b in visible else chr(256 + rest.index(b)) for b in range(256)}
+
+
+class Encoder(dict):
     """Ids of whole texts by the tokenizers library.
 
     Pre-tokens never reach across a single blank between other characters, nor across a single newline; so texts are
@@ -35,10 +48,13 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.newline = self._plain("\n")
+        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self.model = self.tokenizer.model
+        self.signs = {x: self._plain(x) for x in ".,"}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -46,45 +62,40 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         return np.array(self._ids(text), self.kind).tobytes()
 
-    def _fill(self, pieces: set[str]) -> None:
-        """Encode new pieces: those without other white space as the lines of one text, which newlines keep apart."""
-        lines, tails = [], []
-        for p in pieces:
-            if p == "\n":
-                self.cache[p] = self.newline
-            elif p.count(" ", 1) or "\n" in p or not p or p[-1].isspace() or _ODD.search(p, 1):
-                self.cache[p] = self._plain(p)
-            elif p[-1] in ".," and len(p) > 2 and p[-2].isalpha():  # letters and signs are different pre-tokens
-                tails.append(p)
-            else:
-                lines.append(p)
-        lines = list({*lines, *[b for b in (p[:-1] for p in tails) if b not in self.cache], ".", ","} - self.cache.keys())
-        for i in range(0, len(lines), 20_000):
-            some = lines[i : i + 20_000]
-            ids = np.array(self._ids("\n".join(some)), self.kind)
-            cut = np.flatnonzero(ids == np.frombuffer(self.newline, self.kind)[0])
-            for p, a, b in zip(some, [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)], strict=True):
-                self.cache[p] = ids[a:b].tobytes()
-        for p in tails:
-            self.cache[p] = self.cache[p[:-1]] + self.cache[p[-1]]
+    def _word(self, p: str) -> bytes:
+        """A single pre-token of letters, by the model alone."""
+        letters = p.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def __missing__(self, p: str) -> bytes:
+        """A new piece: words of Latin letters by the model, with a full stop or comma after them as two pre-tokens;
+        other ASCII pieces run by run of letters, digits or signs; all else by the whole tokenizer."""
+        last = p[-1:]
+        base = p[:-1] if last in (".", ",") else p
+        core = base[1:] if base[:1] == " " else base
+        if core.isalpha() and max(core) < "\u0250":
+            ids = self._word(p) if base is p else self[base] + self.signs[last]
+        elif p.isascii() and "'" not in p and "<|" not in p and " " not in core and "".join(runs := _RUNS.findall(p)) == p != "":
+            ids = self._word(p) if len(runs) == 1 else b"".join([self[r] for r in runs])
+        else:
+            ids = self._plain(p)
+        self[p] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text, without an end; null is empty."""
-        if len(self.cache) > MOST_PIECES:
-            self.cache.clear()
+        if len(self) > MOST_PIECES:
+            self.clear()
         parts = []
         for t in texts:
             if not t:
                 parts.append([])
-            elif _ODD.search(t):
+            elif _odd(t):
                 a, *more = _CUT.split(t)
                 parts.append([a, *[" " + x for x in more]])
             else:
                 parts.append(t.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01"))
-        new = set().union(*[set(p).difference(self.cache) for p in parts])
-        if new:
-            self._fill(new)
-        get = self.cache.__getitem__
+        get = self.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
 
@@ -134,6 +145,7 @@ def _written(uri: str, path: str, most: int):
                     if size >= most:
                         flush()
         flush()
+        enc.clear()  # the worker stays for other stages
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.int64()))], ["part", "seq", "docs", "tokens"])
 

@@ -35,13 +35,14 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """The whole sequence: the partitions undone from the lowest bit up."""
-        cur = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        cur = np.zeros(self.n, kind)
         for k in reversed(range(len(self.planes))):
             one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").astype(bool)
             out = np.empty_like(cur)
             z = self.zeros[k]
             out[~one] = cur[:z]
-            out[one] = cur[z:] | np.uint32(1 << (len(self.planes) - 1 - k))
+            out[one] = cur[z:] | kind(1 << (len(self.planes) - 1 - k))
             cur = out
         return cur
 
