@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,12 @@ def unstore(df: DataFrame) -> None:
         drop_path(df.sparkSession, f)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver forget finished plans, so that their shuffle files are deleted before more are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z only, as the contracts define it."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

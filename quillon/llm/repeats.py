@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SLICES = 64
-#: Bits a hash, and the bounds of a filter's size: at most 64 MB, whatever the input.
-BITS_A_HASH, LEAST_BITS, MOST_BITS = 16, 20, 29
+#: Bits a hash, and the bounds of a filter's size: at most 32 MB, whatever the input.
+BITS_A_HASH, LEAST_BITS, MOST_BITS = 16, 20, 28
 
 
 def size_for(hashes: int) -> int:
@@ -72,13 +72,13 @@ def merged(bits: int):
     return run
 
 
-def repeat_filter(df: DataFrame, extract, bits: int) -> bytes:
+def repeat_filter(df: DataFrame, extract, bits: int) -> bytearray:
     """The bits marked twice, 2 ** bits of them: this is all that reaches the driver."""
     marked = df.mapInArrow(marks(extract, bits), "slice int, gaps binary, twice binary")
     out, width = bytearray(1 << (bits - 3)), 1 << (bits - 9)
     for k, part in marked.groupBy("slice").applyInArrow(merged(bits), "slice int, bits binary").collect():
         out[k * width : (k + 1) * width] = part
-    return bytes(out)
+    return out
 
 
 def suspected(f: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:

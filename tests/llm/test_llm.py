@@ -127,11 +127,11 @@ def near(n=60, seed=5):
     return out
 
 
-@pytest.mark.parametrize("seed", [5, 6])
-def test_jaccard_components(spark, seed):
+@pytest.mark.parametrize("seed, block", [(5, 8192), (6, 2)])
+def test_jaccard_components(spark, seed, block):
     passage = " ".join(f"p{i}" for i in range(60))
     texts = [*EDGE, *near(seed=seed), *[passage + f" own{i} " * (i % 30) for i in range(40)]]
-    got = by_id(ngram_join.group_similar(docs(spark, texts).select("doc_id", "text")))
+    got = by_id(ngram_join.group_similar(docs(spark, texts).select("doc_id", "text"), block))
     want = brute_components(texts)
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
     if seed == 5:
@@ -152,7 +152,7 @@ def test_prefix_bounds_hold_for_all_sizes():
 
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 200)]
-    v = spark.range(300).select(F.col("id").alias("v"), F.col("id").alias("label"))
+    v = spark.range(300).select(F.col("id").alias("v"))
     got = {r["v"]: r["label"] for r in graph.components(v, spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 if i <= 60 else 100 if 100 <= i < 200 else i for i in range(300)}
 
