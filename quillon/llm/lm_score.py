@@ -1,8 +1,8 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of one- and two-word sequences are quantised on a log scale: floor(log2(count)), so that a single occurrence is
-0. A sequence with quantised count q is put into one Bloom filter q times, under the levels 1 to q. Workers read a count back by probing level after level until one is
-missing. The filter is the only thing that is broadcast for the model; its size is that of its parameter at most."""
+Counts of one- and two-word sequences are quantised on a log scale: 1 + floor(log2(count)), so that a single occurrence
+is 1. A sequence with quantised count q is put into one Bloom filter q times, under the levels 1 to q. Workers read a
+count back by probing level after level until one is missing. The filter's slices are sized by the levels put in."""
 
 from __future__ import annotations
 
@@ -19,12 +19,11 @@ from pyspark.sql import types as T
 from quillon.llm.common import release, stored, table
 from quillon.llm.shingles import HASHES, scrambled, words_of
 
-#: Counts are read back as BASE ** level, and as 0 where not even level 1 is found.
+#: Counts are read back as BASE ** (level - 1), and as 0 where not even level 1 is found.
 BASE = 2.0
 PROBES = 4
-#: Bits of the filter for each training token, and the bounds of its size: 256 MB at most. Beyond it counts are read
-#: too high more often; nothing is left out.
-BITS_A_TOKEN, LEAST_BITS, MOST_BITS = 2, 20, 31
+#: Bits of a slice of the filter for each level put in, at any size; about 0.2 % of what was never seen is read as seen.
+BITS_A_LEVEL, LEAST_BITS = 16, 64
 SLICES = 64
 #: Weight of the one-word distribution in a two-word one, in words.
 PRIOR = 4.0
@@ -120,53 +119,65 @@ def _counts(batches: Iterator[pa.RecordBatch], k: int) -> tuple[np.ndarray, np.n
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
-    return np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64)
+    return 1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64)
 
 
-def places(keys: np.ndarray, level: np.ndarray | int, bits: int) -> np.ndarray:
-    """PROBES places of (key, level) in the key's slice; keys have KEY_BITS bits, slices are their first six."""
+def places(keys: np.ndarray, level: np.ndarray | int, size: np.ndarray | int) -> np.ndarray:
+    """PROBES places of (key, level) in the key's slice of so many bits; keys have KEY_BITS bits, slices are their first."""
     h = scrambled(keys * np.uint64(2) + np.uint64(1) + np.asarray(level).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-    step = (h >> np.uint64(32)) | np.uint64(1)
-    mask = np.uint64((1 << (bits - 6)) - 1)
-    return np.stack([((h + np.uint64(i) * step) & mask) for i in range(PROBES)], axis=1).astype(np.int64)
+    half, size = np.uint64(32), np.asarray(size).astype(np.uint64)
+    step = (h << half) | (h >> half) | np.uint64(1)
+    return np.stack([((h + np.uint64(i) * step) >> half) * size >> half for i in range(PROBES)], axis=1).astype(np.int64)
 
 
-def _filled(bits: int):
-    """applyInArrow for one slice: its part of the filter."""
+def filled(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """A slice of the filter with these keys; its size follows from the levels put in."""
+    top = levels(counts) if len(counts) else np.zeros(0, np.int64)
+    part = np.zeros(max(LEAST_BITS, -(-BITS_A_LEVEL * int(top.sum()) // 8) * 8), bool)
+    for level in range(1, int(top.max(initial=0)) + 1):
+        stay = top >= level
+        keys, top = keys[stay], top[stay]
+        part[places(keys, level, len(part)).ravel()] = True
+    return np.packbits(part, bitorder="little").tobytes()
 
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = key[0].as_py()
-        keys, counts = _counts(batches, k)
-        part, top = np.zeros(1 << (bits - 6), bool), levels(counts) if len(counts) else np.zeros(0, np.int64)
-        for level in range(1, int(top.max(initial=0)) + 1):
-            stay = top >= level
-            keys, top = keys[stay], top[stay]
-            part[places(keys, level, bits).ravel()] = True
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())], ["slice", "bits"])
 
-    return run
+def levels_in(f: np.ndarray, keys: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Levels of keys read from the bytes of slices, each with its slice's bits and where they start."""
+    out, alive, level = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 1
+    while len(alive):
+        p = places(keys[alive], level, size[alive]) + at[alive][:, None]
+        alive = alive[((f[p >> 3] >> (p & 7)) & 1).astype(bool).all(axis=1)]
+        out[alive] = level
+        level += 1
+        if level > 64:  # a slice without an empty bit
+            break
+    return out
+
+
+def counts_of(level: np.ndarray) -> np.ndarray:
+    return np.where(level > 0, BASE ** (level.astype(np.float64) - 1), 0.0)
+
+
+def _filled(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """applyInArrow for one slice: its part of the filter."""
+    k = key[0].as_py()
+    part = filled(*_counts(batches, k))
+    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())], ["slice", "bits"])
 
 
 class Model:
     """The filter; reads quantised counts back."""
 
-    def __init__(self, data: bytearray, bits: int, total: int, distinct: int):
-        self.data, self.bits, self.total, self.distinct = data, bits, total, distinct
+    def __init__(self, parts: list[bytes], total: int, distinct: int):
+        self.data, self.total, self.distinct = b"".join(parts), total, distinct
+        self.size = np.array([8 * len(x) for x in parts])
+        self.start = np.cumsum(self.size) - self.size
 
     def read(self, hashes: np.ndarray) -> np.ndarray:
         """Approximate counts, 0 for what was never seen."""
-        f = np.frombuffer(self.data, np.uint8)
         keys = hashes >> np.uint64(64 - KEY_BITS)
-        at = (keys >> np.uint64(KEY_BITS - 6)).astype(np.int64) << (self.bits - 6)
-        out, alive, level = np.zeros(len(keys)), np.arange(len(keys)), 1
-        while len(alive):
-            p = places(keys[alive], level, self.bits) + at[alive][:, None]
-            alive = alive[((f[p >> 3] >> (p & 7)) & 1).astype(bool).all(axis=1)]
-            out[alive] = BASE**level
-            level += 1
-            if level > 64:  # a filter without an empty bit
-                break
-        return out
+        k = (keys >> np.uint64(KEY_BITS - 6)).astype(np.int64)
+        return counts_of(levels_in(np.frombuffer(self.data, np.uint8), keys, self.size[k], self.start[k]))
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 probability of each text: a two-word distribution smoothed by the one-word distribution, itself by one."""
@@ -187,15 +198,12 @@ class Model:
         return np.add.reduceat(p, start)
 
 
-def build(training: DataFrame, total: int, distinct: int, bits: int | None = None) -> Model:
+def build(training: DataFrame, total: int, distinct: int) -> Model:
     """training: one column of texts as binary."""
-    gathered = training.mapInArrow(_gathered(), GATHERED)
-    if bits is None:
-        bits = min(MOST_BITS, max(LEAST_BITS, (BITS_A_TOKEN * total).bit_length()))
-    data, width = bytearray(1 << (bits - 3)), 1 << (bits - 9)
-    for k, part in gathered.groupBy("slice").applyInArrow(_filled(bits), "slice int, bits binary").collect():  # the filter
-        data[k * width : (k + 1) * width] = part
-    return Model(data, bits, total, distinct)
+    parts = [filled(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * SLICES
+    for k, part in training.mapInArrow(_gathered(), GATHERED).groupBy("slice").applyInArrow(_filled, "slice int, bits binary").collect():  # the filter
+        parts[k] = bytes(part)
+    return Model(parts, total, distinct)
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +251,7 @@ def _scored(model, words, n: int):
     return run
 
 
-def score_texts(docs: DataFrame, most_words: int = MOST_WORDS, bits: int | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
     """The rows of docs (doc_id, text, others) without text, with s_held_out, s_tokens, s_known, s_train_tokens,
     s_base and s_score.
 
@@ -256,7 +264,7 @@ def score_texts(docs: DataFrame, most_words: int = MOST_WORDS, bits: int | None
     training = docs.filter(is_training(F.col("doc_id"))).select(F.col("text").cast("binary").alias("text"))
     vocabulary = stored(training.mapInArrow(_vocabulary, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     distinct, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    model = spark.sparkContext.broadcast(build(training, total, distinct, bits))
+    model = spark.sparkContext.broadcast(build(training, total, distinct))
     release(spark)
     frequent, rest = vocabulary, None
     if distinct > most_words:  # a count that no more than most_words words reach

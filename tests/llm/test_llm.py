@@ -226,6 +226,16 @@ def test_lm_filter_reads_quantised_counts_back_and_learns(spark):
     assert good > odd + 3
 
 
+def test_lm_single_counts_are_not_unseen(spark):
+    texts = ["a b c d"] * 64 + ["e f"] * 5 + ["z y"]
+    m = lm_score.build(docs(spark, texts).select(F.col("text").cast("binary")), 400, 9)
+    h = lm_score.tokens(b"z y")
+    assert m.read(shingles.scrambled(h)).tolist() == [1, 1, 64] and m.read(lm_score.pairs(h)).tolist() == [1, 1, 1]
+    assert m.read(shingles.scrambled(lm_score.tokens(b"q r"))).tolist() == [0, 0, 64]
+    once, never = m.scores([h, lm_score.tokens(b"q r")])
+    assert once > never
+
+
 # decontamination
 def brute_overlap(text, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
