@@ -2,7 +2,9 @@
 
 Counts of one- and two-word sequences are quantised on a log scale: 1 + floor(log2(count)), so that a single occurrence
 is 1. A sequence with quantised count q is put into one Bloom filter q times, under the levels 1 to q. Workers read a
-count back by probing level after level until one is missing. The filter's slices are sized by the levels put in."""
+count back by probing level after level until one is missing. The filter's slices are sized by the levels put in. A
+small filter is broadcast. Beyond, texts are packed in chunks, and the distinct sequences of each chunk are sent to their
+slices, read there and sent back: slices grow in number, not in size, and the error rate is the same at any size."""
 
 from __future__ import annotations
 
@@ -11,7 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +27,12 @@ BASE = 2.0
 PROBES = 4
 #: Bits of a slice of the filter for each level put in, at any size; about 0.2 % of what was never seen is read as seen.
 BITS_A_LEVEL, LEAST_BITS = 16, 64
-SLICES = 64
+#: Training tokens up to which the filter is broadcast: 32 MB, two levels a token.
+MOST_TOKENS = 8_000_000
+#: Slices, a power of two: the least, and the sequences of all texts that one takes, about.
+SLICES, SLICE_SEQUENCES = 64, 1 << 22
+#: Bytes of text in a chunk, about; a longer text is a chunk of its own.
+CHUNK = 1 << 22
 #: Weight of the one-word distribution in a two-word one, in words.
 PRIOR = 4.0
 #: Words whose exact counts are broadcast (16 bytes each), the most frequent; the others are joined.
@@ -50,26 +58,30 @@ def pairs(h: np.ndarray) -> np.ndarray:
     return scrambled(before * _PAIR + h)
 
 
+def _encoded(chunk: int, key: np.ndarray, n: np.ndarray, slices: int) -> pa.RecordBatch:
+    """Sorted keys with their counts, by slice, as gaps and counts."""
+    width = np.uint64(KEY_BITS - slices.bit_length() + 1)
+    cut = np.searchsorted(key, np.arange(slices, dtype=np.uint64) << width)
+    cut = np.append(cut, len(key))
+    rows = []
+    for k in range(slices):
+        own, times = key[cut[k] : cut[k + 1]], n[cut[k] : cut[k + 1]]
+        if len(own):
+            gaps = np.diff(own, prepend=np.uint64(k) << width)
+            low, high = (gaps & np.uint64(0xFFFFFFFF)).astype("<u4"), (gaps >> np.uint64(32)).astype("<u2")
+            more = np.flatnonzero(times != 1)
+            # bytes of one rank stand together, so that those that are mostly zero compress
+            planes = low.view(np.uint8).reshape(-1, 4).T.tobytes()
+            rows.append((k, chunk, planes, high.tobytes() if high.any() else b"", more.astype("<u4").tobytes(), times[more].astype("<u4").tobytes()))
+    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["slice", "chunk", "low", "high", "at", "times"])
+
+
 def _gathered(most: int = 1_500_000):
-    """mapInArrow over texts: counts of sequences in this task, by slice of their hash, as gaps and counts."""
+    """mapInArrow over texts: counts of sequences in this task, by slice of their hash."""
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(held) >> np.uint64(64 - KEY_BITS), return_counts=True)
-        width = np.uint64(KEY_BITS - 6)
-        cut = np.searchsorted(key, np.arange(SLICES, dtype=np.uint64) << width)
-        cut = np.append(cut, len(key))
-        rows = []
-        for k in range(SLICES):
-            own, times = key[cut[k] : cut[k + 1]], n[cut[k] : cut[k + 1]]
-            if len(own):
-                gaps = np.diff(own, prepend=np.uint64(k) << width)
-                low, high = (gaps & np.uint64(0xFFFFFFFF)).astype("<u4"), (gaps >> np.uint64(32)).astype("<u2")
-                more = np.flatnonzero(times > 1)
-                # bytes of one rank stand together, so that those that are mostly zero compress
-                planes = low.view(np.uint8).reshape(-1, 4).T.tobytes()
-                rows.append((k, planes, high.tobytes() if high.any() else b"", more.astype("<u4").tobytes(), times[more].astype("<u4").tobytes()))
-        kinds = (pa.int32(), *[pa.binary()] * 4)
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["slice", "low", "high", "at", "times"])
+        return _encoded(0, *np.unique(np.concatenate(held) >> np.uint64(64 - KEY_BITS), return_counts=True), SLICES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -87,11 +99,19 @@ def _gathered(most: int = 1_500_000):
     return run
 
 
-GATHERED = "slice int, low binary, high binary, at binary, times binary"
+GATHERED = "slice int, chunk long, low binary, high binary, at binary, times binary"
+
 
+def _keys(low: bytes, high: bytes, first: np.uint64) -> np.ndarray:
+    gaps = np.ascontiguousarray(np.frombuffer(low, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.uint64)
+    if high:
+        gaps |= np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32)
+    return np.cumsum(gaps) + first
 
-def _counts(batches: Iterator[pa.RecordBatch], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Summed counts of one slice; what has come is merged whenever it has doubled."""
+
+def _counts(batches: Iterator[pa.RecordBatch], first: np.uint64, kept: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Summed counts of the slice that starts at this key; what has come is merged whenever it has doubled. Chunks and
+    their keys are added to kept as they came."""
     keys, counts, held, n, limit = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 1 << 21
 
     def summed() -> tuple[np.ndarray, np.ndarray]:
@@ -103,15 +123,15 @@ def _counts(batches: Iterator[pa.RecordBatch], k: int) -> tuple[np.ndarray, np.n
         return key[first], np.add.reduceat(n, first) if len(key) else n
 
     for b in batches:
-        for low, high, at, times in zip(*[b.column(i).to_pylist() for i in range(1, 5)], strict=True):
-            gaps = np.ascontiguousarray(np.frombuffer(low, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.uint64)
-            if high:
-                gaps |= np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32)
-            own = np.cumsum(gaps) + (np.uint64(k) << np.uint64(KEY_BITS - 6))
+        for chunk, low, high, at, times in zip(*[b.column(i).to_pylist() for i in range(1, 6)], strict=True):
+            own = _keys(low, high, first)
             c = np.ones(len(own), np.int64)
             c[np.frombuffer(at, "<u4")] = np.frombuffer(times, "<u4")
+            own, c = (own[c > 0], c[c > 0]) if times else (own, c)
             held.append((own, c))
             n += len(own)
+            if kept is not None:
+                kept.append((chunk, low, high))
         if n > limit:
             keys, counts = summed()
             held, n, limit = [], 0, max(1 << 21, len(keys))
@@ -161,10 +181,26 @@ def counts_of(level: np.ndarray) -> np.ndarray:
 def _filled(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """applyInArrow for one slice: its part of the filter."""
     k = key[0].as_py()
-    part = filled(*_counts(batches, k))
+    part = filled(*_counts(batches, np.uint64(k << (KEY_BITS - 6))))
     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())], ["slice", "bits"])
 
 
+def _answered(slices: int):
+    """applyInArrow for one slice: its part of the filter is filled, then read for the keys of each chunk."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, kept = key[0].as_py(), []
+        first = np.uint64(k << (KEY_BITS - slices.bit_length() + 1))
+        f = np.frombuffer(filled(*_counts(batches, first, kept)), np.uint8)
+        for chunk, low, high in kept:
+            own = _keys(low, high, first)
+            found = levels_in(f, own, np.full(len(own), 8 * len(f)), np.zeros(len(own), np.int64))
+            kinds = (pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((chunk, k, found.tobytes()), kinds, strict=True)], ["s_chunk", "slice", "levels"])
+
+    return run
+
+
 class Model:
     """The filter; reads quantised counts back."""
 
@@ -180,22 +216,27 @@ class Model:
         return counts_of(levels_in(np.frombuffer(self.data, np.uint8), keys, self.size[k], self.start[k]))
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of each text: a two-word distribution smoothed by the one-word distribution, itself by one."""
-        h = np.concatenate(texts)
-        word, where = np.unique(h, return_inverse=True)
-        count = self.read(scrambled(word))
-        one = (count + 1) / (self.total + self.distinct + 1)
-        two = np.concatenate([pairs(x) for x in texts])
-        pair, at = np.unique(two, return_inverse=True)
-        size = np.array([len(x) for x in texts])
-        start = np.cumsum(size) - size
-        before = np.empty(len(h), np.int64)
-        before[1:] = where[:-1]
-        before[start] = where[start + size - 1]  # the end stands before the first word
-        seen, context = self.read(pair)[at], count[before]
-        seen = np.minimum(seen, np.minimum(context, count[where]))  # a pair is no more frequent than its words
-        p = np.log10((seen + PRIOR * one[where]) / (context + PRIOR))
-        return np.add.reduceat(p, start)
+        key, at = np.unique(sequences(texts), return_inverse=True)
+        return log_scores(texts, self.read(key)[at], self.total, self.distinct)
+
+
+def sequences(texts: list[np.ndarray]) -> np.ndarray:
+    """Hashes of all words of texts, then of all pairs."""
+    return np.concatenate([*map(scrambled, texts), *map(pairs, texts)]) if texts else np.zeros(0, np.uint64)
+
+
+def log_scores(texts: list[np.ndarray], counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
+    """log10 probability of each text: a two-word distribution smoothed by the one-word distribution, itself by one.
+    Counts are those of sequences()."""
+    size = np.array([len(x) for x in texts])
+    start = np.cumsum(size) - size
+    count, seen = counts[: len(counts) // 2], counts[len(counts) // 2 :]
+    one = (count + 1) / (total + distinct + 1)
+    context = np.empty(len(count))
+    context[1:] = count[:-1]
+    context[start] = count[start + size - 1]  # the end stands before the first word
+    seen = np.minimum(seen, np.minimum(context, count))  # a pair is no more frequent than its words
+    return np.add.reduceat(np.log10((seen + PRIOR * one) / (context + PRIOR)), start)
 
 
 def build(training: DataFrame, total: int, distinct: int) -> Model:
@@ -225,46 +266,131 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush(held)
 
 
+def _columns(hs: list[np.ndarray], scores: np.ndarray, known: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+    """For each text: tokens, known tokens, the sum of log10(c + 1) over broadcast words, the model's score, other words."""
+    cols: list[list] = [[], [], [], scores.tolist(), []]
+    logs = np.log10(counts + 1.0)
+    for h in hs:
+        s = h.astype(np.int64)
+        at = np.minimum(np.searchsorted(known, s), max(len(known) - 1, 0))
+        hit = known[at] == s if len(known) else np.zeros(len(s), bool)
+        cols[0].append(len(s))
+        cols[1].append(int(hit.sum()))
+        cols[2].append(float(logs[at[hit]].sum()) if len(known) else 0.0)
+        cols[4].append(s[~hit])
+    return [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64())), strict=True)]
+
+
+ADDED = ["s_tokens", "s_known", "s_logs", "s_score", "s_rest"]
+
+
 def _scored(model, words, n: int):
-    """mapInArrow: tokens, known tokens, the sum of log10(c + 1) over broadcast words, the model's score, other words."""
+    """mapInArrow: rows with ADDED in the place of the text, column n."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for i in range(0, len(big), 256):
+                b = big.slice(i, 256)
+                hs = [tokens(t) for t in b.column(n).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], *_columns(hs, model.value.scores(hs), *words.value)], [*b.schema.names[:n], *ADDED])
+
+    return run
+
+
+def _packed(n: int, most: int):
+    """mapInArrow: rows in chunks of about `most` bytes of text (column n), each chunk compressed in one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def flush() -> pa.RecordBatch:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                for b in held:
+                    w.write_batch(b)
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], ["s_chunk", "s_rows"])
+
+        for b in batches:
+            sizes, start = pc.fill_null(pc.binary_length(b.column(n)), 0).to_numpy(zero_copy_only=False), 0
+            for i, x in enumerate(sizes.tolist()):
+                if size and size + x > most:
+                    if i > start:
+                        held.append(b.slice(start, i - start))
+                    yield flush()
+                    chunk, held, size, start = chunk + 1, [], 0, i
+                size += x + 64  # a row without text counts too
+            if len(b) > start:
+                held.append(b.slice(start))
+        if held:
+            yield flush()
+
+    return run
+
+
+def _unpacked(rows: bytes) -> pa.Table:
+    return pa.ipc.open_stream(rows).read_all()
+
+
+def _asked(n: int, slices: int):
+    """mapInArrow over chunks: their distinct sequences by slice, with their counts in the training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = words.value
-        logs = np.log10(counts + 1.0)
         for b in batches:
-            cols: list[list] = [[], [], [], [], []]
-            texts = b.column(n).to_pylist()
-            for i in range(0, len(texts), 256):
-                hs = [tokens(t) for t in texts[i : i + 256]]
-                cols[3] += model.value.scores(hs).tolist()
-                for h in hs:
-                    s = h.astype(np.int64)
-                    at = np.minimum(np.searchsorted(known, s), max(len(known) - 1, 0))
-                    hit = known[at] == s if len(known) else np.zeros(len(s), bool)
-                    cols[0].append(len(s))
-                    cols[1].append(int(hit.sum()))
-                    cols[2].append(float(logs[at[hit]].sum()) if len(known) else 0.0)
-                    cols[4].append(s[~hit])
-            more = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64())), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], *more], [*b.schema.names[:n], "s_tokens", "s_known", "s_logs", "s_score", "s_rest"])
+            for chunk, rows in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                t = _unpacked(rows.as_py())
+                train = t.column(n + 1).to_pylist()
+                hs = [tokens(x) for x in t.column(n).to_pylist()]
+                key, times = np.unique(sequences(hs) >> np.uint64(64 - KEY_BITS), return_counts=True)
+                held, less = np.unique(sequences([h for h, x in zip(hs, train, strict=True) if not x]) >> np.uint64(64 - KEY_BITS), return_counts=True)
+                times[np.searchsorted(key, held)] -= less
+                yield _encoded(chunk, key, times, slices)
 
     return run
 
 
-def score_texts(docs: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
+def _scored_chunk(words, n: int, total: int, distinct: int):
+    """Cogrouped by chunk: the packed rows, and the levels of their sorted distinct sequences by slice."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        by = right.sort_by("slice").column("levels").to_pylist()
+        counts = counts_of(np.frombuffer(b"".join(by), np.uint8))
+        for rows in left.column("s_rows"):
+            t = _unpacked(rows.as_py())
+            hs = [tokens(x) for x in t.column(n).to_pylist()]
+            key, at = np.unique(sequences(hs) >> np.uint64(64 - KEY_BITS), return_inverse=True)
+            if len(key) != len(counts):
+                raise ValueError(f"{len(counts)} levels for {len(key)} sequences of a chunk")
+            more = _columns(hs, log_scores(hs, counts[at], total, distinct), *words.value)
+            out.append(pa.Table.from_arrays([*t.columns[:n], *more], [*t.schema.names[:n], *ADDED]))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def score_texts(docs: DataFrame, most_words: int = MOST_WORDS, most_tokens: int = MOST_TOKENS) -> DataFrame:
     """The rows of docs (doc_id, text, others) without text, with s_held_out, s_tokens, s_known, s_train_tokens,
     s_base and s_score.
 
     Null texts are empty: one end token. Null ids train. Words are told apart by 64-bit hashes. Exact counts of the
     most frequent words are broadcast up to most_words; all other words of a text are joined with their counts, so
-    the base score is exact for any vocabulary. With no training text N and V are 0. Columns of docs that bear these
+    the base score is exact for any vocabulary. The filter is broadcast up to most_tokens; beyond, sequences are joined
+    with its slices. With no training text N and V are 0. Columns of docs that bear these
     names are replaced; an empty table gives an empty one."""
     spark = docs.sparkSession
     docs = docs.drop(*[c for c in docs.columns if c.startswith("s_")])
     training = docs.filter(is_training(F.col("doc_id"))).select(F.col("text").cast("binary").alias("text"))
     vocabulary = stored(training.mapInArrow(_vocabulary, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     distinct, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    model = spark.sparkContext.broadcast(build(training, total, distinct))
+    names = [c for c in docs.columns if c != "text"]
+    own = docs.select(*[f"`{c}`" for c in names], F.col("text").cast("binary").alias("s_text"))
+    if total <= most_tokens:
+        model = spark.sparkContext.broadcast(build(training, total, distinct))
+    else:
+        slices = max(SLICES, 1 << (2 * total // SLICE_SEQUENCES).bit_length())
+        packed = stored(own.withColumn("s_train", is_training(F.col("doc_id"))).mapInArrow(_packed(len(names), CHUNK), "s_chunk long, s_rows binary"), "chunks")
+        asked = packed.mapInArrow(_asked(len(names), slices), GATHERED)
+        answers = stored(asked.groupBy("slice").applyInArrow(_answered(slices), "s_chunk long, slice int, levels binary"), "levels")
     release(spark)
     frequent, rest = vocabulary, None
     if distinct > most_words:  # a count that no more than most_words words reach
@@ -281,11 +407,12 @@ def score_texts(docs: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
     h, n = found.column("h").to_numpy(), found.column("n").to_numpy()
     order = np.argsort(h)
     words = spark.sparkContext.broadcast((h[order], n[order]))
-    names = [c for c in docs.columns if c != "text"]
-    own = docs.select(*[f"`{c}`" for c in names], F.col("text").cast("binary").alias("s_text"))
     fields = [docs.schema[c] for c in names]
     schema = T.StructType([*fields, *T._parse_datatype_string("s_tokens long, s_known long, s_logs double, s_score double, s_rest array<long>").fields])
-    out = own.mapInArrow(_scored(model, words, len(names)), schema)
+    if total <= most_tokens:
+        out = own.mapInArrow(_scored(model, words, len(names)), schema)
+    else:
+        out = packed.groupBy("s_chunk").cogroup(answers.groupBy("s_chunk")).applyInArrow(_scored_chunk(words, len(names), total, distinct), schema)
     if rest is not None:
         # results depend on a row's id and its other words alone, so equal rows share one sum
         key = F.xxhash64("doc_id", "s_rest")

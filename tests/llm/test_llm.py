@@ -236,6 +236,53 @@ def test_lm_single_counts_are_not_unseen(spark):
     assert once > never
 
 
+@pytest.mark.parametrize("chunk, sequences", [(1 << 22, 1 << 22), (300, 1 << 22), (300, 16)])
+def test_lm_scores_are_the_same_by_broadcast_and_by_slices(spark, monkeypatch, chunk, sequences):
+    df = docs(spark, [*EDGE, *near(40)]).select("doc_id", "text", "source")
+    want = by_id(lm_score.score_texts(df))
+    monkeypatch.setattr(lm_score, "CHUNK", chunk)
+    monkeypatch.setattr(lm_score, "SLICE_SEQUENCES", sequences)
+    got = by_id(lm_score.score_texts(df, most_words=40, most_tokens=0))
+    assert got.keys() == want.keys()
+    for i, r in got.items():
+        a, b = r.asDict(), want[i].asDict()
+        assert a.pop("s_base") == pytest.approx(b.pop("s_base"))
+        # other slices misread other sequences, which near copies share
+        assert a.pop("s_score") == pytest.approx(b.pop("s_score"), rel=1e-9 if sequences > 16 else 0.05)
+        assert a == b
+
+
+@pytest.mark.parametrize("slices", [64, 1024])
+def test_lm_slices_answer_for_each_chunk(slices):
+    import pyarrow as pa
+
+    key = np.unique(shingles.scrambled(np.arange(60_000, dtype=np.uint64)) >> np.uint64(64 - lm_score.KEY_BITS))
+    rng = np.random.default_rng(1)
+    chunks = [(key[use], rng.integers(0, 5, use.sum())) for use in (rng.random(len(key)) < 0.5 for _ in range(3))]
+    exact = np.zeros(len(key), np.int64)
+    for own, n in chunks:
+        exact[np.searchsorted(key, own)] += n
+    rows = pa.Table.from_batches([lm_score._encoded(c, *x, slices) for c, x in enumerate(chunks)])
+    got = {c: {} for c in range(3)}
+    for k in range(slices):
+        part = rows.filter(pa.array(np.array(rows["slice"]) == k))
+        for b in lm_score._answered(slices)((pa.scalar(k),), iter(part.to_batches())):
+            got[b["s_chunk"][0].as_py()][k] = np.frombuffer(b["levels"][0].as_py(), np.uint8)
+    for c, (own, _) in enumerate(chunks):
+        read, n = np.concatenate([v for _, v in sorted(got[c].items())]), exact[np.searchsorted(key, own)]
+        want = np.where(n > 0, lm_score.levels(np.maximum(n, 1)), 0)
+        assert len(read) == len(own) and (read >= want).all() and (read == want).mean() > 0.99
+
+
+def test_lm_filter_errs_alike_at_any_size():
+    key = lambda lo, n: shingles.scrambled(np.arange(lo, lo + n, dtype=np.uint64)) >> np.uint64(64 - lm_score.KEY_BITS)
+    for n in (1_000, 50_000, 400_000):
+        f = np.frombuffer(lm_score.filled(key(0, n), np.arange(n) % 3 + 1), np.uint8)
+        read = lambda k: lm_score.counts_of(lm_score.levels_in(f, k, np.full(len(k), 8 * len(f)), np.zeros(len(k), np.int64)))  # noqa: E731, B023
+        assert (read(key(0, n)) >= np.array([1, 2, 2])[np.arange(n) % 3]).all()
+        assert (read(key(10**9, 50_000)) > 0).mean() < 0.005
+
+
 # decontamination
 def brute_overlap(text, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
