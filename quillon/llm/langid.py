@@ -1,6 +1,7 @@
 """Language identification in two steps: the family first, then the language within it.
 
-Both steps are linear support vector machines, one against one, over hashed two- and three-byte sequences of letters.
+Both steps are linear support vector machines, one against one, over hashed two- and three-byte sequences of letters;
+with very many families each is told from all others together, so that machines grow with their number, not its square.
 They are fitted by dual coordinate descent on the driver, on a sample whose size is a parameter."""
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ FAMILIES = {
 }
 FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 BUCKETS = 4096
-#: Rows that are fitted on, about, and languages that are told apart: the most frequent.
-MOST_ROWS, MOST_LANGS = 2000, 100
+#: Rows that are fitted on, about, and rows of each language at least, about, where it has them.
+MOST_ROWS, LEAST_ROWS = 2000, 20
+#: Families that are told apart one against one; more are told apart one against the rest.
+MOST_PAIRED = 100
 PIECE = 1 << 20
 _LETTER = re.compile(rb"[A-Za-z]")
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -71,8 +74,25 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 20) -
     return w
 
 
+def fit_rest(x: np.ndarray, label: np.ndarray, among: list[str], cost: float = 1.0, rounds: int = 20) -> np.ndarray:
+    """Weights of a machine for each of among against all others; the same descent for all at once."""
+    a, w = np.zeros((len(x), len(among)), np.float32), np.zeros((len(among), x.shape[1]), np.float32)
+    norm = (x * x).sum(axis=1) + 1e-12
+    own = np.searchsorted(among, label)
+    order = np.random.default_rng(7)
+    for _ in range(rounds):
+        for i in order.permutation(len(x)):
+            y = np.full(len(among), -1.0, np.float32)
+            y[own[i]] = 1.0
+            step = np.clip(a[i] - (y * (w @ x[i]) - 1) / norm[i], 0.0, cost) - a[i]
+            at = np.flatnonzero(step)
+            a[i, at] += step[at]
+            w[at] += (step[at] * y[at])[:, None] * x[i]
+    return w
+
+
 class Model:
-    """Families, languages and the machines between each two of either."""
+    """Families, languages and the machines between each two of either, or for each family if there are very many."""
 
     def __init__(self, x: np.ndarray, langs: list[str]):
         self.langs = sorted(set(langs))
@@ -85,7 +105,12 @@ class Model:
         np.multiply(x - mean, scale, out=z[:, :-1])
         z /= np.float32(np.sqrt(BUCKETS))
         self.of = {f: [c for c in self.langs if FAMILY.get(c, c) == f] for f in self.families}
-        self.pairs = [(*p, family) for p in combinations(self.families, 2)] + [(*p, lang) for f in self.families for p in combinations(self.of[f], 2)]
+        paired = len(self.families) <= MOST_PAIRED
+        self.rest = None
+        if not paired:
+            w = fit_rest(z, family, self.families) / np.sqrt(BUCKETS)
+            self.rest = np.column_stack([w[:, :-1] * scale, w[:, -1] - (w[:, :-1] * scale) @ mean])
+        self.pairs = [(*p, family) for p in combinations(self.families, 2) if paired] + [(*p, lang) for f in self.families for p in combinations(self.of[f], 2)]
         rows = []
         for a, b, label in self.pairs:
             use = (label == a) | (label == b)
@@ -100,11 +125,21 @@ class Model:
         best = max(among, key=lambda c: (sum(m > 0 for m in duels[c]), sum(duels[c]), c))
         return best, 1 / (1 + float(np.exp(-4 * np.clip(min(duels[best], default=5.0), -10, 10))))
 
+    def _first(self, x: np.ndarray) -> tuple[str, float]:
+        """The family whose machine gives the most; its closest duel is with the next."""
+        m = self.rest[:, :-1] @ x + self.rest[:, -1]
+        second, best = np.argsort(m, kind="stable")[-2:]
+        return self.families[best], 1 / (1 + float(np.exp(-4 * np.clip(m[best] - m[second], -10, 10))))
+
     def predict(self, text: bytes | None) -> tuple[str, float]:
         if not self.langs or not has_letter(text):
             return "und", 0.0
-        margin = dict(zip(self.pairs, (self.weights[:, :-1] @ vector(text) + self.weights[:, -1]).tolist(), strict=True))
-        family, p = self._best(self.families, margin)
+        x = vector(text)
+        margin = dict(zip(self.pairs, (self.weights[:, :-1] @ x + self.weights[:, -1]).tolist(), strict=True))
+        if self.rest is None:
+            family, p = self._best(self.families, margin)
+        else:
+            family, p = self._first(x)
         lang, q = self._best(self.of[family], margin)
         return lang, p * q
 
@@ -116,14 +151,16 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, most_rows: int = MOST_ROWS) -> Model:
-    """Fit on training rows of docs (doc_id, text, lang) with a language; of each as many, chosen by hash."""
+    """Fit on training rows of docs (doc_id, text, lang) with a language; of each as many, chosen by hash.
+
+    Every language is learned, of LEAST_ROWS rows or what it has at the least."""
     rows = docs.filter(is_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
-    chosen = F.lit(False)
-    for r in counts:
-        share = min(1.0, most_rows / len(counts) / r["count"])
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))))
-    got = rows.filter(chosen).select("lang", F.col("text").cast("binary")).mapInArrow(_vectors, "lang string, x binary").toArrow()  # about most_rows rows of 16 kB
+    counts = rows.groupBy("lang").count()
+    each = max(most_rows / max(counts.count(), 1), LEAST_ROWS)
+    shares = counts.select("lang", (F.least(F.lit(1.0), F.lit(each) / F.col("count")) * (1 << 30)).cast("long").alias("_share"))
+    # a row a language
+    chosen = rows.join(F.broadcast(shares), "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("_share"))
+    got = chosen.select("lang", F.col("text").cast("binary")).mapInArrow(_vectors, "lang string, x binary").toArrow()  # about most_rows rows of 16 kB
     langs = got.column("lang").to_pylist()
     x = np.array([np.frombuffer(v, "<f4") for v in got.column("x").to_pylist()], np.float32).reshape(len(langs), BUCKETS)
     del got

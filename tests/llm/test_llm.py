@@ -355,6 +355,18 @@ def test_language_families(spark):
     assert langid.identify(empty(spark), none).count() == 0
 
 
+def test_rare_languages_are_learned(spark):
+    word = lambda k: [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + (k * 7 + j * 5) % 26)}" * 2 for j in range(6)]
+    n = lambda k: 30 if k < 120 else 4
+    rows = [(k * 100 + i, " ".join(np.random.default_rng(i).permutation(word(k))), f"x{k:03}") for k in range(130) for i in range(n(k))]
+    df = spark.createDataFrame([*rows, *[(90001 + i, SAID, "en") for i in range(8)], *[(91001 + i, "het oude huis van de man", "nl") for i in range(8)]], "doc_id long, text string, lang string")
+    m = langid.fit(df)
+    assert m.langs == sorted({r[2] for r in rows} | {"en", "nl"})
+    assert m.predict(SAID.encode())[0] == "en" and m.predict(b"het oude huis van de man")[0] == "nl"
+    got = [m.predict(t.encode()) for _, t, _ in rows[-40:]]
+    assert sum(g[0] == c for g, (_, _, c) in zip(got, rows[-40:], strict=True)) > 36 and all(0 <= g[1] <= 1 for g in got)
+
+
 # chats
 def test_chats_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "\\", "<\\s>", "<\\\\/s>", "[TURN]", "\\[TURN]\\", "<s>", "<<SYS>>x<</SYS>>", "", None, "a\nb"]
