@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
+import json
+import os
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,82 +22,168 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Tokens of a file, about; and bytes of text in a range of ids, of which there are so many at most.
 FILE_TOKENS, RANGE_BYTES, MOST_RANGES = 3_000_000, 8_000_000, 50_000
-_RUNS = re.compile(r" ?[A-Za-z]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-MOST_PIECES = 250_000
-
-
-def _odd(t: str) -> bool:
-    """Whether a text has white space other than one blank or one newline between other characters (or a mark of
-    ours): such texts are cut more carefully. What can't be printed includes all other white space."""
-    return "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] in " \n" or t[-1] in " \n" or not t.replace("\n", "a").isprintable()
-
-
-def _byte_letters() -> dict[int, str]:
-    """The letters that stand for bytes in byte-level vocabularies: visible Latin-1 for itself, the rest from 256 on."""
-    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = [b for b in range(256) if b not in visible]
-    return {b: chr(b) if b in visible else chr(256 + rest.index(b)) for b in range(256)}
-
-
-class Encoder(dict):
+#: Bytes of text that are encoded at a time; pieces whose ids a worker keeps, of so many bytes at most.
+CHUNK_BYTES, MOST_PIECES, PIECE_BYTES = 8_000_000, 300_000, 40
+#: Classes of bytes: white space, white space but the blank, ASCII letters, other visible ASCII but digits.
+_SPACE, _BREAK, _LETTER, _SIGN = 1, 2, 4, 8
+
+
+def _classes() -> np.ndarray:
+    out = np.zeros(256, np.uint8)
+    for b in range(128):
+        c = chr(b)
+        if 9 <= b <= 13 or c == " ":
+            out[b] = _SPACE if c == " " else _SPACE | _BREAK
+        elif c.isalpha():
+            out[b] = _LETTER
+        elif b > 32 and b < 127 and not c.isdigit():
+            out[b] = _SIGN
+    return out
+
+
+_CLASS = _classes()
+#: UTF-8 of white space beyond ASCII.
+_WIDE_SPACE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """The class of every byte of UTF-8 text; all bytes of wide white space are white space."""
+    kind = _CLASS[data]
+    for lead in (0xC2, 0xE1, 0xE2, 0xE3):
+        at = np.flatnonzero(data == lead)
+        for form in _WIDE_SPACE if len(at) else ():
+            if form[0] == lead:
+                own = at[at + len(form) <= len(data)]
+                for k in range(1, len(form)):
+                    own = own[data[own + k] == form[k]]
+                for k in range(len(form)):
+                    kind[own + k] = _SPACE
+    return kind
+
+
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places, ascending, at which a byte-level pre-tokenizer can be restarted without changing any pre-token: starts
+    of texts; the first character of a run of white space; its last one, where a character follows that is none, and
+    the place after it if it is no blank; and ASCII signs after letters. The pattern makes one pre-token of a run up
+    to its last character, joins a last blank to what follows, and ends letters where a sign begins. The last place is
+    the end."""
+    kind = kinds(data)
+    found = np.zeros(len(data) + 1, bool)
+    found[starts] = True
+    found[-1] = True
+    before, after, inside = kind[:-1], kind[1:], ~found[1:-1]
+    last = ((before & _SPACE) > (after & _SPACE)) & inside  # a character follows in the same text
+    found[1:-1] |= (after & _SPACE) > (before & _SPACE)
+    found[1:-1] |= last & ((before & _BREAK) > 0)
+    found[:-2] |= last & (data[:-1] < 128)
+    found[1:-1] |= (before == _LETTER) & (after == _SIGN)
+    return np.flatnonzero(found)
+
+
+class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    Pre-tokens never reach across a single blank between other characters, nor across a single newline; so texts are
-    cut there, and every distinct piece is encoded once. Cutting changes no id."""
+    Texts are cut where no pre-token can reach across, equal pieces are found by Arrow's dictionary encoding, and each
+    distinct piece is encoded once; cutting changes no id. That holds for byte-level tokenizers that split by the
+    usual pattern, without a normalizer; the file is read to see whether it is one, and with any other whole texts are
+    the pieces. So are texts that hold an added token."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
-        self.model = self.tokenizer.model
-        self.signs = {x: self._plain(x) for x in ".,"}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    def _plain(self, text: str) -> bytes:
-        return np.array(self._ids(text), self.kind).tobytes()
-
-    def _word(self, p: str) -> bytes:
-        """A single pre-token of letters, by the model alone."""
-        letters = p.encode().decode("latin-1").translate(self.letters)
-        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
-
-    def __missing__(self, p: str) -> bytes:
-        """A new piece: words of Latin letters by the model, with a full stop or comma after them as two pre-tokens;
-        other ASCII pieces run by run of letters, digits or signs; all else by the whole tokenizer."""
-        last = p[-1:]
-        base = p[:-1] if last in (".", ",") else p
-        core = base[1:] if base[:1] == " " else base
-        if core.isalpha() and max(core) < "\u0250":
-            ids = self._word(p) if base is p else self[base] + self.signs[last]
-        elif p.isascii() and "'" not in p and "<|" not in p and " " not in core and "".join(runs := _RUNS.findall(p)) == p != "":
-            ids = self._word(p) if len(runs) == 1 else b"".join([self[r] for r in runs])
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        split = made.get("pre_tokenizer") or {}
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.added = [t["content"] for t in made.get("added_tokens") or []]
+        self.cuttable = made.get("normalizer") is None and {k: split.get(k) for k in usual} == usual and made["model"].get("type") == "BPE" and not made["model"].get("dropout")
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        line = self._library(["\n"])
+        self.line = line[0][0] if self.cuttable and len(line[0]) == 1 else None
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.first, self.sizes = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, and for each its first place among them and how many it has.
+
+        Pieces without inner white space are encoded as the lines of one text: a line break is a pre-token and an id of
+        its own, and is no part of any of them."""
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        text = b"\n".join(pieces)
+        data = np.frombuffer(text, np.uint8)
+        first = np.cumsum(lengths + 1) - lengths - 1
+        spaces = np.concatenate([[0], np.cumsum(kinds(data) & _SPACE, dtype=np.int64)])
+        spaces = spaces[first + lengths] - spaces[first]
+        simple = (spaces == 0) | ((spaces == 1) & (data[first] == 32) & (lengths > 1)) if self.line is not None else np.zeros(len(pieces), bool)
+        if any(a.encode() in text for a in self.added):
+            simple &= [not any(a.encode() in p for a in self.added) for p in pieces]
+        lines, others = np.flatnonzero(simple).tolist(), np.flatnonzero(~simple).tolist()
+        sizes, found = np.zeros(len(pieces), np.int64), np.zeros(0, self.kind)
+        if lines:
+            found = np.array(self._library([b"\n".join([pieces[i] for i in lines]).decode()])[0], self.kind)
+            ends = np.append(np.flatnonzero(found == self.line), len(found))
+            if len(ends) != len(lines):
+                raise ValueError("the tokenizer doesn't keep lines apart")
+            sizes[lines] = np.diff(ends, prepend=-1) - 1
+            found = found[found != self.line]
+        more = self._library([pieces[i].decode() for i in others]) if others else []
+        sizes[others] = [len(x) for x in more]
+        order = lines + others
+        first = np.zeros(len(pieces), np.int64)
+        first[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate([found, np.array([i for x in more for i in x], self.kind)]), first, sizes
+
+    def _dictionary(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of many pieces, with first place and number for each; those not known are encoded, short ones kept."""
+        slot = np.fromiter(map(self.known.get, pieces, [-1] * len(pieces)), np.int64, len(pieces))
+        new = np.flatnonzero(slot < 0)
+        found, at, n = self._new([pieces[i] for i in new])
+        ids, first, sizes = np.concatenate([self.ids, found]), np.concatenate([self.first, at + len(self.ids)]), np.concatenate([self.sizes, n])
+        slot[new] = np.arange(len(self.sizes), len(sizes))
+        if len(self.known) + len(new) > MOST_PIECES:
+            if 2 * len(new) > len(pieces):  # other texts than those before: begin anew
+                self.clear()
         else:
-            ids = self._plain(p)
-        self[p] = ids
-        return ids
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed ids of each text, without an end; null is empty."""
-        if len(self) > MOST_PIECES:
-            self.clear()
-        parts = []
-        for t in texts:
-            if not t:
-                parts.append([])
-            elif _odd(t):
-                a, *more = _CUT.split(t)
-                parts.append([a, *[" " + x for x in more]])
-            else:
-                parts.append(t.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01"))
-        get = self.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+            self.known.update((pieces[i], int(slot[i])) for i in new if len(pieces[i]) <= PIECE_BYTES)
+            self.ids, self.first, self.sizes = ids, first, sizes
+        return ids, first[slot], sizes[slot]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by the end, and their number for each text; null is empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        starts = offsets - offsets[0]
+        whole = [b"" if not self.cuttable else a.encode() for a in self.added]
+        held = np.zeros(len(texts), bool)
+        if not self.cuttable:
+            held[:] = True
+        elif any(data.tobytes().find(a) >= 0 for a in whole):
+            held = np.array([any(a in t for a in self.added) for t in texts.to_pylist()], bool)
+        at = cuts(data, starts)
+        if held.any():  # no cut within these texts
+            own = np.searchsorted(starts, at, "right") - 1
+            inside = (at < len(data)) & held[np.minimum(own, len(texts) - 1)] & ~np.isin(at, starts)
+            at = at[~inside]
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        ids, first, size = self._dictionary(pieces.dictionary.to_pylist())
+        ids, end = np.append(ids, self.kind(END_ID)), len(first)
+        first, size = np.append(first, len(ids) - 1), np.append(size, 1)
+        slot = np.insert(pieces.indices.to_numpy(), np.searchsorted(at, starts[1:]), end)  # an end after each text
+        n = size[slot]
+        until = np.cumsum(n)
+        total = int(until[-1]) if len(n) else 0
+        out = ids[np.repeat(first[slot] - until + n, n) + np.arange(total)]
+        ends = until[slot == end]
+        return out, np.diff(ends, prepend=0)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -120,32 +207,38 @@ def put(uri: str, name: str, data: bytes) -> None:
     store.move(part, f"{root}/{name}")
 
 
+def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """First row and rows of parts of about so many bytes; a longer text is a part by itself."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
+    a = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, "right")))
+        yield a, b - a
+        a = b
+
+
 def _written(uri: str, path: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, enc = TaskContext.get().partitionId(), encoder(path)
-        end, seq, rows = np.array([END_ID], enc.kind).tobytes(), 0, []
-        docs, ids, size = [], [], 0
+        seq, rows, docs, ids, sizes = 0, [], [], [], []
 
         def flush() -> None:
-            nonlocal seq, docs, ids, size
-            if docs:
-                width = np.dtype(enc.kind).itemsize
-                data = wavelet.to_bytes(np.frombuffer(b"".join(ids), enc.kind), np.array([len(x) // width for x in ids]), docs, part=own, seq=seq)
-                put(uri, f"tokens-{own:06d}-{seq:06d}.qwm", data)
-                rows.append((own, seq, len(docs), size))
-                seq, docs, ids, size = seq + 1, [], [], 0
+            nonlocal seq, docs, ids, sizes
+            n = np.concatenate(sizes)
+            put(uri, f"tokens-{own:06d}-{seq:06d}.qwm", wavelet.to_bytes(np.concatenate(ids), n, docs, part=own, seq=seq))
+            rows.append((own, seq, len(docs), int(n.sum())))
+            seq, docs, ids, sizes = seq + 1, [], [], []
 
         for b in batches:
-            names, texts = b.column(0).to_pylist(), b.column(1)
-            for i in range(0, len(names), 128):
-                for d, x in zip(names[i : i + 128], enc.encode(texts.slice(i, 128).to_pylist()), strict=True):
-                    docs.append(d)
-                    ids.append(x + end)
-                    size += len(ids[-1]) // np.dtype(enc.kind).itemsize
-                    if size >= most:
-                        flush()
-        flush()
-        enc.clear()  # the worker stays for other stages
+            for a, k in _slices(b.column(1), min(CHUNK_BYTES, 2 * most)):
+                out, n = enc.encode(b.column(1).slice(a, k))
+                docs += b.column(0).slice(a, k).to_pylist()
+                ids.append(out)
+                sizes.append(n)
+                if sum(map(len, ids)) >= most:
+                    flush()
+        if docs:
+            flush()
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.int64()))], ["part", "seq", "docs", "tokens"])
 

@@ -331,15 +331,56 @@ def test_tokens_round_trip(spark):
     assert token_files.tokenized(df.filter("doc_id < 0")).count() == 0
 
 
-def test_wavelet_queries():
-    a = np.random.default_rng(1).integers(0, 300, 3000).astype(np.uint16)
-    header, names, lengths, m = wavelet.from_bytes(wavelet.to_bytes(a, np.array([1000, 2000]), [None, 7]))
+def test_cutting_changes_no_id():
+    import pyarrow as pa
+    import public_tokenizers
+
+    bits = ["'s", "'ll", "don't", " ", " ", "  ", "\n", "\n\n", "\t", "\xa0", "\x85", "\r\n", "\u2003", "\u3000", "a", "B", "word", "é", "ñandú", "é.", "×", "漢字", "😀", "\u0301", "٣", "1", "23", ".", ",", "...",
+            "<|endoftext|>", "<|", "|>", "\x1c", "\x00", "\x0b", "“q”", "I'm", "'", '"', "-", "_", "ß.", "\u200b", "\ufeff"]
+    rng = np.random.default_rng(4)
+    texts = ["".join(bits[i] for i in rng.integers(0, len(bits), rng.integers(0, 14))) for _ in range(60_000)] + [None, "", " ".join(map(str, rng.integers(0, 10**6, 300_000)))]
+    e = token_files.Encoder(token_files.TOKENIZER)
+    assert e.cuttable
+    for i in range(0, len(texts), 9001):
+        part = texts[i : i + 9001]
+        got, n = e.encode(pa.array(part))
+        want = [[*x.ids, 0] for x in e.tokenizer.encode_batch_fast([t or "" for t in part], add_special_tokens=False)]
+        assert n.tolist() == list(map(len, want)) and got.tolist() == list(itertools.chain(*want))
+    other = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))  # another pre-tokenizer: whole texts
+    got, n = other.encode(pa.array(texts[:500]))
+    assert not other.cuttable and got.tolist() == list(itertools.chain(*[[*other.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts[:500]]))
+
+
+@pytest.mark.parametrize("ids", [np.random.default_rng(1).integers(0, 300, 3000), np.random.default_rng(2).zipf(1.3, 3000) % 60_000, np.full(3000, 7), np.arange(3000)])
+def test_wavelet_queries(ids):
+    a = ids.astype(np.uint16)
+    data = wavelet.to_bytes(a, np.array([1000, 2000]), [None, 7])
+    header, names, lengths, m = wavelet.from_bytes(data)
     assert (m.ids() == a).all() and names == [None, 7] and lengths.tolist() == [1000, 2000]
     for i, c in zip(range(0, 3000, 61), a[::61].tolist()):
         where = np.flatnonzero(a == c)
         assert m.access(i) == a[i] and m.rank(c, i) == (a[:i] == c).sum() and m.count(c) == len(where) and m.select(c, len(where) - 1) == where[-1]
     with pytest.raises(IndexError):
-        m.select(1000, 0)
+        m.select(65_000, 0)
+    f = wavelet.TokenFile(data)
+    c = int(a[-1])
+    assert f.token(1, 1999) == c and f.count_in(c, 0) == (a[:1000] == c).sum() and f.occurrence(c, f.matrix.count(c) - 1) == (1, 1999)
+
+
+def test_wavelet_code_lengths_are_the_best():
+    import heapq
+
+    counts = np.sort(np.random.default_rng(3).zipf(1.4, 200))
+    heap = [(int(c), i, 0) for i, c in enumerate(counts)]
+    heapq.heapify(heap)
+    total = 0
+    while len(heap) > 1:
+        (a, _, _), (b, i, _) = heapq.heappop(heap), heapq.heappop(heap)
+        total += a + b
+        heapq.heappush(heap, (a + b, i, 0))
+    lengths = wavelet.code_lengths(counts)
+    assert (counts * lengths).sum() == total and (lengths[:-1] >= lengths[1:]).all() and (0.5**lengths).sum() == 1
+    assert wavelet.WaveletMatrix.of(np.zeros(0, np.uint16)).ids().tolist() == []
 
 
 # languages
