@@ -57,19 +57,31 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t("orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("o_orderdate").cast("date").alias("ordered"), "o_orderstatus", "o_orderpriority", "c_mktsegment", "c_acctbal", "n_name", "r_name")
 
 
+def _dirt(clean, *cases):
+    """clean, but for the first condition that holds its text."""
+    out = None
+    for condition, text in cases:
+        out = F.when(condition, text) if out is None else out.when(condition, text)
+    return out.otherwise(clean)
+
+
 def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row a line of an order, a version of its spell; orders without lines have one row.
 
-    source_row orders the versions of a spell, and needs no order over all rows."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("shipped"), "l_returnflag", "l_linenumber")
+    source_row orders the versions of a spell, and needs no order over all rows. Some rows are made dirty by their
+    own values, so that every rule of the catalogue is broken by some."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("shipped"), "l_returnflag", "l_linenumber", "l_quantity")
     rows = places(spark, sf_dir).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     order = Window.partitionBy("o_orderkey").orderBy(F.asc_nulls_first("l_linenumber"), "shipped", "l_returnflag")
     kind = F.when(F.col("o_orderstatus") == "F", "Voluntary").when(F.col("o_orderstatus") == "O", "Involuntary").otherwise("End of Contract")
+    hired, left = F.date_format("ordered", "yyyy-MM-dd"), F.coalesce(F.date_format("shipped", "yyyy-MM-dd"), F.lit(""))
+    poor, few = F.col("c_acctbal"), F.col("l_quantity")
     return rows.select(
-        F.col("o_orderkey").cast("string").alias("employee_id"), F.col("r_name").alias("country_code"), F.col("c_mktsegment").alias("business_unit"),
-        F.col("n_name").alias("job_family"), F.col("o_orderpriority").alias("career_level"), F.when(F.col("c_acctbal") >= 0, "Permanent").otherwise("Fixed Term").alias("employment_type"),
-        F.date_format("ordered", "yyyy-MM-dd").alias("hire_date"), F.coalesce(F.date_format("shipped", "yyyy-MM-dd"), F.lit("")).alias("termination_date"),
-        F.when(F.col("l_orderkey").isNotNull(), kind).otherwise("").alias("termination_type"),
+        F.col("o_orderkey").cast("string").alias("employee_id"), _dirt(F.col("r_name"), (poor < -900, " ")).alias("country_code"), F.col("c_mktsegment").alias("business_unit"),
+        F.col("n_name").alias("job_family"), F.col("o_orderpriority").alias("career_level"), F.when(poor >= 0, "Permanent").otherwise("Fixed Term").alias("employment_type"),
+        _dirt(hired, (poor.between(-900, -800), ""), (poor.between(-800, -700), F.date_format("ordered", "yyyy-MM"))).alias("hire_date"),
+        _dirt(left, (few == 1, ""), ((few == 2) & (poor < 0), "soon")).alias("termination_date"),
+        _dirt(F.when(F.col("l_orderkey").isNotNull(), kind).otherwise(""), (few == 3, "")).alias("termination_type"),
         F.when(F.col("l_returnflag") == "R", "true").when(F.col("l_returnflag") == "N", "false").otherwise("").alias("regretted_exit"),
         F.concat(F.lit("HCM_"), F.coalesce("l_returnflag", F.lit("O"))).alias("source_system"), F.date_format(F.coalesce("shipped", "ordered"), "yyyy-MM-dd").alias("record_updated_at"),
         (F.col("o_orderkey") * 1000 + F.row_number().over(order)).alias("source_row"),
@@ -77,28 +89,35 @@ def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly, quarterly and yearly series by region, and a sparse monthly one by nation, as a provider would send them."""
+    """Monthly, quarterly and yearly series by region, and sparse monthly ones by nation, as a provider would send them.
+
+    Lines and orders are summed once, by month; all series are unfolded from those sums and summed again."""
     p = places(spark, sf_dir)
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("shipped"), "l_quantity")
-    lines = lines.join(p.select("o_orderkey", "r_name"), F.col("l_orderkey") == F.col("o_orderkey"))
     month = lambda d: F.date_format(d, "yyyy-MM")
-    quarter = F.concat(F.year("shipped"), F.lit("-Q"), F.quarter("shipped"))
     none = F.lit(None).cast("string")
 
-    def made(df: DataFrame, name: str, frequency: str, geo: str, period, release, value) -> DataFrame:
-        by = df.groupBy(F.col(geo).alias("geo"), period.alias("source_period"), release.alias("release_code")).agg(value.cast("double").alias("value"))
-        return by.withColumns({"indicator_id": F.lit(name), "frequency": F.lit(frequency)})
-
-    parts = [
-        made(lines, "ship_lines", "M", "r_name", month("shipped"), none, F.count("*")),
-        made(lines, "ship_quantity", "Q", "r_name", quarter, none, F.sum(F.col("l_quantity").cast("long"))),
-        made(p, "order_count", "A", "r_name", F.year("ordered").cast("string"), none, F.count("*")),
-        made(p.filter("o_orderstatus in ('F', 'O')"), "order_status", "M", "r_name", month("ordered"), F.when(F.col("o_orderstatus") == "F", "FIN").otherwise("FLS"), F.count("*")),
-        made(p.filter("o_orderpriority = '1-URGENT' and o_orderstatus = 'P'"), "rare_orders", "M", "n_name", month("ordered"), none, F.count("*")),
+    def part(when, name: str, frequency: str, geo: str, period, release, value):
+        return F.when(when, F.struct(F.lit(name).alias("indicator_id"), F.lit(frequency).alias("frequency"), F.col(geo).alias("geo"), period.alias("source_period"), release.alias("release_code"), F.lit("all").alias("copy"), value.cast("long").alias("value")))
+
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("m"), F.col("l_quantity").cast("long").alias("pieces"))
+    lines = lines.join(p.select("o_orderkey", "r_name"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("r_name", "m").agg(F.count("*").alias("n"), F.sum("pieces").alias("pieces"))
+    quarter = F.concat(F.year("m"), F.lit("-Q"), F.quarter("m"))
+    shipped = [part(F.lit(True), "ship_lines", "M", "r_name", month("m"), none, F.col("n")), part(F.lit(True), "ship_quantity", "Q", "r_name", quarter, none, F.col("pieces"))]
+    orders = p.groupBy("r_name", "n_name", F.trunc("ordered", "month").alias("m"), "o_orderstatus", (F.col("o_orderpriority") == "1-URGENT").alias("urgent")).agg(F.count("*").alias("n"))
+    open_, urgent = F.col("o_orderstatus") == "P", F.col("urgent")
+    rare = urgent & open_
+    ordered = [
+        part(F.lit(True), "order_count", "A", "r_name", F.year("m").cast("string"), none, F.col("n")),
+        part(~open_, "order_status", "M", "r_name", month("m"), F.when(F.col("o_orderstatus") == "F", "FIN").otherwise("FLS"), F.col("n")),
+        part(rare, "rare_orders", "M", "n_name", month("m"), none, F.col("n")),
+        # a value that came twice, one that can't be read, and one that is missing
+        part(rare & (F.month("m") == 2), "rare_orders", "M", "n_name", month("m"), none, F.col("n")).withField("copy", F.lit("again")),
+        part(rare & (F.month("m") == 3), "rare_orders", "M", "n_name", F.concat(month("m"), F.lit("?")), none, F.col("n")),
+        part(rare & (F.month("m") == 4), "rare_orders", "M", "n_name", F.concat(F.year("m"), F.lit("-01")), F.lit("LATE"), F.lit(None)),
     ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
+    unfolded = [df.select(F.explode(F.array_compact(F.array(*parts))).alias("x")).select("x.*") for df, parts in ((lines, shipped), (orders, ordered))]
+    key = ["indicator_id", "frequency", "geo", "source_period", "release_code"]
+    out = unfolded[0].unionByName(unfolded[1]).groupBy(*key, "copy").agg(F.sum("value").cast("double").alias("value"))
     few = F.col("value") <= 1
     return out.select(
         "indicator_id", F.lit(PROVIDER).alias("provider"), F.concat(F.lit("set_"), "indicator_id").alias("dataset"), "frequency", "geo", "source_period", "release_code", "value",

@@ -1,4 +1,4 @@
-"""Command line: ingest, curate, analyse, run, health. Exit codes: 0 done, 1 a gate or step failed, 2 wrong use."""
+"""Command line. Exit codes: 0 done, 1 a gate or step failed, 2 wrong use or settings."""
 
 from __future__ import annotations
 
@@ -6,15 +6,27 @@ import argparse
 import json
 import logging
 import sys
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from quillon import pipeline, serving
-from quillon.config import ConfigError, standard
+from quillon import __version__, http_api, pipeline, serving
+from quillon.config import ConfigError, Settings, standard
 from quillon.session import session
 from quillon.sources import ingest as ingestion
-from quillon.sources.contract import CurateError
+from quillon.sources import settings as files
+from quillon.sources.contract import CurateError, Indicator
 from quillon.sources.files import SnapshotStore, lifecycle_csv
 
 log = logging.getLogger("quillon")
+STEPS = {
+    "ingest": "fetch or replay the series",
+    "curate": "lifecycle rows and series to checked tables",
+    "analyse": "checked tables to measures and models",
+    "run": "ingest, curate and analyse",
+    "health": "whether all tables are built",
+    "serve": "answer questions over HTTP",
+    "version": "the version",
+}
 
 
 class JsonLines(logging.Formatter):
@@ -26,52 +38,113 @@ def logs(as_json: bool) -> None:
     handler = logging.StreamHandler()
     handler.setFormatter(JsonLines() if as_json else logging.Formatter("%(levelname)s %(name)s %(message)s"))
     logging.basicConfig(level=logging.INFO, handlers=[handler], force=True)
+    logging.getLogger("py4j").setLevel(logging.WARNING)
 
 
-def main(args: list[str] | None = None) -> int:
+def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="quillon", description=__doc__)
-    p.add_argument("step", choices=("ingest", "curate", "analyse", "run", "health"))
-    p.add_argument("--lifecycle", help="CSV file or folder of lifecycle rows")
+    p.add_argument("step", choices=STEPS, help="; ".join(f"{k}: {v}" for k, v in STEPS.items()))
+    p.add_argument("--config", help="folder of settings files (default: the standard settings)")
+    p.add_argument("--lifecycle", help="CSV file or folder of lifecycle rows (default: what the settings name)")
     p.add_argument("--snapshots", default="snapshots", help="folder of stored payloads")
     p.add_argument("--tables", default="tables", help="folder of finished tables")
     p.add_argument("--reports", default="reports", help="folder of reports")
+    p.add_argument("--only", action="append", metavar="INDICATOR", help="ingest this series alone; may be repeated")
     p.add_argument("--live", action="store_true", help="fetch instead of replaying snapshots")
+    p.add_argument("--host", default="127.0.0.1")
+    p.add_argument("--port", type=int, default=8000)
     p.add_argument("--json-logs", action="store_true")
+    return p
+
+
+@dataclass(frozen=True)
+class Job:
+    args: argparse.Namespace
+    settings: Settings
+    indicators: tuple[Indicator, ...]
+    lifecycle: str | None
+    sources: dict
+
+    def chosen(self) -> tuple[Indicator, ...]:
+        only = self.args.only or [i.id for i in self.indicators]
+        if odd := set(only) - {i.id for i in self.indicators}:
+            raise ConfigError(f"no indicator {', '.join(sorted(odd))}")
+        return tuple(i for i in self.indicators if i.id in only)
+
+
+def job(a: argparse.Namespace) -> Job:
+    """The arguments with the settings that they name."""
+    if a.config:
+        d = files.load(a.config)
+        out = Job(a, d.settings, d.indicators, a.lifecycle or d.lifecycle, ingestion.sources(d.base_urls))
+    else:
+        out = Job(a, standard(), ingestion.STANDARD, a.lifecycle, ingestion.sources({}))
+    if a.step in ("curate", "run") and not out.lifecycle:
+        raise ConfigError("--lifecycle is needed")
+    out.chosen()
+    return out
+
+
+def ingested(spark, j: Job) -> bool:
+    """Whether all series could be read; each run leaves a manifest of its own."""
+    outcomes = ingestion.ingest(spark, SnapshotStore(j.args.snapshots), j.chosen(), j.args.live, sources=j.sources)
+    run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    ingestion.manifest(f"{j.args.reports}/runs/{run_id}.json", run_id, outcomes)
+    for o in outcomes:
+        if not o.ok:
+            log.error("%s could not be read: %s", o.indicator_id, o.error)
+    return all(o.ok for o in outcomes)
+
+
+def curated(spark, j: Job) -> dict:
+    """Tables of the rows and series at hand; the gate stops after the report is written."""
+    staged, missing = ingestion.staged(spark, SnapshotStore(j.args.snapshots), j.indicators, j.sources)
+    log.info("series missing: %s", missing or "none")
+    tables = pipeline.curate(spark, lifecycle_csv(spark, j.lifecycle), staged, j.settings, j.args.tables)
+    pipeline.report(tables, j.settings, j.args.reports, pipeline.origin(j.lifecycle) | {"missing_indicators": missing})
+    pipeline.gate(tables)
+    return tables
+
+
+def done(spark, j: Job) -> bool:
+    a, good = j.args, True
+    if a.step == "health":
+        state = serving.health(spark, a.tables)
+        print(json.dumps(state))
+        return state["status"] == "ok"
+    if a.step == "serve":
+        with http_api.server(serving.Service(spark, a.tables, j.settings), a.host, a.port) as s:
+            log.info("listening on %s:%s", *s.server_address)
+            s.serve_forever()
+    if a.step in ("ingest", "run"):
+        good = ingested(spark, j)
+    tables = curated(spark, j) if a.step in ("curate", "run") else {}
+    if a.step in ("analyse", "run"):
+        pipeline.report(tables | pipeline.analyse(spark, j.settings, a.tables), j.settings, a.reports)
+    return good
+
+
+def main(args: list[str] | None = None) -> int:
     try:
-        a = p.parse_args(args)
+        a = parser().parse_args(args)
     except SystemExit as e:
         return int(e.code or 0)
     logs(a.json_logs)
-    if a.step in ("curate", "run") and not a.lifecycle:
-        log.error("--lifecycle is needed")
+    if a.step == "version":
+        print(__version__)
+        return 0
+    try:
+        j = job(a)
+    except ConfigError as e:
+        log.error("%s", e)
         return 2
-    spark, s, store = session(), standard(), SnapshotStore(a.snapshots)
     try:
-        if a.step == "health":
-            state = serving.health(spark, a.tables)
-            print(json.dumps(state))
-            return int(state["status"] != "ok")
-        failed = []
-        if a.step in ("ingest", "run"):
-            outcomes = ingestion.ingest(spark, store, ingestion.STANDARD, a.live)
-            ingestion.manifest(f"{a.reports}/ingest.json", "latest", outcomes)
-            failed = [o.indicator_id for o in outcomes if not o.ok]
-            for i in failed:
-                log.error("%s could not be read", i)
-        if a.step in ("curate", "run"):
-            staged, missing = ingestion.staged(spark, store, ingestion.STANDARD)
-            log.info("series missing: %s", missing or "none")
-            raw = lifecycle_csv(spark, a.lifecycle)
-            if a.step == "run":
-                pipeline.run(spark, raw, staged, s, a.tables, a.reports)
-            else:
-                pipeline.report(pipeline.curate(spark, raw, staged, s, a.tables), a.tables, a.reports)
-        if a.step == "analyse":
-            pipeline.analyse(spark, s, a.tables)
-        return int(bool(failed))
-    except (pipeline.GateError, ConfigError, CurateError) as e:
+        return int(not done(session(), j))
+    except (pipeline.GateError, CurateError) as e:
         log.error("%s", e)
         return 1
+    except KeyboardInterrupt:
+        return 0
 
 
 if __name__ == "__main__":

@@ -20,16 +20,46 @@ def wilson(k: Column, n: Column, upper: bool) -> Column:
     return F.when((n > 0) & (k >= 0) & (k <= n), (centre + half if upper else centre - half) / (1 + z2 / n))
 
 
+#: Steps of p-values that are ranked apart: even ones, and one for each halving below the first.
+BINS = 4096
+
+
+def p_bin(p: Column) -> Column:
+    """A number that rises with p, one of a few thousand."""
+    return F.when(p * BINS >= 1, F.floor(p * BINS)).when(p > 0, -F.ceil(-F.log2(p))).otherwise(-2000).cast("int")
+
+
 def benjamini_hochberg(df: DataFrame, p: str = "p_value", q: str = "q_value") -> DataFrame:
-    """Add q-values of the rows that have a p-value. One row a test, so a single window is meant."""
+    """Add q-values of the rows that have a p-value: the least of p * m / rank over this and all larger p.
+
+    Equal p-values are counted first and ranked once. Ranks and minima are taken bin by bin; what stands in lower and
+    higher bins is added from a table of a row a bin, the only one that a single task sees."""
     tests = df.filter(F.col(p).isNotNull())
-    up = Window.orderBy(F.col(p).asc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    down = Window.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = tests.withColumn("_r", F.count("*").over(up)).withColumn("_m", F.count("*").over(Window.partitionBy()))
-    ranked = ranked.withColumn(q, F.least(F.lit(1.0), F.min(F.col(p) * F.col("_m") / F.col("_r")).over(down))).drop("_r", "_m")
+    by = tests.groupBy(F.col(p).alias("_p")).agg(F.count("*").alias("_n")).withColumn("_b", p_bin(F.col("_p")))
+    bins = by.groupBy("_b").agg(F.sum("_n").alias("_s"))
+    lower = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select("_b", F.coalesce(F.sum("_s").over(lower), F.lit(0)).alias("_o"), F.sum("_s").over(Window.partitionBy()).alias("_t"))
+    rank = F.col("_o") + F.sum("_n").over(Window.partitionBy("_b").orderBy("_p"))
+    raw = by.join(F.broadcast(bins), "_b").withColumn("_q", F.col("_p") * F.col("_t") / rank)
+    higher = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    least = raw.groupBy("_b").agg(F.min("_q").alias("_l")).select("_b", F.min("_l").over(higher).alias("_l"))
+    down = F.min("_q").over(Window.partitionBy("_b").orderBy(F.desc("_p")))
+    found = raw.join(F.broadcast(least), "_b").select("_p", F.least(F.lit(1.0), down, "_l").alias(q))  # least() passes over nulls
+    ranked = tests.join(found, F.col(p) == F.col("_p")).drop("_p")
     return ranked.unionByName(df.filter(F.col(p).isNull()).withColumn(q, F.lit(None).cast("double")))
 
 
+def q_values(p: list[float | None]) -> list[float | None]:
+    """The same for a list on the driver."""
+    known = sorted(x for x in p if x is not None)
+    found: dict[float, float] = {}
+    least = 1.0
+    for rank in range(len(known), 0, -1):
+        least = min(least, known[rank - 1] * len(known) / rank)
+        found[known[rank - 1]] = least
+    return [None if x is None else found[x] for x in p]
+
+
 def p_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 

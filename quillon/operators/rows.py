@@ -22,6 +22,12 @@ def latest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return ranked_duplicates(df, key, order, "_v").filter("_v = 1").drop("_v")
 
 
+def fenced(c: Column) -> Column:
+    """The same value, worked out once: a filter on it stays above the projection that makes it, where the optimizer
+    would otherwise repeat the whole expression in the filter and in all that it infers from it."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 @dataclass(frozen=True)
 class Rule:
     """A data-quality rule. severity: error, exclude, exclude_country, corrected or warn."""
@@ -31,10 +37,14 @@ class Rule:
     text: str
 
 
+def broken(rules: list[tuple[str, Column]]) -> Column:
+    """The ids of the rules that a row breaks, in their order; a rule that is null doesn't hold."""
+    return F.array_compact(F.array(*[F.when(p, F.lit(i)) for i, p in rules]))
+
+
 def hits(df: DataFrame, keep: list[str], rules: list[tuple[str, Column]]) -> DataFrame:
-    """One row for each rule that a row breaks, in one pass; a rule that is null doesn't hold."""
-    found = F.array_compact(F.array(*[F.when(p, F.lit(i)) for i, p in rules]))
-    return df.select(*keep, F.explode(found).alias("rule_id"))
+    """One row for each rule that a row breaks, in one pass."""
+    return df.select(*keep, F.explode(broken(rules)).alias("rule_id"))
 
 
 def rule_counts(catalogue: DataFrame, events: DataFrame) -> DataFrame:

@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from datetime import date
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillon.config import Settings
-from quillon.functions.stats import Z_EXACT, ModelFailed, benjamini_hochberg, clustered_logit, p_two_sided, six_digits
+from quillon.functions.stats import Z_EXACT, ModelFailed, clustered_logit, p_two_sided, q_values, six_digits
 from quillon.operators.slices import UNASSIGNED
 
+# Columns of the results in their order, models, outcomes and notes, as readers of the table know them.
 RESULT = (
-    "objective_id string, indicator_id string, outcome string, n_obs long, n_events long, model string, n_clusters long, "
+    "objective_id string, indicator_id string, model string, outcome string, n_obs long, n_events long, n_clusters long, "
     "signal_sd_within double, odds_ratio double, ci_low double, ci_high double, p_value double, q_value double, note string"
 )
+NAIVE, WITHIN = "naive", "within_country"
+OUTCOMES = {"cohort": "exit within {} months of hire", "turnover": "regretted exit in the month (per person-month at risk)"}
+NO_EVENTS, NO_VARIATION, FAILED = "no events", "no within-country variation", "model failed: {}: {}"
 
 
-def model_cells(members: DataFrame, person_months: DataFrame, asof: DataFrame, s: Settings) -> DataFrame:
+def model_cells(members: DataFrame, month_counts: DataFrame, asof: DataFrame, s: Settings) -> DataFrame:
     """(objective, indicator, country, month): persons, events and the signal's value.
 
     Persons are summed before the signal is joined, so what is joined has a row a country and month."""
@@ -27,8 +33,8 @@ def model_cells(members: DataFrame, person_months: DataFrame, asof: DataFrame, s
     by = hires.groupBy("objective_id", F.col("country_key").alias("country_code"), F.col("cohort_month").alias("as_of_date")).agg(F.count("*").alias("n"), F.count_if("lost").alias("events"))
     for o in s.objectives:
         if o.measure == "turnover":
-            at_risk = person_months.filter((F.col("month_start") >= F.lit(s.reporting_start)) & (F.col("country_key") != UNASSIGNED))
-            more = at_risk.groupBy(F.lit(o.id).alias("objective_id"), F.col("country_key").alias("country_code"), F.col("month_start").alias("as_of_date")).agg(F.count("*").alias("n"), F.count_if("regretted_exit").alias("events"))
+            at_risk = month_counts.filter((F.col("month_start") >= F.lit(s.reporting_start)) & (F.col("country_key") != UNASSIGNED))
+            more = at_risk.groupBy(F.lit(o.id).alias("objective_id"), F.col("country_key").alias("country_code"), F.col("month_start").alias("as_of_date")).agg(F.sum("at_risk").alias("n"), F.sum("regretted").alias("events"))
             by = by.unionByName(more)
     known = asof.select("indicator_id", "country_code", "as_of_date", "value")
     return by.join(known, ["country_code", "as_of_date"]).select("objective_id", "indicator_id", "country_code", "as_of_date", "n", "events", "value")
@@ -41,46 +47,67 @@ def quarter_cells(cells: DataFrame) -> DataFrame:
     return by.select("objective_id", "indicator_id", "country_code", "period_start", "n", "events", F.round(F.col("_s") / F.col("n"), 6).alias("signal_mean"), F.round(F.col("events") / F.col("n"), 6).alias("event_rate"))
 
 
+class Pair:
+    """The cells of one objective and one signal that have a value, as arrays."""
+
+    def __init__(self, cells: list[tuple[str, date, int, int, float]]):
+        country, month, n, events, value = zip(*cells, strict=True) if cells else ((),) * 5
+        self.n, self.events, self.value = np.array(n, float), np.array(events, float), np.array(value, float)
+        self.month = np.array([m.year * 12 + m.month for m in month], float)
+        self.country = np.unique(np.array(country, str), return_inverse=True)[1]
+
+    def spread(self) -> float:
+        """Sample deviation of the signal from its countries' means, over cells."""
+        if len(self.value) < 3:
+            return math.nan
+        size = np.bincount(self.country)
+        off = self.value - (np.bincount(self.country, self.value) / size)[self.country]
+        return math.sqrt(float(off @ off) / (len(off) - 1))
+
+    def designs(self, unit: float, start: date) -> Iterator[tuple[str, np.ndarray]]:
+        """The columns of each model: the signal in units of its spread comes second."""
+        x = np.column_stack([np.ones(len(self.value)), self.value / unit])
+        yield NAIVE, x
+        yield WITHIN, np.column_stack([x, self.month - (start.year * 12 + start.month), np.eye(self.country.max() + 1)[self.country][:, 1:]])
+
+
+def estimates(pair: Pair, x: np.ndarray) -> dict:
+    """Odds ratio with its interval and p-value, in six digits, or a note of what failed."""
+    try:
+        b, cov = clustered_logit(x, pair.n, pair.events)
+        beta, error = float(b[1]), math.sqrt(cov[1, 1])
+        at = {"odds_ratio": beta, "ci_low": beta - Z_EXACT * error, "ci_high": beta + Z_EXACT * error}
+        return {k: six_digits(math.exp(v)) for k, v in at.items()} | {"p_value": six_digits(p_two_sided(beta / error)), "note": ""}
+    except (ModelFailed, np.linalg.LinAlgError, OverflowError, ZeroDivisionError, ValueError) as e:
+        return {"note": FAILED.format(type(e).__name__, e)[:200]}
+
+
+def fit_pair(cells: list[tuple[str, date, int, int, float]], start: date) -> list[dict]:
+    """Both models of one pair. cells: country, month, persons, events, value."""
+    pair = Pair(cells)
+    counts = {"n_obs": int(pair.n.sum()), "n_events": int(pair.events.sum())}
+    unit = pair.spread()
+    if not counts["n_events"] or not unit > 0 or math.isinf(unit):
+        note = NO_VARIATION if counts["n_events"] else NO_EVENTS
+        return [counts | {"model": m, "n_clusters": 0, "note": note} for m in (NAIVE, WITHIN)]
+    fixed = counts | {"n_clusters": len(cells), "signal_sd_within": six_digits(unit)}
+    return [fixed | {"model": m} | estimates(pair, x) for m, x in pair.designs(unit, start)]
+
+
 def fit_associations(cells: DataFrame, s: Settings) -> DataFrame:
     """Odds ratios for every objective and signal: naive, and within countries with a trend.
 
     Cells are of countries and months: a few hundred rows a model reach the driver, whatever the number of persons.
     What can't be fitted has nulls and a note. q-values are over the within-country tests."""
-    spark = cells.sparkSession
     groups: dict[tuple[str, str], list] = {}
     for r in cells.orderBy("objective_id", "indicator_id", "country_code", "as_of_date").toLocalIterator():
-        groups.setdefault((r["objective_id"], r["indicator_id"]), []).append(r)
-    kinds = {o.id: "left before the anniversary" if o.measure == "cohort" else "regretted exit in the month" for o in s.objectives}
-    rows = [x for (o, i), g in groups.items() for x in fit_pair(o, i, kinds.get(o, ""), [(r["country_code"], r["as_of_date"], r["n"], r["events"], r["value"]) for r in g if r["value"] is not None], s.reporting_start)]
-    out = spark.createDataFrame(rows, RESULT)
-    tests = benjamini_hochberg(out.filter("model = 'within_country'").drop("q_value"))
-    tests = tests.withColumn("q_value", F.when(F.col("q_value").isNotNull(), F.format_string("%.5e", "q_value").cast("double")))
-    return out.filter("model <> 'within_country'").unionByName(tests)
-
-
-def fit_pair(objective: str, indicator: str, outcome: str, cells: list[tuple[str, date, int, int, float]], start: date) -> list[tuple]:
-    """Both models of one pair. cells: country, month, persons, events, value."""
-    n_obs, n_events = sum(c[2] for c in cells), sum(c[3] for c in cells)
-    base = (objective, indicator, outcome, n_obs, n_events)
-    names = sorted({c[0] for c in cells})
-    value = np.array([c[4] for c in cells], float)
-    place = np.array([names.index(c[0]) for c in cells], int)
-    means = np.array([value[place == i].mean() for i in range(len(names))]) if cells else np.zeros(0)
-    sd = float((value - means[place]).std(ddof=1)) if len(cells) > 2 else math.nan
-    if not math.isfinite(sd) or sd == 0 or n_events == 0:
-        note = "no within-country variation" if n_events else "no events"
-        return [(*base, m, 0, None, None, None, None, None, None, note) for m in ("naive", "within_country")]
-    n, events = np.array([c[2] for c in cells], float), np.array([c[3] for c in cells], float)
-    one, x = np.ones(len(cells)), value / sd
-    trend = np.array([(c[1].year - start.year) * 12 + c[1].month - start.month for c in cells], float)
-    dummies = [(place == i).astype(float) for i in range(1, len(names))]
-    out = []
-    for model, columns in (("naive", [one, x]), ("within_country", [one, x, trend, *dummies])):
-        try:
-            b, cov = clustered_logit(np.column_stack(columns), n, events)
-            beta, se = float(b[1]), math.sqrt(cov[1, 1])
-            numbers = [six_digits(v) for v in (math.exp(beta), math.exp(beta - Z_EXACT * se), math.exp(beta + Z_EXACT * se), p_two_sided(beta / se))]
-            out.append((*base, model, len(cells), six_digits(sd), *numbers, None, ""))
-        except (ModelFailed, np.linalg.LinAlgError, OverflowError, ZeroDivisionError, ValueError) as e:
-            out.append((*base, model, len(cells), six_digits(sd), None, None, None, None, None, f"model failed: {type(e).__name__}: {e}"[:200]))
-    return out
+        own = groups.setdefault((r["objective_id"], r["indicator_id"]), [])
+        if r["value"] is not None:
+            own.append((r["country_code"], r["as_of_date"], r["n"], r["events"], r["value"]))
+    outcome = {o.id: OUTCOMES[o.measure].format(o.months) for o in s.objectives}
+    rows = [{"objective_id": o, "indicator_id": i, "outcome": outcome.get(o, "")} | row for (o, i), own in groups.items() for row in fit_pair(own, s.reporting_start)]
+    tests = [r for r in rows if r["model"] == WITHIN]
+    for r, q in zip(tests, q_values([r.get("p_value") for r in tests]), strict=True):
+        r["q_value"] = None if q is None else six_digits(q)
+    schema = T._parse_datatype_string(RESULT)
+    return cells.sparkSession.createDataFrame([tuple(r.get(f) for f in schema.names) for r in rows], schema)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.config import Settings
 from quillon.functions.calendar import month_end_after, period_months, period_start
-from quillon.operators.rows import duplicated_keys, hits
-from quillon.operators.temporal import gaps
+from quillon.operators.rows import broken
+from quillon.operators.temporal import missing_periods
 
 SCHEMA = (
     "indicator_id string, provider string, dataset string, frequency string, geo string, source_period string, release_code string, "
@@ -35,20 +35,38 @@ def typed(staged: DataFrame, s: Settings) -> DataFrame:
     return out.withColumn("period_end", month_end_after(F.col("period_start"), F.col("period_months") - 1))
 
 
-def rule_events(rows: DataFrame) -> DataFrame:
-    """One row a hit: indicator_id, geo, source_period, release_code, rule_id. A doubled key is one hit; a gap is
-    named by the first day of the period that is missing."""
-    own = hits(rows, KEY, [
+def ruled(rows: DataFrame) -> DataFrame:
+    """Add _rules (of the row), _copy (its number among rows of one key), _copies, _missing (period starts without a
+    value that follow the row's) and quality_rules (of all rows with the row's key, sorted).
+
+    One shuffle by series serves all windows, and everything else is read off these rows in one pass each."""
+    valued = F.col("value").isNotNull() & F.col("period_start").isNotNull()
+    found = [
         ("EX_GEO_UNMAPPED", F.col("country_code").isNull()),
         ("EX_PERIOD_UNPARSEABLE", F.col("period_start").isNull()),
         ("EX_VALUE_MISSING", F.col("value").isNull()),
         ("EX_STATUS_FLAGGED", F.col("value").isNotNull() & F.col("status").isNotNull()),
-    ])
-    double = duplicated_keys(rows, KEY).select(*KEY, F.lit("EX_GRAIN_DUPLICATE").alias("rule_id"))
-    valued = rows.filter("value is not null and period_start is not null")
-    missing = gaps(valued, ["indicator_id", "geo", "release_code"], "period_start", "period_months")
-    missing = missing.select("indicator_id", "geo", F.date_format("expected_start", "yyyy-MM-dd").alias("source_period"), "release_code", F.lit("EX_PERIOD_GAP").alias("rule_id"))
-    return own.unionByName(double).unionByName(missing)
+    ]
+    key = Window.partitionBy(*KEY)
+    following = F.lead("period_start").over(Window.partitionBy("indicator_id", "geo", "release_code", "_valued").orderBy("period_start"))
+    out = rows.repartition("indicator_id", "geo", "release_code").withColumn("_valued", valued)
+    out = out.withColumns({"_next": following, "_rules": broken(found), "_copy": F.row_number().over(key.orderBy("value")), "_copies": F.count("*").over(key)})
+    missing = F.when(F.col("_valued"), missing_periods(F.col("period_start"), F.col("_next"), F.col("period_months"))).otherwise(F.array().cast("array<date>"))
+    every = F.flatten(F.collect_list("_rules").over(key))
+    double = F.when(F.col("_copies") > 1, F.array(F.lit("EX_GRAIN_DUPLICATE"))).otherwise(F.array().cast("array<string>"))
+    out = out.withColumns({"_missing": missing, "quality_rules": F.array_sort(F.array_distinct(F.concat(every, double)))})
+    return out.drop("_valued", "_next")
+
+
+def rule_events(rows: DataFrame) -> DataFrame:
+    """One row a hit of ruled() rows: indicator_id, geo, source_period, release_code, rule_id. A doubled key is one
+    hit; a gap is named by the first day of the period that is missing."""
+    hit = lambda period, rule: F.struct(period.alias("source_period"), rule.alias("rule_id"))
+    own = F.transform("_rules", lambda r: hit(F.col("source_period"), r))
+    double = F.when((F.col("_copies") > 1) & (F.col("_copy") == 1), F.array(hit(F.col("source_period"), F.lit("EX_GRAIN_DUPLICATE"))))
+    gaps = F.transform("_missing", lambda d: hit(F.date_format(d, "yyyy-MM-dd"), F.lit("EX_PERIOD_GAP")))
+    hits = F.flatten(F.array_compact(F.array(own, double, gaps)))
+    return rows.select("indicator_id", "geo", "release_code", F.explode(hits).alias("h")).select("indicator_id", "geo", "h.source_period", "release_code", "h.rule_id")
 
 
 @dataclass(frozen=True)
@@ -59,31 +77,23 @@ class External:
 
 
 def curate(staged: DataFrame, s: Settings) -> External:
-    """Canonical values with the rules they hit, and what each series covers."""
-    rows = typed(staged, s)
-    events = rule_events(rows)
-    flags = events.groupBy(*KEY).agg(F.array_sort(F.collect_set("rule_id")).alias("quality_rules"))
-    f = flags.select(*[F.col(c).alias(f"_{c}") for c in KEY], "quality_rules")
-    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]
+    """Canonical values with the rules they hit, and what each series covers; each is one pass over the staged rows."""
+    rows = ruled(typed(staged, s))
     good = rows.filter("value is not null and country_code is not null and period_start is not null")
-    good = good.join(F.broadcast(indicators(staged.sparkSession, s)), "indicator_id").join(f, match, "left")
+    good = good.join(F.broadcast(indicators(staged.sparkSession, s)), "indicator_id")
     observations = good.select(
-        "indicator_id", "lens", "country_code", "frequency", "period_start", "period_end", "value", "unit", "status", "status_label", "release_code",
-        F.coalesce("quality_rules", F.array().cast("array<string>")).alias("quality_rules"),
+        "indicator_id", "lens", "country_code", "frequency", "period_start", "period_end", "value", "unit", "status", "status_label", "release_code", "quality_rules",
         "provider", "dataset", F.col("geo").alias("source_geo"), "source_period", "source_updated", F.col("fetched_at").alias("loaded_at"), "snapshot_sha256",
     )
-    return External(observations, coverage(observations, rows, events), events)
+    return External(observations, coverage(good), rule_events(rows))
 
 
-def coverage(observations: DataFrame, rows: DataFrame, events: DataFrame) -> DataFrame:
-    """One row a series. Gaps are counted by geo before they are brought to countries."""
-    places = rows.select("indicator_id", "geo", "country_code").distinct()
-    missing = events.filter("rule_id = 'EX_PERIOD_GAP'").groupBy("indicator_id", "geo", "release_code").agg(F.count("*").alias("n"))
-    by = missing.join(places, ["indicator_id", "geo"]).groupBy(F.col("indicator_id").alias("_i"), F.col("country_code").alias("_c"), F.col("release_code").alias("_r")).agg(F.sum("n").alias("_g"))
+def coverage(good: DataFrame) -> DataFrame:
+    """One row a series. Gaps are those of all geos of a country, whatever the frequency."""
     key = ["indicator_id", "lens", "country_code", "release_code", "frequency"]
-    out = observations.groupBy(*key).agg(
+    out = good.groupBy(*key).agg(
         F.min("period_start").alias("first_period_start"), F.max("period_end").alias("last_period_end"), F.count("*").alias("values_present"),
-        F.max("source_updated").alias("source_updated"), F.max("loaded_at").alias("loaded_at"),
+        F.sum(F.size("_missing")).alias("_g"), F.max("source_updated").alias("source_updated"), F.max("fetched_at").alias("loaded_at"),
     )
-    match = (F.col("indicator_id") == F.col("_i")) & (F.col("country_code") == F.col("_c")) & F.col("release_code").eqNullSafe(F.col("_r"))
-    return out.join(by, match, "left").select(*key, "first_period_start", "last_period_end", "values_present", F.coalesce("_g", F.lit(0)).alias("gaps"), "source_updated", "loaded_at")
+    places = Window.partitionBy("indicator_id", "country_code", "release_code")
+    return out.select(*key, "first_period_start", "last_period_end", "values_present", F.sum("_g").over(places).alias("gaps"), "source_updated", "loaded_at")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.config import Settings
 from quillon.functions.calendar import month_end_after, trunc_to
 from quillon.functions.stats import wilson
+from quillon.operators.rows import fenced
 from quillon.operators.slices import UNASSIGNED, sliced
-from quillon.operators.temporal import month_end_headcount, months_at_risk, trailing
+from quillon.operators.temporal import monthly_balance, months_at_risk, trailing
 
 GRAINS = ("month", "quarter", "year")
 
@@ -20,15 +21,24 @@ def scoped(employees: DataFrame, s: Settings) -> DataFrame:
     return employees.filter("is_measurable").withColumns({"country_key": key, "segment_value": F.col(s.segment)})
 
 
+def anniversary(months: Column) -> Column:
+    return F.add_months("hire_date", months)
+
+
+def lost(months: Column) -> Column:
+    """Whether a person left before so many months were over."""
+    return F.coalesce(F.col("exit_date") < anniversary(months), F.lit(False))
+
+
 def cohort_members(emp: DataFrame, s: Settings) -> DataFrame:
     """One row an eligible hire and objective variant. Leaving on the anniversary is not a loss."""
     spark = emp.sparkSession
     variants = F.broadcast(spark.createDataFrame(s.variants, "objective_id string, variant string, months int, career_level string"))
     hired = emp.filter((F.col("hire_date") >= F.lit(s.reporting_start)) & (F.col("hire_date") <= F.lit(s.effective_to or s.as_of)))
-    out = hired.join(variants, "career_level").withColumns({"cohort_month": F.trunc("hire_date", "month"), "anniversary": F.add_months("hire_date", F.col("months"))})
+    out = hired.join(variants, "career_level").withColumn("cohort_month", F.trunc("hire_date", "month"))
     return out.select(
-        "objective_id", "variant", "employee_id", "country_key", "segment_value", "cohort_month", "hire_date", "exit_date", "anniversary",
-        F.coalesce(F.col("exit_date") < F.col("anniversary"), F.lit(False)).alias("lost"),
+        "objective_id", "variant", "employee_id", "country_key", "segment_value", "cohort_month", "hire_date", "exit_date",
+        anniversary(F.col("months")).alias("anniversary"), lost(F.col("months")).alias("lost"),
         (F.add_months(F.last_day("cohort_month"), F.col("months")) <= F.lit(s.as_of)).alias("cohort_mature"),
     )
 
@@ -46,8 +56,10 @@ def cohort_measures(monthly: DataFrame, s: Settings) -> DataFrame:
     by = rows.groupBy("objective_id", "variant", "grain", "period_start", "country_code", "segment_value").agg(F.sum("numerator").alias("numerator"), F.sum("denominator").cast("double").alias("denominator"))
     more = F.when(F.col("grain") == "month", 0).when(F.col("grain") == "quarter", 2).otherwise(11)
     by = by.withColumn("period_end", month_end_after(F.col("period_start"), more))
-    months = F.create_map(*[F.lit(x) for o in s.objectives if o.measure == "cohort" for x in (o.id, o.months)])
-    return by.withColumn("is_mature", F.add_months("period_end", F.element_at(months, F.col("objective_id"))) <= F.lit(s.as_of))
+    months = F.lit(None).cast("int")
+    for o in s.objectives:
+        months = F.when(F.col("objective_id") == o.id, o.months).otherwise(months)
+    return by.withColumn("is_mature", F.add_months("period_end", months) <= F.lit(s.as_of))
 
 
 def person_months(emp: DataFrame, s: Settings) -> DataFrame:
@@ -61,28 +73,51 @@ def person_months(emp: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def month_ends(emp: DataFrame, s: Settings) -> DataFrame:
-    """All month ends from the first hire to the as-of month; one row a month."""
-    first = emp.agg(F.min(F.trunc("hire_date", "month")).alias("a"))
-    last = F.trunc(F.lit(s.as_of), "month")
-    return first.filter(F.col("a") <= last).select(F.explode(F.sequence("a", last, F.expr("interval 1 month"))).alias("m")).select(F.last_day("m").alias("month_end"))
+def person_month_counts(emp: DataFrame, s: Settings) -> DataFrame:
+    """Persons at risk, exits, regretted and regretted_upper of every month, country and segment with persons at risk:
+    the sums of person_months() without a row a person and month."""
+    as_of = F.trunc(F.lit(s.as_of), "month")
+    first, exit_month = F.add_months(F.trunc("hire_date", "month"), 1), F.trunc("exit_date", "month")
+    last = F.least(F.coalesce(exit_month, as_of), as_of)
+    state = F.col("regretted_status")
+    here = (exit_month <= as_of).cast("int")
+    move = lambda m, d, x, r, u: F.struct(m.alias("month_start"), d.alias("at_risk"), x.alias("exits"), r.alias("regretted"), u.alias("regretted_upper"))
+    none, one = F.lit(0), F.lit(1)
+    gone = F.when(exit_month.isNotNull(), move(exit_month, none, here, here * (state == "regretted").cast("int"), here * state.isin("regretted", "unknown").cast("int")))
+    moves = F.array_compact(F.array(move(first, one, none, none, none), move(F.add_months(last, 1), -one, none, none, none), gone))
+    key = ["country_key", "segment_value"]
+    rows = emp.filter(first <= last).select(*key, F.explode(moves).alias("m")).select(*key, "m.*")
+    return monthly_balance(rows, key, "month_start", "at_risk", ["exits", "regretted", "regretted_upper"], as_of).filter("at_risk > 0")
+
+
+def _moves() -> Column:
+    """A person's hire and exit as changes of the head count, by month; an exit that is open has no month."""
+    state = F.col("regretted_status")
+    move = lambda m, d, r, u: F.struct(F.trunc(m, "month").alias("m"), d.alias("headcount"), r.alias("regretted"), u.alias("regretted_upper"))
+    none, one = F.lit(0), F.lit(1)
+    return F.array(move("hire_date", one, none, none), move("exit_date", -one, (state == "regretted").cast("int"), state.isin("regretted", "unknown").cast("int")))
 
 
 def headcount(emp: DataFrame, s: Settings) -> DataFrame:
     """headcount, regretted and regretted_upper of every month end, country and segment; zeros included.
 
-    A null segment has a row of zeros: keys are matched by equality."""
-    keys = emp.select("country_key", "segment_value").distinct()
-    grid = keys.crossJoin(F.broadcast(month_ends(emp, s)))  # months times slices: a few thousand rows of config size
-    count = month_end_headcount(emp.select("country_key", "segment_value", "hire_date", "exit_date"), ["country_key", "segment_value"], "hire_date", "exit_date", grid)
-    left = emp.filter("exit_date is not null").groupBy(F.last_day("exit_date").alias("month_end"), "country_key", "segment_value").agg(
-        F.count_if(F.col("regretted_status") == "regretted").alias("regretted"), F.count_if(F.col("regretted_status").isin("regretted", "unknown")).alias("regretted_upper")
-    )
-    return count.join(left, ["month_end", "country_key", "segment_value"], "left").fillna(0, ["regretted", "regretted_upper"])
+    Hires add and exits take away. A null segment has rows of zeros only: it equals no segment."""
+    return headcount_of(emp.select("country_key", "segment_value", F.explode(_moves()).alias("x")).select("country_key", "segment_value", "x.*"), s)
+
+
+def headcount_of(moves: DataFrame, s: Settings) -> DataFrame:
+    key, counts = ["country_key", "segment_value"], ["headcount", "regretted", "regretted_upper"]
+    out = monthly_balance(moves.filter("m is not null"), key, "m", counts[0], counts[1:], F.trunc(F.lit(s.as_of), "month"), together=True)
+    known = F.col("segment_value").isNotNull().cast("int")
+    return out.select(F.last_day("m").alias("month_end"), *key, *[(F.col(c) * known).alias(c) for c in counts])
 
 
 def turnover_monthly(emp: DataFrame, s: Settings, months: int = 12) -> DataFrame:
-    by = sliced(headcount(emp, s), ["month_end"], [F.sum(c).alias(c) for c in ("headcount", "regretted", "regretted_upper")])
+    return turnover_of(headcount(emp, s), months)
+
+
+def turnover_of(heads: DataFrame, months: int) -> DataFrame:
+    by = sliced(heads, ["month_end"], [F.sum(c).alias(c) for c in ("headcount", "regretted", "regretted_upper")])
     w = trailing(["country_code", "segment_value"], "month_end", months)
     return by.select(
         "month_end", "country_code", "segment_value", F.sum("regretted").over(w).alias("regretted_ttm"), F.sum("regretted_upper").over(w).alias("regretted_upper_ttm"),
@@ -120,17 +155,34 @@ def judged(measures: DataFrame, s: Settings) -> DataFrame:
     )
 
 
+def facts(emp: DataFrame, s: Settings) -> DataFrame:
+    """All that measures need of persons, in one pass and one sum: a row for each cohort month and for each month's
+    moves, by country and segment, packed in one column.
+
+    Two plans read it; as it is packed, both read all of it, so that they share one exchange."""
+    variant = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(v).alias("v"), F.lit(n).alias("n"), F.lit(level).alias("level")) for o, v, n, level in s.variants])
+    hired = F.col("hire_date").between(F.lit(s.reporting_start), F.lit(s.effective_to or s.as_of))
+    none = F.lit(None).cast("string")
+    row = lambda o, v, m, a, b, c: F.struct(o.alias("o"), v.alias("v"), m.alias("m"), a.alias("a"), b.alias("b"), c.alias("c"))
+    kept = lambda x: F.when(lost(x["n"]), 0).otherwise(1)
+    members = F.transform(F.filter(variant, lambda x: hired & (x["level"] == F.col("career_level"))), lambda x: row(x["o"], x["v"], F.trunc("hire_date", "month"), kept(x), F.lit(1), F.lit(0)))
+    moves = F.transform(_moves(), lambda x: row(none, none, x["m"], x["headcount"], x["regretted"], x["regretted_upper"]))
+    key = ["o", "v", "m", "country_key", "segment_value"]
+    rows = emp.select("country_key", "segment_value", F.explode(F.concat(members, moves) if s.variants else moves).alias("x")).select("country_key", "segment_value", "x.*")
+    by = rows.filter("m is not null").groupBy(*key).agg(*[F.sum(c).alias(c) for c in "abc"])
+    return by.select(fenced(F.struct(*by.columns)).alias("f")).repartition("f")
+
+
 def objective_measures(employees: DataFrame, s: Settings) -> DataFrame:
     """All objectives in one table."""
-    emp = scoped(employees, s)
     cols = ["objective_id", "variant", "grain", "period_start", "period_end", "country_code", "segment_value", "numerator", "denominator", "is_mature"]
-    parts = []
-    if any(o.measure == "cohort" for o in s.objectives):
-        parts.append(cohort_measures(cohort_monthly(cohort_members(emp, s)), s).select(*cols))
+    every = facts(scoped(employees, s), s)
+    members = every.filter("f.o is not null").select(F.col("f.o").alias("objective_id"), F.col("f.v").alias("variant"), F.col("f.m").alias("cohort_month"), "f.country_key", "f.segment_value", "f.a", "f.b")
+    cohorts = sliced(members, ["objective_id", "variant", "cohort_month"], [F.sum("a").alias("numerator"), F.sum("b").alias("denominator")])
+    moves = every.filter("f.o is null").select("f.country_key", "f.segment_value", "f.m", F.col("f.a").alias("headcount"), F.col("f.b").alias("regretted"), F.col("f.c").alias("regretted_upper"))
+    out = cohort_measures(cohorts, s).select(*cols)
+    heads = headcount_of(moves, s)
     for o in s.objectives:
         if o.measure == "turnover":
-            parts.append(turnover_measures(turnover_monthly(emp, s, o.months), o.id, s, o.months).select(*cols))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            out = out.unionByName(turnover_measures(turnover_of(heads, o.months), o.id, s, o.months).select(*cols))
     return judged(out, s)

@@ -18,11 +18,10 @@ def signal_values(observations: DataFrame, s: Settings) -> DataFrame:
 
 
 def grid(observations: DataFrame, s: Settings) -> DataFrame:
-    """Months times countries times signals; all three are of config size."""
-    spark = observations.sparkSession
-    months = spark.createDataFrame([(s.signal_grid_start or s.reporting_start, s.as_of)], "a date, b date").select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("as_of_date"))
-    signals = spark.createDataFrame([(x.indicator_id,) for x in s.signals], "indicator_id string")
-    return observations.select("country_code").distinct().crossJoin(F.broadcast(months.crossJoin(signals)))
+    """Months times countries times signals, unfolded from the countries: all three are of config size."""
+    months = F.sequence(F.lit(s.signal_grid_start or s.reporting_start), F.lit(s.as_of), F.expr("interval 1 month"))
+    names = F.array(*[F.lit(x.indicator_id) for x in s.signals]) if s.signals else F.array().cast("array<string>")
+    return observations.select("country_code").distinct().select("country_code", F.explode(months).alias("as_of_date")).select("*", F.explode(names).alias("indicator_id"))
 
 
 def signal_asof(observations: DataFrame, s: Settings) -> DataFrame:

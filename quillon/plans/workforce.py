@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillon.config import Settings
 from quillon.functions.calendar import iso_date
-from quillon.operators.rows import Rule, hits, ranked_duplicates, rule_counts
+from quillon.operators.rows import Rule, broken, fenced, ranked_duplicates, rule_counts
 
 COLUMNS = (
     "employee_id", "country_code", "business_unit", "job_family", "career_level", "employment_type",
@@ -62,15 +62,16 @@ def mapped(c: Column, names: dict[str, str]) -> Column:
 def versions(raw: DataFrame) -> DataFrame:
     """Raw rows with dup_rank (among equal rows) and, for those kept, version_rank (1: the one that counts).
 
-    Both orders end with source_row, so every rerun decides alike. The date of a version is compared as text."""
-    ranked = ranked_duplicates(raw, list(COLUMNS), [F.col("source_row")])
+    Both orders end with source_row, so every rerun decides alike. The date of a version is compared as text. Rows
+    are shuffled once, by id: equal rows have one id, so both windows find theirs together."""
+    ranked = ranked_duplicates(raw.repartition("employee_id"), list(COLUMNS), [F.col("source_row")])
     first = F.when(F.col("dup_rank") == 1, 0).otherwise(1)
     return ranked_duplicates(ranked, ["employee_id"], [first, F.desc_nulls_last("record_updated_at"), F.desc("source_row")], "version_rank")
 
 
-def typed(current: DataFrame, s: Settings) -> DataFrame:
+def typed(current: DataFrame, s: Settings, *keep: str) -> DataFrame:
     out = current.select(
-        "employee_id", "source_row",
+        "employee_id", "source_row", *keep,
         *[blank_to_null(c).alias(c) for c in ("business_unit", "job_family", "employment_type", "termination_type", "source_system")],
         blank_to_null("country_code").alias("country_code_raw"), blank_to_null("career_level").alias("career_level_raw"),
         blank_to_null("hire_date").alias("hire_date_raw"), blank_to_null("termination_date").alias("termination_date_raw"),
@@ -125,17 +126,16 @@ def curate(raw: DataFrame, s: Settings) -> Workforce:
     Hits mark the surviving row only; those of removed rows say why they went. The rules of a surviving row are
     found in the same pass that types it, so employees need no join with the hits."""
     every = versions(raw)
-    removed = every.select("source_row", "employee_id", F.when(F.col("dup_rank") > 1, F.lit("WF_EXACT_DUPLICATE")).when(F.col("version_rank") > 1, F.lit("WF_ID_SUPERSEDED")).alias("rule_id")).filter("rule_id is not null")
-    rows = typed(every.filter("dup_rank = 1 and version_rank = 1").drop("dup_rank", "version_rank"), s)
     rules = row_rules(s)
-    events = removed.unionByName(hits(rows, ["source_row", "employee_id"], rules))
+    state = F.when(F.col("dup_rank") > 1, F.array(F.lit("WF_EXACT_DUPLICATE"))).when(F.col("version_rank") > 1, F.array(F.lit("WF_ID_SUPERSEDED")))
+    events = typed(every, s, "dup_rank", "version_rank").select("source_row", "employee_id", F.explode(F.coalesce(state, broken(rules))).alias("rule_id"))
+    rows = typed(every.filter("dup_rank = 1 and version_rank = 1"), s)
     return Workforce(_employees(rows, rules, s), events)
 
 
 def _employees(rows: DataFrame, rules: list[tuple[str, Column]], s: Settings) -> DataFrame:
     severity = {r.id: r.severity for r in RULES}
-    broken = F.array_sort(F.array_compact(F.array(*[F.when(p, F.lit(i)) for i, p in rules])))
-    rows = rows.withColumn("quality_rules", broken)
+    rows = rows.withColumn("quality_rules", fenced(F.array_sort(broken(rules))))
     has = lambda kind: F.arrays_overlap("quality_rules", F.array(*[F.lit(i) for i, _ in rules if severity[i] in kind]))
     exit_date = F.when(F.col("termination_date") <= F.lit(s.as_of), F.col("termination_date"))
     rows = rows.withColumn("exit_date", exit_date)

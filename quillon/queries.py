@@ -151,10 +151,7 @@ def cohort_measures(spark, d):
 
 @query
 def person_months(spark, d):
-    p = retention.person_months(_scoped(spark, d), S)
-    return p.groupBy("month_start", "country_key", "segment_value").agg(
-        F.count("*").alias("at_risk"), F.count_if("exits_in_month").alias("exits"), F.count_if("regretted_exit").alias("regretted"), F.count_if("regretted_exit_upper").alias("regretted_upper")
-    )
+    return retention.person_month_counts(_scoped(spark, d), S)
 
 
 @query
@@ -200,7 +197,7 @@ def events_asof(spark, d):
 
 def _cells(spark, d):
     emp = _scoped(spark, d)
-    return association.model_cells(retention.cohort_members(emp, S), retention.person_months(emp, S), signals.signal_asof(_external(spark, d).observations, S), S)
+    return association.model_cells(retention.cohort_members(emp, S), retention.person_month_counts(emp, S), signals.signal_asof(_external(spark, d).observations, S), S)
 
 
 @query

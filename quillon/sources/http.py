@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import random
+import re
 import time
 import urllib.error
 import urllib.parse
@@ -27,6 +29,24 @@ def opened(url: str, timeout: float) -> tuple[int, bytes]:
         return e.code, e.read()
 
 
+def said(body: bytes) -> str:
+    """The provider's own words: the texts in what it sent, where that is JSON, or else its beginning."""
+    try:
+        parts, words = [json.loads(body)], []
+    except ValueError:
+        return " ".join(re.sub("<[^>]*>", " ", body[:2000].decode(errors="replace")).split())[:300]
+    while parts:
+        x = parts.pop(0)
+        if isinstance(x, dict):
+            # label, value and message hold the words in the payloads of all providers
+            parts = [v for k, v in x.items() if isinstance(v, dict | list) or k in ("label", "value", "message", "detail", "title", "error")] + parts
+        elif isinstance(x, list):
+            parts = x + parts
+        elif isinstance(x, str) and x not in words:
+            words.append(x)
+    return "; ".join(words)[:300]
+
+
 def fetch(request: Request, tries: int = 4, timeout: float = 30, wait: float = 0.5, get: Callable[[str, float], tuple[int, bytes]] = opened, sleep: Callable[[float], None] = time.sleep) -> tuple[int, bytes]:
     url = f"{request.url}?{urllib.parse.urlencode(request.params)}"
     for k in range(tries):
@@ -34,7 +54,7 @@ def fetch(request: Request, tries: int = 4, timeout: float = 30, wait: float = 0
             status, body = get(url, timeout)
             if status < 400:
                 return status, body
-            why = f"HTTP {status}: {body[:300].decode(errors='replace')}"
+            why = f"HTTP {status}: {said(body)}"
             if status not in TRANSIENT:
                 raise FetchError(why)
         except OSError as e:  # timeouts and broken connections

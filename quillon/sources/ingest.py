@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.config import ConfigError
 from quillon.plans.external import SCHEMA
 from quillon.sources.contract import Indicator, Parsed, Source
 from quillon.sources.files import SnapshotMeta, SnapshotStore, digest, json_file
@@ -16,16 +17,26 @@ from quillon.sources.http import fetch
 from quillon.sources.jsonstat import JsonStat
 from quillon.sources.worldbank import WorldBank
 
-SOURCES: dict[str, Source] = {"eurostat": JsonStat(), "worldbank": WorldBank()}
+ADAPTERS: dict[str, type] = {"eurostat": JsonStat, "worldbank": WorldBank}
+
+
+def sources(base_urls: dict[str, str]) -> dict[str, Source]:
+    """An adapter for every provider, at another address where one is given."""
+    if odd := sorted(set(base_urls) - set(ADAPTERS)):
+        raise ConfigError(f"no adapter for {', '.join(odd)}")
+    return {name: make(*[base_urls[name]] if name in base_urls else ()) for name, make in ADAPTERS.items()}
+
+
+SOURCES = sources({})
 COUNTRIES = ("BG", "EL", "IE", "IT", "PL", "RO")
 # The provider's names of the standard indicators.
 STANDARD = (
     Indicator("unemployment_rate", "eurostat", "une_rt_m", "M", COUNTRIES, {"age": "TOTAL", "freq": "M", "s_adj": "SA", "sex": "T", "unit": "PC_ACT"}, since="2019-01"),
-    Indicator("job_vacancy_rate", "eurostat", "jvs_q_r21", "Q", COUNTRIES, {"freq": "Q", "indic_em": "JVR", "nace_r2_1": "B-T", "s_adj": "NSA", "sizeclas": "TOTAL"}, since="2019-Q1"),
+    Indicator("job_vacancy_rate", "eurostat", "jvs_q_r21", "Q", COUNTRIES, {"freq": "Q", "indic_em": "JVR", "nace_r2_1": "B-T", "s_adj": "NSA", "sizeclas": "TOTAL"}, since="2019-01"),
     Indicator("hicp_inflation", "eurostat", "prc_hicp_minr", "M", COUNTRIES, {"coicop18": "TOTAL", "freq": "M", "unit": "RCH_A"}, since="2019-01"),
     Indicator("hicp_inflation_first_release", "eurostat", "prc_hicp_fpd", "M", COUNTRIES, {"coicop18": "TOTAL", "freq": "M", "unit": "RCH_A"}, "release", "2019-01"),
     Indicator("economic_sentiment", "eurostat", "ei_bssi_m_r2", "M", COUNTRIES, {"freq": "M", "indic": "BS-ESI-I", "s_adj": "SA"}, since="2019-01"),
-    Indicator("gdp_growth", "worldbank", "NY.GDP.MKTP.KD.ZG", "A", ("BGR", "GRC", "IRL", "ITA", "POL", "ROU"), since="2019"),
+    Indicator("gdp_growth", "worldbank", "NY.GDP.MKTP.KD.ZG", "A", ("BGR", "GRC", "IRL", "ITA", "POL", "ROU"), since="2019-01"),
 )
 
 
@@ -48,12 +59,12 @@ def coverage(parsed: Parsed, indicator: Indicator) -> tuple[list[dict], list[str
     return rows, warnings if rows else [*warnings, "no values at all"]
 
 
-def ingest(spark: SparkSession, store: SnapshotStore, indicators: tuple[Indicator, ...], live: bool = False, get: Callable = fetch) -> list[Outcome]:
+def ingest(spark: SparkSession, store: SnapshotStore, indicators: tuple[Indicator, ...], live: bool = False, get: Callable = fetch, sources: dict[str, Source] = SOURCES) -> list[Outcome]:
     """Live: fetch, check by decoding, store. Replay: read what is stored and decode it."""
     out = []
     for i in indicators:
         try:
-            source = SOURCES[i.provider]
+            source = sources[i.provider]
             if live:
                 request = source.request(i)
                 status, payload = get(request)
@@ -75,14 +86,14 @@ def manifest(path: str, run_id: str, outcomes: list[Outcome]) -> None:
     json_file(path, {"run_id": run_id, "indicators": [asdict(o) for o in outcomes]})
 
 
-def staged(spark: SparkSession, store: SnapshotStore, indicators: tuple[Indicator, ...]) -> tuple[DataFrame, list[str]]:
+def staged(spark: SparkSession, store: SnapshotStore, indicators: tuple[Indicator, ...], sources: dict[str, Source] = SOURCES) -> tuple[DataFrame, list[str]]:
     """All stored series in the shape that external.curate takes, and the indicators that could not be read."""
     out, missing = spark.createDataFrame([], SCHEMA), []
     names = out.columns
     for i in indicators:
         try:
             payload, meta = store.read(i.provider, i.id)
-            parsed = SOURCES[i.provider].parse(spark, payload, i)
+            parsed = sources[i.provider].parse(spark, payload, i)
         except Exception:  # noqa: BLE001  listed for the report
             missing.append(i.id)
             continue

@@ -2,14 +2,15 @@
 
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions.calendar import iso_date, month_end_after, period_start
-from quillon.functions.stats import benjamini_hochberg, clustered_logit, wilson
+from quillon.functions.stats import benjamini_hochberg, clustered_logit, q_values, wilson
 from quillon.operators.rows import duplicated_keys, keep_first, latest
 from quillon.operators.slices import sliced
-from quillon.operators.temporal import asof_join, gaps, month_end_headcount, months_at_risk
+from quillon.operators.temporal import asof_join, gaps, monthly_balance, months_at_risk
 
 D = date.fromisoformat
 
@@ -25,8 +26,13 @@ def test_asof_boundaries_ties_and_no_match(spark):
     right = spark.createDataFrame([("a", D("2020-01-01"), 1), ("a", D("2020-01-01"), 2), ("a", D("2020-01-31"), 3), ("b", D("2020-01-02"), 4)], "k string, since date, v int")
     got = asof_join(left, right, ["k"], "at", "since", [F.col("v")])
     assert {(r["k"], r["at"], r["v"]) for r in got.collect()} == {("a", D("2020-01-01"), 2), ("a", D("2020-02-01"), 3), ("b", D("2020-01-01"), None), (None, D("2020-01-01"), None)}
-    plan = got._jdf.queryExecution().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    plan = got.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange ") == 1  # stacked and sorted once, whatever a key holds
+    late = asof_join(left.withColumn("at", F.lit(None).cast("date")), right, ["k"], "at", "since")
+    assert {r["v"] for r in late.collect()} == {None}
+    many = spark.range(20_000).select(F.lit("hot").alias("k"), (F.col("id") * 2).alias("at"))
+    since = spark.range(20_000).select(F.lit("hot").alias("k"), (F.col("id") * 2 + 1).alias("since"), "id")
+    assert asof_join(many, since, ["k"], "at", "since").filter("id is null and at > 0 or since <> at - 1").count() == 0
 
 
 def test_gaps_keep_null_keys_and_steps(spark):
@@ -39,9 +45,11 @@ def test_months_at_risk_and_headcount(spark):
     spells = spark.createDataFrame([("x", D("2023-01-01"), D("2023-03-15")), ("y", D("2023-02-10"), None), ("z", D("2023-03-31"), D("2023-03-31"))], "k string, a date, b date")
     got = {(r["k"], r["month_start"]) for r in months_at_risk(spells, "a", "b", F.lit(D("2023-04-01"))).collect()}
     assert got == {("x", D("2023-02-01")), ("x", D("2023-03-01")), ("y", D("2023-03-01")), ("y", D("2023-04-01"))}
-    grid = spark.createDataFrame([(D(f"2023-0{m}-{d}"), "s") for m, d in ((1, 31), (2, 28), (3, 31), (4, 30))], "month_end date, s string")
-    counts = month_end_headcount(spells.withColumn("s", F.lit("s")), ["s"], "a", "b", grid).orderBy("month_end").collect()
-    assert [r["headcount"] for r in counts] == [1, 2, 1, 1]
+    moves = spark.createDataFrame([("s", D("2023-01-01"), 1, 0), ("s", D("2023-03-01"), -1, 1), ("s", D("2023-02-01"), 1, 0), ("t", D("2023-03-01"), 1, 0), ("t", D("2023-03-01"), -1, 2)], "s string, m date, d int, x int")
+    rows = {(r["s"], r["m"].month): (r["d"], r["x"]) for r in monthly_balance(moves, ["s"], "m", "d", ["x"], F.lit(D("2023-04-01")), together=True).collect()}
+    assert rows == {("s", 1): (1, 0), ("s", 2): (2, 0), ("s", 3): (1, 1), ("s", 4): (1, 0), ("t", 1): (0, 0), ("t", 2): (0, 0), ("t", 3): (0, 2), ("t", 4): (0, 0)}
+    assert monthly_balance(moves, ["s"], "m", "d", ["x"], F.lit(D("2023-04-01"))).filter("s = 't'").count() == 2
+    assert monthly_balance(moves.filter("false"), ["s"], "m", "d", ["x"], F.lit(D("2023-04-01")), together=True).count() == 0
 
 
 def test_duplicates_versions_and_keys(spark):
@@ -70,8 +78,18 @@ def test_q_values(spark):
     assert {r["i"]: r["q_value"] and round(r["q_value"], 6) for r in benjamini_hochberg(df).collect()} == {1: 0.03, 2: 0.04, 3: 0.04, 4: None}
 
 
+def test_q_values_of_many_tests_with_ties(spark):
+    rng = np.random.default_rng(5)
+    p = [*rng.random(400).round(2).tolist(), *(10.0 ** -rng.integers(3, 40, 100)).tolist(), 0.0, 0.0, 1.0, None]
+    got = {r["i"]: r["q_value"] for r in benjamini_hochberg(spark.createDataFrame(list(enumerate(p)), "i int, p_value double")).collect()}
+    known = [x for x in p if x is not None]
+    for i, x in enumerate(p):
+        want = None if x is None else min(1.0, *[y * len(known) / sum(z <= y for z in known) for y in known if y >= x])
+        assert got[i] == (None if want is None else pytest.approx(want))
+    assert q_values(p) == [None if x is None else pytest.approx(got[i]) for i, x in enumerate(p)]
+
+
 def test_logit_of_cells_equals_logit_of_persons():
-    np = pytest.importorskip("numpy")
     rng = np.random.default_rng(3)
     n, x = rng.integers(5, 30, 60), np.column_stack([np.ones(60), rng.normal(size=60)])
     events = rng.binomial(n, 1 / (1 + np.exp(-(-1 + 0.5 * x[:, 1]))))

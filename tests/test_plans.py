@@ -52,6 +52,26 @@ def test_retention_boundaries(spark):
     assert m.filter("denominator <= 0 and rate is not null").count() == 0
 
 
+def test_month_counts_are_the_sums_of_person_months(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    people = []
+    for i in range(300):
+        hired = D("2020-01-01").toordinal() + int(rng.integers(0, 2100))
+        gone = hired + int(rng.integers(0, 700)) if rng.random() < 0.6 else None
+        exit_date = date.fromordinal(gone) if gone and gone <= S.as_of.toordinal() else None
+        people.append((f"E{i}", ["GR", "IT"][i % 2], ["Sales", "Digital"][i % 3 % 2], date.fromordinal(hired), exit_date, ["regretted", "unknown", "not_regretted"][i % 3] if exit_date else "not_applicable"))
+    emp = spark.createDataFrame(people, "employee_id string, country_key string, segment_value string, hire_date date, exit_date date, regretted_status string").filter(F.col("hire_date") <= F.lit(S.as_of))
+    key = ["month_start", "country_key", "segment_value"]
+    want = retention.person_months(emp, S).groupBy(*key).agg(F.count("*"), F.count_if("exits_in_month"), F.count_if("regretted_exit"), F.count_if("regretted_exit_upper"))
+    got = retention.person_month_counts(emp, S).select(*key, "at_risk", "exits", "regretted", "regretted_upper")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 200
+    heads = {(r["month_end"], r["country_key"], r["segment_value"]): r["headcount"] for r in retention.headcount(emp, S).collect()}
+    for m, c, g in [*heads][::37]:
+        assert heads[m, c, g] == sum(p[1] == c and p[2] == g and p[3] <= m and (p[4] is None or p[4] > m) for p in people)
+
+
 def staged(spark, *rows):
     full = [(i, "eurostat", "d", f, g, p, r, v, s, None, "u", "t", "sha") for i, f, g, p, r, v, s in rows]
     return spark.createDataFrame(full, external.SCHEMA)
@@ -59,12 +79,16 @@ def staged(spark, *rows):
 
 def test_external_periods_gaps_and_errors(spark):
     x = external.curate(staged(spark, ("unemployment_rate", "M", "EL", "2024-01", None, 1.0, None), ("unemployment_rate", "M", "EL", "2024-03", None, 2.0, "p"), ("unemployment_rate", "M", "EL", "2024-04", None, None, None),
-        ("job_vacancy_rate", "Q", "IT", "2024-Q2", None, 3.0, None), ("job_vacancy_rate", "Q", "ZZ", "2024-Q2", None, 3.0, None), ("job_vacancy_rate", "Q", "IT", "2024-Q7", None, 3.0, None)), S)
+        ("job_vacancy_rate", "Q", "IT", "2024-Q2", None, 3.0, None), ("job_vacancy_rate", "Q", "ZZ", "2024-Q2", None, 3.0, None), ("job_vacancy_rate", "Q", "IT", "2024-Q7", None, 3.0, None), ("job_vacancy_rate", "Q", "PL", "2024-Q1", "r", 3.0, "p"), ("job_vacancy_rate", "Q", "PL", "2024-Q1", "r", 4.0, None),
+        ("job_vacancy_rate", "Q", "PL", "2024-Q4", "r", 4.0, None)), S)
     hits = {(r["rule_id"], r["geo"], r["source_period"]) for r in x.events.collect()}
-    assert hits == {("EX_STATUS_FLAGGED", "EL", "2024-03"), ("EX_VALUE_MISSING", "EL", "2024-04"), ("EX_PERIOD_GAP", "EL", "2024-02-01"), ("EX_GEO_UNMAPPED", "ZZ", "2024-Q2"), ("EX_PERIOD_UNPARSEABLE", "IT", "2024-Q7")}
+    assert hits == {("EX_STATUS_FLAGGED", "EL", "2024-03"), ("EX_VALUE_MISSING", "EL", "2024-04"), ("EX_PERIOD_GAP", "EL", "2024-02-01"), ("EX_GEO_UNMAPPED", "ZZ", "2024-Q2"), ("EX_PERIOD_UNPARSEABLE", "IT", "2024-Q7"),
+                    ("EX_GRAIN_DUPLICATE", "PL", "2024-Q1"), ("EX_STATUS_FLAGGED", "PL", "2024-Q1"), ("EX_PERIOD_GAP", "PL", "2024-04-01"), ("EX_PERIOD_GAP", "PL", "2024-07-01")}
+    assert x.events.filter("rule_id = 'EX_GRAIN_DUPLICATE'").count() == 1
+    assert {tuple(r["quality_rules"]) for r in x.observations.filter("country_code = 'PL' and source_period = '2024-Q1'").collect()} == {("EX_GRAIN_DUPLICATE", "EX_STATUS_FLAGGED")}
     c = {(r["country_code"], r["indicator_id"]): r for r in x.coverage.collect()}
     assert c["GR", "unemployment_rate"]["gaps"] == 1 and c["GR", "unemployment_rate"]["last_period_end"] == D("2024-03-31") and c["IT", "job_vacancy_rate"]["last_period_end"] == D("2024-06-30")
-    assert workforce.gate_failures(workforce.counts(spark, x.events)) == ["EX_GEO_UNMAPPED", "EX_PERIOD_UNPARSEABLE"]
+    assert workforce.gate_failures(workforce.counts(spark, x.events)) == ["EX_GEO_UNMAPPED", "EX_PERIOD_UNPARSEABLE", "EX_GRAIN_DUPLICATE"]
 
 
 def test_signals_never_look_ahead(spark):

@@ -4,12 +4,13 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from quillon import cli, pipeline, serving
-from quillon.config import standard
+from quillon import cli, http_api, pipeline, serving
+from quillon.config import ConfigError, standard
 from quillon.plans import workforce
-from quillon.sources import ingest, jsonstat, worldbank
-from quillon.sources.contract import Indicator, SourceContractError
+from quillon.sources import ingest, jsonstat, settings, worldbank
+from quillon.sources.contract import CurateError, Indicator, SourceContractError
 from quillon.sources.files import SnapshotMeta, SnapshotStore, csv_file, digest, lifecycle_csv
 from quillon.sources.http import FetchError, fetch
 from quillon.streaming.upsert import upsert
@@ -30,10 +31,31 @@ def test_jsonstat_cells(spark):
     assert dense.count() == 7
 
 
-@pytest.mark.parametrize("change", [{"size": [1, 2, 2, 3]}, {"error": "no"}, {"id": ["unit"], "size": [1]}])
-def test_jsonstat_refuses_other_shapes(spark, change):
-    with pytest.raises(SourceContractError):
+@pytest.mark.parametrize("change, why", [({"size": [1, 2, 2, 3]}, "sizes"), ({"error": "no"}, "says no"), ({"id": ["unit"], "size": [1]}, "no dimension geo"), ({"dimension": {}}, "no categories of unit")])
+def test_jsonstat_refuses_other_shapes(spark, change, why):
+    with pytest.raises(SourceContractError, match=why):
         jsonstat.JsonStat().parse(spark, cube(**change), I)
+    for payload, said in ((b"[1]", "not an object"), (b"{", "not JSON"), (b"{}", "no id")):
+        with pytest.raises(SourceContractError, match=said):
+            jsonstat.JsonStat().parse(spark, payload, I)
+
+
+def test_filters_are_pinned(spark):
+    with pytest.raises(SourceContractError, match="unit holds"):
+        jsonstat.JsonStat().parse(spark, cube(), Indicator("x", "eurostat", "set", "M", (), {"unit": "INX"}))
+    with pytest.raises(SourceContractError, match="no dimension sex"):
+        jsonstat.JsonStat().parse(spark, cube(), Indicator("x", "eurostat", "set", "M", (), {"sex": "T"}))
+    rows = jsonstat.JsonStat().parse(spark, cube(), Indicator("x", "eurostat", "set", "M", (), {})).rows
+    assert {*rows.first()["dimensions"]} == {"unit", "release"}
+
+
+def test_requests_are_ordered_and_start_by_frequency():
+    i = Indicator("x", "eurostat", "set", "Q", ("IT", "EL"), {"unit": "PC", "age": "Y"}, since="2019-05")
+    r = jsonstat.JsonStat("http://h").request(i)
+    assert r.url == "http://h/set" and r.params == [("format", "JSON"), ("lang", "EN"), ("age", "Y"), ("unit", "PC"), ("geo", "EL"), ("geo", "IT"), ("sinceTimePeriod", "2019-Q2")]
+    assert [jsonstat.first_period("2019-05", f) for f in "MQA"] == ["2019-05", "2019-Q2", "2019"]
+    w = worldbank.WorldBank("http://h", 2026).request(Indicator("g", "worldbank", "GDP", "A", ("ITA", "BGR"), since="2019-01"))
+    assert w.url == "http://h/country/BGR;ITA/indicator/GDP" and w.params == [("format", "json"), ("date", "2019:2026"), ("per_page", "1000")]
 
 
 def test_worldbank(spark):
@@ -42,16 +64,21 @@ def test_worldbank(spark):
     wb, meta = worldbank.WorldBank(), {"pages": 1, "lastupdated": "d"}
     got = wb.parse(spark, json.dumps([meta, [row, row | {"date": "2023", "value": 1.25}]]).encode(), i)
     assert [(r["period"], r["value"], r["status"]) for r in got.rows.collect()] == [("2022", None, None), ("2023", 1.25, None)]
-    for bad in ([{"message": []}], [meta | {"pages": 2}, []], [meta, [row | {"indicator": {"id": "Z"}}]]):
-        with pytest.raises(SourceContractError):
+    assert wb.parse(spark, json.dumps([meta, None]).encode(), i).rows.count() == 0 and got.source_updated == "d"
+    short = {k: v for k, v in row.items() if k != "value"}
+    for bad, why in (([{"message": []}], "says"), ([meta | {"pages": 2}, []], "2 pages"), ([meta, [row | {"indicator": {"id": "Z"}}]], "rows of"), ([meta, [short]], "lacks"), ([meta, [row | {"value": "x"}]], "number"), ({}, "list"), ([1, 2, 3], "metadata"), ([meta, [row, None]], "lacks")):
+        with pytest.raises(SourceContractError, match=why):
             wb.parse(spark, json.dumps(bad).encode(), i)
 
 
 def test_fetch_tries_again_only_what_may_pass():
     answers = [(503, b""), (200, b"ok")]
     assert fetch(jsonstat.JsonStat().request(I), get=lambda u, t: answers.pop(0), sleep=lambda s: None) == (200, b"ok")
-    with pytest.raises(FetchError, match="404"):
-        fetch(jsonstat.JsonStat().request(I), get=lambda u, t: (404, b"none"), sleep=lambda s: None)
+    for body, said in ((b"none", "none"), (b'{"error": [{"status": 404, "label": "no such set"}]}', "no such set"), (b'[{"message": [{"id": "120", "value": "bad place"}]}]', "bad place"), (b"<html><b>gone</b></html>", "gone")):
+        with pytest.raises(FetchError, match=f"404: {said}"):
+            fetch(jsonstat.JsonStat().request(I), get=lambda u, t: (404, body), sleep=lambda s: None)  # noqa: B023
+    with pytest.raises(FetchError, match="4 tries"):
+        fetch(jsonstat.JsonStat().request(I), get=lambda u, t: (503, b"busy"), sleep=lambda s: None)
 
 
 def test_replay_isolates_failures(spark, tmp_path):
@@ -66,8 +93,32 @@ def test_replay_isolates_failures(spark, tmp_path):
     assert not ingest.ingest(spark, store, (I,))[0].ok
 
 
-def write_lifecycle(path, n=40):
-    lines = [",".join(workforce.COLUMNS)] + [f"E{i},GR,Sales,J,Manager,Permanent,2022-0{i % 9 + 1}-10,,,,HCM_A,2025-01-01" for i in range(n)]
+def test_live_ingest_checks_before_it_stores(spark, tmp_path):
+    store = SnapshotStore(str(tmp_path))
+    (good,) = ingest.ingest(spark, store, (I,), live=True, get=lambda r: (200, cube()))
+    assert good.ok and good.state == "created" and store.read("eurostat", "x")[1].observation_count == 2
+    (bad,) = ingest.ingest(spark, store, (I,), live=True, get=lambda r: (200, b"{}"))
+    assert not bad.ok and store.read("eurostat", "x")[0] == cube()
+    with pytest.raises(ConfigError):
+        ingest.sources({"elsewhere": "http://h"})
+
+
+def test_a_broken_snapshot_is_put_right(tmp_path):
+    store, meta = SnapshotStore(str(tmp_path)), lambda b: SnapshotMeta("p", "i", "set", "u", [], "t", 200, digest(b), len(b), None, 2)
+    body, side = tmp_path / "p" / "i.json", tmp_path / "p" / "i.meta.json"
+    assert store.write(b"one", meta(b"one")) == "created"
+    body.write_bytes(b"two")  # as if the sidecar had not been reached
+    with pytest.raises(CurateError):
+        store.read("p", "i")
+    assert store.write(b"two", meta(b"two")) == "updated" and store.read("p", "i") == (b"two", meta(b"two"))
+    for damage in (b"", b"{}"):
+        side.write_bytes(damage)
+        assert store.write(b"two", meta(b"two")) == "updated" and store.read("p", "i")[0] == b"two"
+    assert store.write(b"two", meta(b"two")) == "unchanged" and [*json.loads(side.read_text())][:3] == ["provider", "indicator_id", "dataset"]
+
+
+def write_lifecycle(path, n=40, name="E"):
+    lines = [",".join(workforce.COLUMNS)] + [f"{name}{i},GR,Sales,J,Manager,Permanent,2022-0{i % 9 + 1}-10,,,,HCM_A,2025-01-01" for i in range(n)]
     path.write_text("\n".join(lines) + "\n")
 
 
@@ -75,28 +126,170 @@ def test_lifecycle_rows_are_numbered_in_order(spark, tmp_path):
     write_lifecycle(tmp_path / "a.csv", 5)
     rows = lifecycle_csv(spark, str(tmp_path / "a.csv")).orderBy("source_row").collect()
     assert [(r["employee_id"], r["source_row"]) for r in rows] == [(f"E{i}", i + 2) for i in range(5)] and rows[0]["termination_date"] == ""
+    (tmp_path / "many").mkdir()
+    write_lifecycle(tmp_path / "many" / "a.csv", 3, "A")
+    write_lifecycle(tmp_path / "many" / "b.csv", 3000, "B")
+    write_lifecycle(tmp_path / "many" / "c.csv", 2, "C")
+    want = [*[f"A{i}" for i in range(3)], *[f"B{i}" for i in range(3000)], "C0", "C1"]
+    for size in ("128m", "20k"):  # blocks of files are numbered on, however they are dealt to tasks
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        got = lifecycle_csv(spark, str(tmp_path / "many")).orderBy("source_row").collect()
+        assert [r["employee_id"] for r in got] == want and [r["source_row"] for r in got] == [*range(2, 3007)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    (tmp_path / "bad.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(CurateError, match="employee_id"):
+        lifecycle_csv(spark, str(tmp_path / "bad.csv"))
+
+
+def test_csv_tells_null_from_empty_text(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, "", 'a"b', True, 0.5, ["x", "y"]), (2, "a,b", "n\nl", " ", None, None, [])], "i int, a string, b string, c string, d boolean, e double, f array<string>")
+    assert csv_file(df, str(tmp_path / "x.csv"), ["i"]) == 2
+    assert (tmp_path / "x.csv").read_text() == 'i,a,b,c,d,e,f\n1,,"","a""b",true,0.5,x|y\n2,"a,b","n\nl", ,,,""\n'
+
+
+def write_people(path, hired=range(1, 13)):
+    """Managers and leaders of two units hired in 2022, some of whom left; clean rows."""
+    lines = [",".join(workforce.COLUMNS)]
+    for n, m in enumerate(hired):
+        for k in range(12):
+            gone = "2023-02-10,Voluntary,true" if k == 0 else "2022-12-20,Voluntary,false" if k == 1 else ",,"
+            lines.append(f"P{n}-{k},{'GR' if k % 2 else 'IT'},{'Sales' if k % 3 else 'Finance'},J,{'Senior Leader' if k % 4 == 0 else 'Manager'},Permanent,2022-{m:02}-05,{gone},HCM_A,2025-01-01")
+    path.write_text("\n".join(lines) + "\n")
+
+
+def snapshots(spark, root, values=range(60)):
+    store = SnapshotStore(str(root))
+    months = [f"{2021 + i // 12}-{i % 12 + 1:02}" for i in values]
+    dims = {**{k: [v] for k, v in ingest.STANDARD[0].filters.items()}, "geo": ["EL", "IT"], "time": months}
+    doc = {"id": list(dims), "size": [len(v) for v in dims.values()], "dimension": {k: {"category": {"index": {c: i for i, c in enumerate(v)}}} for k, v in dims.items()}, "value": [(i * 37 % 11) + i / 100 for i in range(2 * len(months))], "updated": "now"}
+    body = json.dumps(doc).encode()
+    store.write(body, SnapshotMeta("eurostat", "unemployment_rate", "une_rt_m", "u", [], "t", 200, digest(body), len(body), "now", 2 * len(months)))
+    return store
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    at = tmp_path_factory.mktemp("built")
+    write_people(at / "a.csv")
+    staged, missing = ingest.staged(spark, snapshots(spark, at / "snap"), ingest.STANDARD)
+    assert len(missing) == 5
+    pipeline.run(spark, lifecycle_csv(spark, str(at / "a.csv")), staged, standard(), str(at / "tables"), str(at / "reports"))
+    return at
+
+
+def test_whole_run_repeats_byte_by_byte(spark, built):
+    report = json.loads((built / "reports" / "quality_report.json").read_text())
+    assert (report["workforce_rows_read"], report["employees"], report["external_values"], len(report["rules"])) == (144, 144, 120, 23)
+    tables = serving.open_tables(spark, str(built / "tables"))
+    assert serving.variants(tables["objective_measures"]) == {"NEW_HIRE_6M": ["main"], "REGRETTED_TURNOVER_12M": ["main", "upper_bound_unknown"], "SENIOR_HIRE_12M": ["main", "sensitivity_manager"]}
+    csv_file(tables["objective_measures"], f"{built}/again.csv", ["objective_id", "variant", "grain", "country_code", F.asc_nulls_last("segment_value"), "period_start"])
+    assert (built / "again.csv").read_bytes() == (built / "reports" / "objective_measures.csv").read_bytes()
+    assert (built / "reports" / "association_results.csv").read_text().splitlines()[0] == "objective_id,indicator_id,model,outcome,n_obs,n_events,n_clusters,signal_sd_within,odds_ratio,ci_low,ci_high,p_value,q_value,note"
+
+
+def test_service_answers_and_refuses(spark, built):
+    s = serving.Service(spark, str(built / "tables"), standard())
+    ask = lambda path: http_api.answer(s, path)
+    assert ask("/api/health") == (200, {"status": "ok", "missing": []})
+    meta = ask("/api/meta")[1]
+    assert meta["segments"] == ["Finance", "Sales"] and meta["variants"]["SENIOR_HIRE_12M"] == ["main", "sensitivity_manager"]
+    state, measures = ask("/api/objectives/NEW_HIRE_6M/measures?grain=year&country=GR")
+    assert state == 200 and [(m["numerator"], m["denominator"]) for m in measures] == [(66, 72.0)]  # those of July and later who left in December
+    assert {r["objective_id"] for r in ask("/api/status?grain=year")[1]} == {"NEW_HIRE_6M", "SENIOR_HIRE_12M", "REGRETTED_TURNOVER_12M"}
+    signals = ask("/api/signals/unemployment_rate?countries=GR")[1]
+    assert {r["country_code"] for r in signals} == {"GR"} and signals[0]["as_of_date"] == date(2021, 1, 1) and signals[-1]["value"] is not None
+    models = ask("/api/objectives/NEW_HIRE_6M/associations")[1]
+    assert [(r["model"], r["n_obs"], r["n_events"]) for r in models if r["indicator_id"] == "unemployment_rate"] == [("within_country", 144, 10), ("naive", 144, 10)]
+    assert {r["note"] for r in models if r["indicator_id"] != "unemployment_rate"} == {"no events"}
+    cells = ask("/api/objectives/NEW_HIRE_6M/associations/unemployment_rate/cells")[1]
+    assert sum(c["n"] for c in cells) == 144 and sum(c["events"] for c in cells) == 10
+    findings = ask("/api/findings")[1]
+    assert {*findings} == {"cohorts", "turnover", "tests", "significance", "definitions"} and findings["tests"][0]["strongest"] == "unemployment_rate"
+    trust = ask("/api/trust")[1]
+    assert trust["workforce"]["employees"] == 144 and len(trust["rules"]) == 23 and trust["freshness"][0]["countries"] == 2
+    refused = {"/api/objectives/NONE/measures": 404, "/api/signals/none": 404, "/api/objectives/NEW_HIRE_6M/associations/none/cells": 404, "/api/nothing": 404, "/api/status?grain=week": 422,
+               "/api/objectives/NEW_HIRE_6M/measures?variant=odd": 422, "/api/status?country=XX": 422, "/api/status?segment=Odd": 422, "/api/status?colour=red": 422, "/api/signals/unemployment_rate?countries=GR,XX": 422}
+    assert {p: ask(p)[0] for p in refused} == refused
+    assert "month, quarter, year" in ask("/api/status?grain=week")[1]["detail"]
+    none = serving.Service(spark, str(built / "no"), standard())
+    assert http_api.answer(none, "/api/meta")[0] == 503 == http_api.answer(none, "/api/health")[0]
+    s._tables = {"objective_measures": None}
+    state, body = ask("/api/status")
+    assert state == 500 and len(body["request_id"]) == 32
+
+
+def test_service_over_http(spark, built):
+    import threading
+    from urllib.request import urlopen
+
+    with http_api.server(serving.Service(spark, str(built / "tables"), standard()), port=0) as s:
+        threading.Thread(target=s.serve_forever, daemon=True).start()
+        with urlopen(f"http://127.0.0.1:{s.server_address[1]}/api/health") as r:
+            assert json.loads(r.read())["status"] == "ok" and r.headers["Content-Type"] == "application/json"
+        s.shutdown()
+
+
+def write_settings(folder, **changes):
+    folder.mkdir()
+    (folder.parent / "goals.csv").write_text("objective_id,direction,target_value,unit,effective_from,effective_to\nB,at_most,0.1,proportion,2021-01-01,2024-12-31\nA,at_least,0.9,proportion,2021-01-01,2024-12-31\n")
+    files = {
+        "analysis": {"objectives_file": "goals.csv", "reporting_start": "2021-01", "min_sample": 5, "segment": "business_unit", "signals": [{"indicator": "u", "lag_days": 3, "release": "FIN"}],
+                     "objectives": {"A": {"measure": "cohort_retention", "months": 6, "levels": None}, "B": {"measure": "trailing_regretted_turnover", "months": 12}}},
+        "countries": {"countries": [{"code": "GR", "name": "Greece", "eurostat": "EL", "worldbank": "GRC", "aliases": ["EL"]}, {"code": "IT", "name": "Italy", "eurostat": "IT", "worldbank": "ITA", "aliases": []}]},
+        "workforce": {"source_file": "rows.csv", "as_of_date": "2025-12-31", "allowed": {"career_level": ["Manager"], "business_unit": ["Sales"], "employment_type": ["Permanent"]}},
+        "sources": {"providers": {"eurostat": {"base_url": "http://h"}}, "history_start": "2019-01", "indicators": [{"id": "u", "provider": "eurostat", "dataset": "set", "lens": "l", "title": "t", "frequency": "M", "unit": "pc", "filters": {"sex": "T"}}]},
+    }
+    for name, table in files.items():
+        (folder / f"{name}.json").write_text(json.dumps(table | changes.get(name, {})))
+    return str(folder)
+
+
+def test_settings_come_from_files(tmp_path):
+    d = settings.load(write_settings(tmp_path / "c"))
+    s = d.settings
+    assert [(o.id, o.measure, o.target, o.months) for o in s.objectives] == [("A", "cohort", 0.9, 6), ("B", "turnover", 0.1, 12)]
+    assert (s.reporting_start, s.effective_to, s.as_of, s.min_sample) == (date(2021, 1, 1), date(2024, 12, 31), date(2025, 12, 31), 5)
+    assert s.country_names == {"GR": "GR", "IT": "IT", "EL": "GR"} and s.geo_map == {("eurostat", "EL"): "GR", ("eurostat", "IT"): "IT"}
+    (i,) = d.indicators
+    assert (i.geos, i.filters, i.release_dimension, i.since) == (("EL", "IT"), {"sex": "T"}, "release", "2019-01") and d.lifecycle == str(tmp_path / "rows.csv")
+
+
+@pytest.mark.parametrize("name, change, why", [
+    ("analysis", {"odd": 1}, "unknown odd"), ("analysis", {"segment": "colour"}, "segment"), ("analysis", {"reporting_start": "soon"}, "no date"), ("analysis", {"signals": [{"indicator": "x", "lag_days": 1}]}, "signals of no indicator"),
+    ("analysis", {"objectives": {"A": {"measure": "cohort_retention", "months": 6}}}, "only one place: B"), ("analysis", {"objectives_file": "none.csv"}, "no file"), ("workforce", {"career_level_aliases": {"x": "Nobody"}}, "Nobody"),
+    ("sources", {"providers": {}}, "unknown provider"), ("countries", {"countries": [{"code": "GR", "aliases": ["X"]}, {"code": "IT", "aliases": ["X"]}]}, "two countries"),
+])
+def test_settings_that_cannot_hold_are_refused(tmp_path, name, change, why):
+    with pytest.raises(ConfigError, match=why):
+        settings.load(write_settings(tmp_path / "c", **{name: change}))
+
+
+@pytest.mark.parametrize("row, why", [("A,at_least,0.9,days,,", "unit"), ("A,at_least,x,proportion,,", "target"), ("A,at_least,0.9,proportion,2022-01-01,2021-01-01", "ends"), ("A,at_least,0.9,proportion,,\nA,at_least,0.9,proportion,,", "repeats")])
+def test_targets_are_checked(tmp_path, row, why):
+    (tmp_path / "t.csv").write_text(f"objective_id,direction,target_value,unit,effective_from,effective_to\n{row}\n")
+    with pytest.raises(ConfigError, match=why):
+        settings.targets(tmp_path / "t.csv")
 
 
-def test_whole_run_serves_and_repeats(spark, tmp_path):
-    write_lifecycle(tmp_path / "a.csv")
-    store = SnapshotStore(str(tmp_path / "snap"))
-    staged, _ = ingest.staged(spark, store, ())
-    root, reports = str(tmp_path / "tables"), str(tmp_path / "reports")
-    with pytest.raises(serving.DataNotReady):
-        serving.open_tables(spark, root)
-    t = pipeline.run(spark, lifecycle_csv(spark, str(tmp_path / "a.csv")), staged, standard(), root, reports)
-    first = (tmp_path / "reports" / "objective_measures.csv").read_bytes()
-    tables = serving.open_tables(spark, root)
-    assert serving.health(spark, root)["status"] == "ok" and serving.variants(t["objective_measures"])["SENIOR_HIRE_12M"] == ["main", "sensitivity_manager"][1:]
-    assert serving.trust(tables, standard())["workforce"]["employees"] == 40
-    csv_file(tables["objective_measures"], f"{reports}/again.csv", ["objective_id", "variant", "grain", "country_code", "segment_value", "period_start"])
-    assert (tmp_path / "reports" / "again.csv").read_bytes() == first
-    with pytest.raises(serving.BadFilter):
-        serving.checked("week", ["month", "quarter"], "grain")
-
-
-def test_cli_codes():
-    assert cli.main(["nothing"]) == 2
+def test_cli_codes_gate_and_manifests(spark, tmp_path, capsys):
+    at = lambda *names: [x for n in names for x in (f"--{n}", str(tmp_path / n))]
+    assert cli.main(["nothing"]) == 2 == cli.main(["curate"]) == cli.main(["ingest", "--only", "none"]) == cli.main(["run", "--config", str(tmp_path / "none")])
+    assert cli.main(["version"]) == 0 and capsys.readouterr().out.strip()
+    assert cli.main(["health", *at("tables")]) == 1
+    write_people(tmp_path / "lifecycle", [1, 2])
+    folders = at("lifecycle", "snapshots", "tables", "reports")
+    store = snapshots(spark, tmp_path / "snapshots")
+    assert cli.main(["ingest", "--only", "unemployment_rate", *folders]) == 0 and cli.main(["ingest", *folders]) == 1
+    runs = [json.loads(p.read_text()) for p in sorted((tmp_path / "reports" / "runs").iterdir())]
+    assert [len(r["indicators"]) for r in runs] == [1, 6] and runs[0]["run_id"] < runs[1]["run_id"]
+    assert cli.main(["curate", *folders]) == 0 and cli.main(["analyse", *folders]) == 0 and cli.main(["health", *folders]) == 0
+    report = json.loads((tmp_path / "reports" / "quality_report.json").read_text())
+    assert report["workforce_source"] == "lifecycle" and len(report["workforce_source_sha256"]) == 64 and len(report["missing_indicators"]) == 5
+    body = store.read("eurostat", "unemployment_rate")[0].replace(b'"2021-01"', b'"2021-13"')
+    store.write(body, SnapshotMeta("eurostat", "unemployment_rate", "une_rt_m", "u", [], "t", 200, digest(body), len(body), "now", 2))
+    assert cli.main(["curate", *folders]) == 1  # a period that can't be read is an error
+    rules = {r["rule_id"]: r["rows_affected"] for r in json.loads((tmp_path / "reports" / "quality_report.json").read_text())["rules"]}
+    assert rules["EX_PERIOD_UNPARSEABLE"] == 2
 
 
 def test_stream_keeps_the_latest_version(spark, tmp_path):
