@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.llm import wavelet
-from quillon.llm.common import join_small, shared_path, stored, table
+from quillon.llm.common import hand_back, join_small, shared_path, stored, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Tokens of a file, about; and bytes of text in a range of ids, of which there are so many at most.
 FILE_TOKENS, RANGE_BYTES, MOST_RANGES = 3_000_000, 8_000_000, 50_000
-#: Bytes of text that are encoded at a time; pieces whose ids a worker keeps, of so many bytes at most.
-CHUNK_BYTES, MOST_PIECES, PIECE_BYTES = 8_000_000, 300_000, 40
+#: Bytes of text that are cut at a time; pieces that the library gets at a time; pieces whose ids a worker keeps, of so
+#: many bytes at most.
+CHUNK_BYTES, BATCH, MOST_PIECES, PIECE_BYTES = 8_000_000, 16_384, 300_000, 40
 #: Classes of bytes: white space, white space but the blank, ASCII letters, other visible ASCII but digits.
 _SPACE, _BREAK, _LETTER, _SIGN = 1, 2, 4, 8
 
@@ -111,6 +112,11 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _lines(self, pieces: list[bytes]) -> np.ndarray:
+        """Ids of pieces, a line's id after each."""
+        parts = [self._library([b"\n".join([*pieces[i : i + BATCH], b""]).decode()])[0] for i in range(0, len(pieces), BATCH)]
+        return np.concatenate([np.array(x, self.kind) for x in parts]) if parts else np.zeros(0, self.kind)
+
     def _new(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of pieces, and for each its first place among them and how many it has.
 
@@ -126,14 +132,12 @@ class Encoder:
         if any(a.encode() in text for a in self.added):
             simple &= [not any(a.encode() in p for a in self.added) for p in pieces]
         lines, others = np.flatnonzero(simple).tolist(), np.flatnonzero(~simple).tolist()
-        sizes, found = np.zeros(len(pieces), np.int64), np.zeros(0, self.kind)
-        if lines:
-            found = np.array(self._library([b"\n".join([pieces[i] for i in lines]).decode()])[0], self.kind)
-            ends = np.append(np.flatnonzero(found == self.line), len(found))
-            if len(ends) != len(lines):
-                raise ValueError("the tokenizer doesn't keep lines apart")
-            sizes[lines] = np.diff(ends, prepend=-1) - 1
-            found = found[found != self.line]
+        sizes, found = np.zeros(len(pieces), np.int64), self._lines([pieces[i] for i in lines])
+        ends = np.flatnonzero(found == self.line)
+        if len(ends) != len(lines):
+            raise ValueError("the tokenizer doesn't keep lines apart")
+        sizes[lines] = np.diff(ends, prepend=-1) - 1
+        found = found[found != self.line] if lines else found
         more = self._library([pieces[i].decode() for i in others]) if others else []
         sizes[others] = [len(x) for x in more]
         order = lines + others
@@ -149,7 +153,7 @@ class Encoder:
         ids, first, sizes = np.concatenate([self.ids, found]), np.concatenate([self.first, at + len(self.ids)]), np.concatenate([self.sizes, n])
         slot[new] = np.arange(len(self.sizes), len(sizes))
         if len(self.known) + len(new) > MOST_PIECES:
-            if 2 * len(new) > len(pieces):  # other texts than those before: begin anew
+            if 5 * len(new) > 4 * len(pieces):  # other texts than those before: begin anew
                 self.clear()
         else:
             self.known.update((pieces[i], int(slot[i])) for i in new if len(pieces[i]) <= PIECE_BYTES)
@@ -239,6 +243,7 @@ def _written(uri: str, path: str, most: int):
                     flush()
         if docs:
             flush()
+        hand_back()
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.int64()))], ["part", "seq", "docs", "tokens"])
 
@@ -268,6 +273,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(docs)
             cols = [pa.array([header["part"]] * n, pa.int32()), pa.array([header["seq"]] * n, pa.int32()), pa.array(docs, pa.int64()), pa.array(ends - lengths, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["part", "seq", "doc_id", "at", "n_tokens", "ids_crc32"])
+    hand_back()
 
 
 def read_tokens(spark: SparkSession, uri: str, files: DataFrame) -> DataFrame:
