@@ -18,11 +18,6 @@ def month_end_after(start: Column, months: int | Column) -> Column:
     return F.last_day(F.add_months(start, months))
 
 
-def months_between_inclusive(first: Column, last: Column) -> Column:
-    """Month starts from first to last, none where last is before first."""
-    return F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month"))).otherwise(F.array().cast("array<date>"))
-
-
 def trunc_to(grain: Column, d: Column) -> Column:
     return F.when(grain == "month", F.trunc(d, "month")).when(grain == "quarter", F.trunc(d, "quarter")).otherwise(F.trunc(d, "year"))
 

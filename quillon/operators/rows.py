@@ -42,11 +42,6 @@ def broken(rules: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(p, F.lit(i)) for i, p in rules]))
 
 
-def hits(df: DataFrame, keep: list[str], rules: list[tuple[str, Column]]) -> DataFrame:
-    """One row for each rule that a row breaks, in one pass."""
-    return df.select(*keep, F.explode(broken(rules)).alias("rule_id"))
-
-
 def rule_counts(catalogue: DataFrame, events: DataFrame) -> DataFrame:
     """Every rule of the catalogue in order, with its hits, 0 where there are none."""
     n = events.groupBy("rule_id").agg(F.count("*").alias("hits"))

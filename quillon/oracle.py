@@ -28,7 +28,11 @@ def whole(select: str) -> str:
                 order.append(name)
 
     visit(select)
-    return "WITH " + ",\n".join(f"{n} AS ({STEPS[n]})" for n in order) + "\n" + select if order else select
+    steps = ",\n".join(f"{n} AS ({STEPS[n]})" for n in order)
+    if select.startswith("WITH"):  # has steps of its own
+        kind, rest = ("WITH RECURSIVE", select[15:]) if select.startswith("WITH RECURSIVE ") else ("WITH", select[5:])
+        return f"{kind} {steps},\n{rest}" if order else select
+    return f"WITH {steps}\n{select}" if order else select
 
 
 def _number(day: str) -> str:
@@ -228,6 +232,21 @@ STEPS["s_cell"] = f"""SELECT objective_id, indicator_id, country_code, as_of_dat
   UNION ALL SELECT 'REGRETTED_TURNOVER_12M', country_key, month_start, sum(at_risk)::BIGINT, sum(regretted)::BIGINT FROM s_risk WHERE date_diff('day', {BEGIN}, month_start) >= 0 GROUP BY ALL)
  JOIN s_known USING (country_code, as_of_date) WHERE country_code <> '(unassigned)'"""
 
+# ---- a logistic regression on one signal: Newton's steps on two sums of gradients and three of curvature
+_FIT = """WITH RECURSIVE c AS (SELECT objective_id, indicator_id, n::DOUBLE AS n, events::DOUBLE AS e, value, value - avg(value) OVER (PARTITION BY objective_id, indicator_id, country_code) AS off FROM s_cell WHERE value IS NOT NULL),
+u AS (SELECT objective_id, indicator_id, sqrt(sum(off * off) / (count(*) - 1)) AS unit, count(*) AS clusters, sum(n) AS persons, sum(e) AS gone FROM c GROUP BY ALL HAVING count(*) > 2),
+x AS (SELECT c.objective_id, c.indicator_id, n, e, value / unit AS x FROM c JOIN u USING (objective_id, indicator_id) WHERE unit > 0 AND gone > 0),
+b AS (SELECT DISTINCT objective_id, indicator_id, 0 AS step, 0::DOUBLE AS b0, 0::DOUBLE AS b1 FROM x
+ UNION ALL SELECT objective_id, indicator_id, step + 1, b0 + (g0 * h11 - g1 * h01) / (h00 * h11 - h01 * h01), b1 + (g1 * h00 - g0 * h01) / (h00 * h11 - h01 * h01) FROM
+  (SELECT objective_id, indicator_id, step, b0, b1, sum(e - n * m) AS g0, sum((e - n * m) * x) AS g1, sum(n * m * (1 - m)) AS h00, sum(n * m * (1 - m) * x) AS h01, sum(n * m * (1 - m) * x * x) AS h11
+   FROM (SELECT b.*, x.n, x.e, x.x, 1 / (1 + exp(-(b0 + b1 * x.x))) AS m FROM b JOIN x USING (objective_id, indicator_id) WHERE step < 25) GROUP BY objective_id, indicator_id, step, b0, b1)),
+v AS (SELECT objective_id, indicator_id, b1, h00, h01, h00 * h11 - h01 * h01 AS d, s00, s01, s11 FROM
+  (SELECT objective_id, indicator_id, b1, sum(n * m * (1 - m)) AS h00, sum(n * m * (1 - m) * x) AS h01, sum(n * m * (1 - m) * x * x) AS h11, sum((e - n * m) ** 2) AS s00, sum((e - n * m) ** 2 * x) AS s01, sum((e - n * m) ** 2 * x * x) AS s11
+   FROM (SELECT b.*, x.n, x.e, x.x, 1 / (1 + exp(-(b0 + b1 * x.x))) AS m FROM b JOIN x USING (objective_id, indicator_id) WHERE step = 25) GROUP BY objective_id, indicator_id, b1)),
+r AS (SELECT v.*, u.*, sqrt((h01 * h01 * s00 - 2 * h00 * h01 * s01 + h00 * h00 * s11) / (d * d) * clusters / (clusters - 1) * (persons - 1) / (persons - 2)) AS se FROM v JOIN u USING (objective_id, indicator_id))
+SELECT objective_id, indicator_id, persons::BIGINT AS n_obs, gone::BIGINT AS n_events, clusters AS n_clusters, format('{:.6g}', unit)::DOUBLE AS signal_sd_within,
+ format('{:.6g}', exp(b1))::DOUBLE AS odds_ratio, format('{:.6g}', exp(b1 - 1.959963984540054 * se))::DOUBLE AS ci_low, format('{:.6g}', exp(b1 + 1.959963984540054 * se))::DOUBLE AS ci_high FROM r"""
+
 _P = "(({} * 7919) % 10007) / 10007.0::DOUBLE"
 STEPS["s_test"] = f"SELECT p_brand AS objective_id, p_name || '-' || p_partkey AS indicator_id, {_P.format('p_partkey')} AS p_value FROM part"
 
@@ -238,6 +257,19 @@ def _ranked(rows: str) -> str:
     return f"(SELECT p_value, least(1.0, min((p_value * m / r)::DOUBLE) OVER (ORDER BY p_value DESC)) AS q_value FROM {by})"
 
 
+_PROFILE = [
+    ("rows", "SELECT count(*) FROM s_raw"), ("equal rows", "SELECT count(*) - (SELECT count(*) FROM s_single) FROM s_raw"), ("ids", "SELECT count(DISTINCT employee_id) FROM s_raw"),
+    ("ids with differing rows", "SELECT count(*) FROM (SELECT employee_id FROM s_plain GROUP BY employee_id HAVING count(*) > 1)"),
+    *[(name, f"SELECT count(*) FROM s_plain WHERE {test}") for name, test in {
+        "country blank": "country_code = ''", "country by an alias": f"country_code IN ({', '.join(repr(x) for x in SETTINGS.country_aliases)})", "hire date blank": "hire_date = ''",
+        "hired before the reporting start": f"date_diff('day', d_in, {BEGIN}) > 0", "hired after the as-of date": f"date_diff('day', {NOW}, d_in) > 0", "left before hire": "date_diff('day', d_out, d_in) > 0",
+        "left after the as-of date": f"date_diff('day', {NOW}, d_out) > 0", "left without a type": "d_out IS NOT NULL AND length(termination_type) = 0", "type without a date of leaving": "d_out IS NULL AND length(termination_type) > 0",
+        "left freely, regret blank": "termination_type || regretted_exit = 'Voluntary'", "regretted, not left freely": "regretted_exit = 'true' AND termination_type NOT IN ('', 'Voluntary')",
+        "permanent contract ended by its term": "termination_type || '/' || employment_type = 'End of Contract/Permanent'", "level by an alias": f"career_level IN ({', '.join(repr(x) for x in SETTINGS.level_aliases)})",
+    }.items()],
+]
+STEPS["s_plain"] = "SELECT *, try_strptime(hire_date, '%Y-%m-%d')::DATE AS d_in, try_strptime(termination_date, '%Y-%m-%d')::DATE AS d_out FROM s_raw WHERE source_row IN (FROM s_single)"
+
 _SLICE = "country_code = 'ALL' AND segment_value = 'All'"
 _POSITIONS = ", ".join(f"({i}, '{r.id}', '{r.severity}')" for i, r in enumerate(CATALOGUE))
 _SELECTS = {
@@ -268,6 +300,8 @@ _SELECTS = {
     "events_asof": "SELECT e.event_id, e.user_id, max({'t': r.ts, 'i': r.event_id}).i AS seen_id FROM events e LEFT JOIN events r ON r.user_id = e.user_id AND r.ts <= e.ts AND r.event_type <> 'purchase' WHERE e.event_type = 'purchase' GROUP BY e.event_id, e.user_id",
     "model_cells": "SELECT * FROM s_cell",
     "association_cells": f"SELECT objective_id, indicator_id, country_code, {_first(_number('as_of_date') + ' // 3 * 3')} AS period_start, sum(n)::BIGINT AS n, sum(events)::BIGINT AS events, round(sum(n * value) / sum(n), 6) AS signal_mean, round(sum(events) / sum(n), 6) AS event_rate FROM s_cell WHERE value IS NOT NULL GROUP BY ALL",
+    "association_naive": _FIT,
+    "associations_of": f"SELECT objective_id, indicator_id, country_code, {_first(_number('as_of_date') + ' // 3 * 3')} AS period_start, sum(n)::BIGINT AS n, sum(events)::BIGINT AS events, round(sum(n * value) / sum(n), 6) AS signal_mean, round(sum(events) / sum(n), 6) AS event_rate FROM s_cell WHERE value IS NOT NULL AND objective_id = 'NEW_HIRE_6M' AND indicator_id = 'ship_lines' GROUP BY ALL",
     "bh_qvalues": f"WITH p AS (SELECT c_custkey, {_P.format('c_custkey')} AS p_value FROM customer) SELECT c_custkey, round(p_value, 9) AS p_value, round(q_value, 9) AS q_value FROM p JOIN {_ranked('p')} USING (p_value)",
     "latest_status": f"SELECT m.objective_id, m.period_start, m.period_end, m.numerator, m.denominator, m.rate, m.ci_low, m.ci_high, m.target, m.direction, m.status, m.confidence, l.pending_periods FROM s_measure m JOIN (SELECT objective_id, max(period_start) FILTER (WHERE status <> 'pending') AS last, count(*) FILTER (WHERE status = 'pending') AS pending_periods FROM s_measure WHERE variant = 'main' AND grain = 'quarter' AND {_SLICE} GROUP BY objective_id) l ON l.objective_id = m.objective_id AND l.last = m.period_start WHERE variant = 'main' AND grain = 'quarter' AND {_SLICE}",
     "pooled_cohorts": f"SELECT objective_id, variant, numerator, denominator, round(numerator / denominator, 9) AS rate, round({_LOW}, 9) AS ci_low, round({_HIGH}, 9) AS ci_high, first_year, last_year, yearly_rates FROM (SELECT objective_id, variant, sum(numerator)::BIGINT AS numerator, sum(denominator) AS denominator, year(min(period_start))::INT AS first_year, year(max(period_start))::INT AS last_year, string_agg(printf('%.6f', rate), '|' ORDER BY period_start) AS yearly_rates FROM s_measure WHERE objective_id <> 'REGRETTED_TURNOVER_12M' AND grain = 'year' AND {_SLICE} AND status <> 'pending' GROUP BY ALL)",
@@ -281,8 +315,10 @@ _SELECTS = {
     "findings_rollup": f"SELECT objective_id, count(*) AS tests, count_if(q_value < 0.05) AS significant, min({{'p': p_value, 'i': indicator_id}}).i AS strongest, round(min(p_value), 9) AS least_p FROM s_test JOIN {_ranked('s_test')} USING (p_value) GROUP BY objective_id",
     "union_exports": "SELECT event_id, user_id, 'click' AS origin FROM events WHERE event_type = 'click' UNION ALL SELECT event_id, user_id, 'large' FROM events WHERE value > 50",
     "profile_counts": "SELECT field, value, count(*) AS n FROM (SELECT unnest(['country_code', 'career_level', 'termination_type', 'regretted_exit']) AS field, unnest([country_code, career_level, termination_type, regretted_exit]) AS value FROM s_raw) GROUP BY ALL",
+    "profile_checks": " UNION ALL ".join(f"SELECT {i} AS position, '{name}' AS \"check\", ({sql})::BIGINT AS n" for i, (name, sql) in enumerate(_PROFILE)),
+    "set_operations": "SELECT user_id, 'either' AS part FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id UNION ALL SELECT user_id, CASE WHEN bool_or(event_type = 'purchase') THEN 'both' ELSE 'clicked only' END FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id HAVING bool_or(event_type = 'click')",
     "tenure_histogram": "SELECT (exit_date - hire_date)::INT AS days, count(*) AS n FROM s_scope WHERE exit_date - hire_date BETWEEN 175 AND 190 GROUP BY ALL",
     "rule_counts": f"SELECT position, id AS rule_id, severity, count(rule_id) AS hits FROM (VALUES {_POSITIONS}) AS c(position, id, severity) LEFT JOIN (SELECT rule_id FROM s_event UNION ALL SELECT rule_id FROM s_xevent) ON rule_id = id GROUP BY position, id, severity",
     "jsonstat_decode": "WITH s AS (SELECT DISTINCT c_mktsegment FROM customer), x AS (SELECT n_name, c_mktsegment, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL), a AS (SELECT *, (dense_rank() OVER (ORDER BY n_name) - 1) * (SELECT count(*) FROM s) AS base FROM nation) SELECT (base + (SELECT count(*) FROM s WHERE s.c_mktsegment < x.c_mktsegment))::BIGINT AS flat, 'nation=' || x.n_name || '|segment=' || x.c_mktsegment AS coords, CASE WHEN n > 1 THEN n::DOUBLE END AS value, CASE WHEN n <= 1 THEN 'u' END AS status FROM x JOIN a USING (n_name)",
 }
-ORACLES = {name: whole(sql) if "s_" in sql and not sql.startswith("WITH") else sql for name, sql in _SELECTS.items()}
+ORACLES = {name: whole(sql) for name, sql in _SELECTS.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.config import Settings
@@ -60,11 +60,13 @@ def mapped(c: Column, names: dict[str, str]) -> Column:
 
 
 def versions(raw: DataFrame) -> DataFrame:
-    """Raw rows with dup_rank (among equal rows) and, for those kept, version_rank (1: the one that counts).
+    """Raw rows with dup_rank (1 for the first of equal rows, 2 for the others) and, for those kept, version_rank (1: the one that counts).
 
     Both orders end with source_row, so every rerun decides alike. The date of a version is compared as text. Rows
     are shuffled once, by id: equal rows have one id, so both windows find theirs together."""
-    ranked = ranked_duplicates(raw.repartition("employee_id"), list(COLUMNS), [F.col("source_row")])
+    same = Window.partitionBy("employee_id").orderBy(F.xxhash64(*COLUMNS), *COLUMNS, "source_row")  # equal rows lie together; the hash settles most comparisons
+    row = F.struct(*COLUMNS)
+    ranked = raw.repartition("employee_id").withColumn("dup_rank", F.when(F.lag(row).over(same).eqNullSafe(row), 2).otherwise(1))
     first = F.when(F.col("dup_rank") == 1, 0).otherwise(1)
     return ranked_duplicates(ranked, ["employee_id"], [first, F.desc_nulls_last("record_updated_at"), F.desc("source_row")], "version_rank")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon import adapters, serving
@@ -13,7 +13,7 @@ from quillon.functions.calendar import iso_date
 from quillon.functions.calendar import period_months, period_start, month_end_after
 from quillon.functions.stats import benjamini_hochberg, wilson
 from quillon.operators import rows, temporal
-from quillon.plans import association, external, retention, signals, workforce
+from quillon.plans import association, external, profile, retention, signals, workforce
 from quillon.sources import jsonstat
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,6 +215,18 @@ def association_logit(spark, d):
     return association.fit_associations(_cells(spark, d), S)
 
 
+@query
+def association_naive(spark, d):
+    """The models without countries, whose two coefficients SQL can work out too."""
+    r = association.fit_associations(_cells(spark, d), S).filter("model = 'naive'")
+    return r.select("objective_id", "indicator_id", "n_obs", "n_events", "n_clusters", "signal_sd_within", "odds_ratio", "ci_low", "ci_high")
+
+
+@query
+def associations_of(spark, d):
+    return serving.association_cells(association.quarter_cells(_cells(spark, d)), "NEW_HIRE_6M", "ship_lines")
+
+
 @query
 def bh_qvalues(spark, d):
     p = adapters.table(spark, d, "customer").select("c_custkey", (F.pmod(F.col("c_custkey") * 7919, F.lit(10007)) / 10007.0).alias("p_value"))
@@ -291,6 +303,21 @@ def profile_counts(spark, d):
     return r.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in ("country_code", "career_level", "termination_type", "regretted_exit")])).alias("x")).groupBy("x.field", "x.value").agg(F.count("*").alias("n"))
 
 
+@query
+def profile_checks(spark, d):
+    return profile.profile(adapters.lifecycle(spark, d), S)
+
+
+@query
+def set_operations(spark, d):
+    """Users who clicked or bought, those who did both, and those who clicked only."""
+    e = adapters.table(spark, d, "events")
+    clicked, bought = (e.filter(F.col("event_type") == kind).select("user_id") for kind in ("click", "purchase"))
+    parts = {"either": clicked.union(bought).distinct(), "both": clicked.intersect(bought), "clicked only": clicked.subtract(bought)}
+    named = [df.select("user_id", F.lit(name).alias("part")) for name, df in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 @query
 def tenure_histogram(spark, d):
     e = _workforce(spark, d).employees.filter("exit_date is not null and is_measurable").withColumn("days", F.datediff("exit_date", "hire_date"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillon.operators.rows import latest
 
+#: Parts that the state is kept in, by hash of the id; a batch rewrites those that its ids fall into.
+BUCKETS = 256
+
 
 def merged(state: DataFrame | None, batch: DataFrame) -> DataFrame:
     """Last versions of state and batch together."""
@@ -15,14 +18,66 @@ def merged(state: DataFrame | None, batch: DataFrame) -> DataFrame:
     return latest(both, ["employee_id"], [F.desc_nulls_last("record_updated_at"), F.desc("source_row")])
 
 
-def upsert(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Merge each batch into a new generation under root; a batch that is repeated writes the same generation again.
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("employee_id"), F.lit(buckets)).cast("int")
+
+
+class State:
+    """Buckets under root/generation=N/bucket=B, and for each batch N a list of the generation that each bucket is at.
+
+    A reader goes by the last list, so it never sees half a batch; a batch that is repeated starts from the list before
+    it and writes the same again."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def _path(self, name: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _exists(self, name: str) -> bool:
+        p, store = self._path(name)
+        return store.exists(p)
+
+    def at(self, n: int) -> dict[int, int]:
+        """Generation by bucket after batch n; nothing before the first."""
+        if not self._exists(f"lists/{n}/_SUCCESS"):
+            return {}
+        return dict(map(tuple, self.spark.read.parquet(f"{self.root}/lists/{n}").select("bucket", "generation").collect()))  # a row a bucket
+
+    def last(self) -> int:
+        """The last batch that was finished, -1 if none was."""
+        p, store = self._path("lists")
+        done = [int(x.getPath().getName()) for x in store.listStatus(p)] if store.exists(p) else []
+        return max((n for n in done if self._exists(f"lists/{n}/_SUCCESS")), default=-1)
+
+    def read(self, generations: dict[int, int], schema) -> DataFrame | None:
+        paths = [f"{self.root}/generation={g}/bucket={b}" for b, g in generations.items()]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else None
+
+    def write(self, n: int, rows: DataFrame, buckets: int) -> None:
+        """Merge a batch into the buckets that it touches; what the batch before has replaced is deleted."""
+        own = rows.persist()
+        touched = [r[0] for r in own.select(_bucket(buckets)).distinct().collect()]  # BUCKETS at most
+        before = self.at(n - 1)
+        out = merged(self.read({b: before[b] for b in touched if b in before}, rows.schema), own)
+        out.withColumn("bucket", _bucket(buckets)).repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(f"{self.root}/generation={n}")
+        listed = [*(before | dict.fromkeys(touched, n)).items()]
+        self.spark.createDataFrame(listed, "bucket int, generation int").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/lists/{n}")
+        own.unpersist()
+        for b, g in self.at(n - 2).items():
+            if before.get(b) != g:
+                p, store = self._path(f"generation={g}/bucket={b}")
+                store.delete(p, True)
+
 
-    Generation n holds the state after batch n, so readers never see half a state, and old ones can be deleted."""
+def current(spark: SparkSession, root: str, schema) -> DataFrame:
+    """The state after the last finished batch."""
+    state = State(spark, root)
+    found = state.read(state.at(state.last()), schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
-    def batch(df: DataFrame, n: int) -> None:
-        spark = df.sparkSession
-        state = spark.read.parquet(f"{root}/generation={n - 1}") if n else None
-        merged(state, df).write.mode("overwrite").parquet(f"{root}/generation={n}")
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).start()
+def upsert(stream: DataFrame, root: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the last version of each record under root; read it with current()."""
+    return stream.writeStream.foreachBatch(lambda df, n: State(df.sparkSession, root).write(n, df, buckets)).option("checkpointLocation", checkpoint).start()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.config import ConfigError, Objective, Settings, standard
-from quillon.plans import association, external, retention, signals, workforce
+from quillon.plans import association, external, profile, retention, signals, workforce
 
 D = date.fromisoformat
 S = standard()
@@ -38,6 +38,14 @@ def test_curation_of_one_defect_a_row(spark):
     assert counts["WF_EXACT_DUPLICATE"] == counts["WF_ID_SUPERSEDED"] == counts["WF_EOC_ON_PERMANENT"] == 1 and counts["EX_PERIOD_GAP"] == 0 and len(counts) == 23
 
 
+def test_profile_of_raw_rows(spark):
+    rows = raw(spark, {}, {}, dict(career_level="Sr Mgmt"), dict(employee_id="a", country_code=""), dict(employee_id="b", country_code="EL", hire_date="2020-05-01"), dict(employee_id="c", hire_date=""),
+        dict(employee_id="d", termination_date="2021-01-01"), dict(employee_id="e", termination_type="Voluntary"), dict(employee_id="f", termination_date="2026-03-01", termination_type="End of Contract", regretted_exit="true"))
+    n = {r["check"]: r["n"] for r in profile.profile(rows, S).orderBy("position").collect()}
+    assert [*n.values()] == [9, 1, 7, 1, 1, 1, 1, 1, 0, 1, 1, 1, 1, 1, 1, 1, 1] and len(n) == 17
+    assert {r["n"] for r in profile.profile(rows.filter("false"), S).collect()} == {0}
+
+
 def test_retention_boundaries(spark):
     people = [dict(employee_id="a", hire_date="2023-01-10", termination_date="2023-07-10"), dict(employee_id="b", hire_date="2023-01-10", termination_date="2023-07-09"),
               dict(employee_id="c", hire_date="2023-01-31"), dict(employee_id="d", hire_date="2020-06-15", termination_date="2023-05-20", regretted_exit="true"), dict(employee_id="e", hire_date="2025-08-01")]

@@ -13,7 +13,7 @@ from quillon.sources import ingest, jsonstat, settings, worldbank
 from quillon.sources.contract import CurateError, Indicator, SourceContractError
 from quillon.sources.files import SnapshotMeta, SnapshotStore, csv_file, digest, lifecycle_csv
 from quillon.sources.http import FetchError, fetch
-from quillon.streaming.upsert import upsert
+from quillon.streaming.upsert import State, current, upsert
 
 I = Indicator("x", "eurostat", "set", "M", ("EL", "IT"), {"unit": "PC"}, "release")  # noqa: E741
 
@@ -294,12 +294,18 @@ def test_cli_codes_gate_and_manifests(spark, tmp_path, capsys):
 
 def test_stream_keeps_the_latest_version(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    schema = "employee_id string, record_updated_at string, source_row long, v string"
-    for k, rows in enumerate([[("a", "2025-01-01", 1, "old"), ("b", "2025-01-01", 2, "only")], [("a", "2025-02-01", 3, "new"), ("b", "2024-01-01", 4, "stale")]]):
+    schema, root = "employee_id string, record_updated_at string, source_row long, v string", str(tmp_path / "state")
+    assert current(spark, root, schema).count() == 0
+    first = [("a", "2025-01-01", 1, "old"), ("b", "2025-01-01", 2, "only"), *[(f"x{i}", "2025-01-01", 10 + i, "x") for i in range(40)]]
+    for rows in (first, [("a", "2025-02-01", 3, "new"), ("b", "2024-01-01", 4, "stale")], [("a", "2025-02-01", 5, "newer")]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        q = upsert(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "state"), str(tmp_path / "ck"))
+        q = upsert(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), root, str(tmp_path / "ck"), buckets=8)
         q.processAllAvailable()
         q.stop()
-    last = spark.read.parquet(str(tmp_path / "state" / "generation=1"))
-    assert {(r["employee_id"], r["v"]) for r in last.collect()} == {("a", "new"), ("b", "only")}
-    assert date.today()
+    got = {r["employee_id"]: r["v"] for r in current(spark, root, schema).collect()}
+    assert got == {"a": "newer", "b": "only", **{f"x{i}": "x" for i in range(40)}}
+    state = State(spark, root)
+    assert state.last() == 2 and len(state.at(2)) == 8 and sorted(set(state.at(2).values())) in ([0, 1, 2], [0, 2])
+    again = spark.createDataFrame([("a", "2025-02-01", 5, "newer")], schema)
+    state.write(2, again, 8)  # a batch that is repeated changes nothing
+    assert {r["employee_id"]: r["v"] for r in current(spark, root, schema).collect()} == got
