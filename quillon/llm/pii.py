@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import stored, table
+from quillon.llm.common import shielded, stored, table, unshielded
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns. Possessive repeats and the look-behinds change no match; they keep matching linear and flat.
@@ -25,25 +25,49 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Looser shapes, which only the classifier can accept.
+# Looser shapes, which only the classifier can accept: written with words or signs around the marks, with other marks
+# between digits, IPv6, numbers without a plus.
+_MARK = r"(?:\x20?[\[({]\x20?(?:\.|(?i:dot))\x20?[\])}]\x20?|\x20(?i:dot)\x20)"
+_AT = r"(?:\x20?[\[({]\x20?(?i:at)\x20?[\])}]\x20?|\x20(?i:at)\x20|\x20@\x20?|@\x20|\x20?＠\x20?)"
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[({]at[\])}]\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?[\[({]dot[\])}]\x20?)[A-Za-z0-9-]++)++",
-    "phone": r"(?<![0-9A-Za-z+.(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
+    "email": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{_AT}[A-Za-z0-9-]++(?:(?:\.|{_MARK})[A-Za-z0-9-]++)++",
+    "ip": rf"(?<![0-9A-Za-z.])[0-9]{{1,3}}+(?:(?:\.|{_MARK}|\x20\.\x20)[0-9]{{1,3}}+){{3}}(?![0-9]|\.[0-9])"
+    r"|(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
+    "card": r"(?<![0-9A-Za-z.-])[0-9]{4}(?:[\x20]{0,2}[\x20./ –-][\x20]{0,2}[0-9]{2,7}){2,4}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+.(-])(?:\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])|(?:00[1-9][0-9]{0,2}|\(0[0-9]{1,4}\)|0[0-9]{1,4})[\x20./-]{1,2}[0-9]{2,5}(?:[\x20./-][0-9]{2,5}){1,4}(?![0-9A-Za-z]))",
 }
-# Gazetteers of top-level domains, card number prefixes and country calling codes.
-TLDS = "com|org|net|edu|gov|mil|int|info|biz|io|co|uk|de|fr|es|it|nl|eu|us|ca|au|jp|cn|in|br|ru|ch|at|be|se|pl"
-CARD_PREFIX = r"^(4|5[1-5]|2[2-7]|3[47]|35|36|6011|65|62)"
-CALLING = r"^\+?(1|7|20|27|3[0-469]|4[0134-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+# Gazetteers of top-level domains, issuers' card numbers, country calling codes and special addresses.
+TLDS = (
+    "com|org|net|edu|gov|mil|int|info|biz|name|pro|mobi|jobs|travel|museum|coop|aero|asia|cat|post|tel|xxx|app|dev|page|blog|shop|store|online|site|tech|cloud|email|live|news|media|agency|studio|design|digital|"
+    "academy|school|company|group|works|world|life|today|space|website|berlin|london|paris|wien|hamburg|eus|gal|bzh|"
+    "ac|ad|ae|af|al|am|ar|at|au|az|ba|bd|be|bg|bh|bo|br|by|ca|ch|ci|cl|cm|cn|co|cr|cu|cy|cz|de|dk|do|dz|ec|ee|eg|es|et|eu|fi|fr|gb|ge|gh|gr|gt|hk|hn|hr|hu|id|ie|il|in|io|iq|ir|is|it|jo|jp|ke|kr|kw|kz|lb|"
+    "li|lk|lt|lu|lv|ly|ma|md|me|mk|mt|mx|my|ng|ni|nl|no|np|nz|om|pa|pe|ph|pk|pl|pt|py|qa|ro|rs|ru|sa|se|sg|si|sk|sn|sy|th|tn|tr|tv|tw|tz|ua|ug|uk|us|uy|uz|ve|vn|ye|za"
+)
+CARDS = (
+    r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|5[1-5][0-9]{14}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}|3[47][0-9]{13}|3(?:0[0-5]|[68][0-9])[0-9]{11}|"
+    r"6(?:011|5[0-9]{2}|4[4-9][0-9])[0-9]{12}|35(?:2[89]|[3-8][0-9])[0-9]{12}|62[0-9]{14,17}|(?:50|5[6-9]|6[0-9])[0-9]{10,17})$"
+)
+CALLING = r"^\+?(1|7|20|27|3[0-469]|35[0-9]|37[0-9]|38[0-79]|4[0134-9]|42[013]|5[1-8]|50[0-9]|59[0-9]|6[0-6]|67[0-9]|68[0-9]|8[1246]|85[0-9]|88[06]|9[0-58]|96[0-8]|97[0-9]|99[2-8]|2[1-6][0-9]|29[0-9])"
+SPECIAL_V4 = r"^(?:0|10|127|169\.254|172\.(?:1[6-9]|2[0-9]|3[01])|192\.168|192\.0\.[02]|198\.(?:1[89]|51\.100)|203\.0\.113|22[4-9]|2[3-5][0-9])\."
+SPECIAL_V6 = r"^(?:0*:|[fF][cCdDeEfF]|2001:0?[dD][bB]8:)"
 CUES = {
-    "email": r"(?i)(mail|contact|write to|reach)",
-    "ip": r"(?i)(\bip\b|address|host|server|client|from)",
-    "card": r"(?i)(card|visa|credit|debit|payment|account)",
-    "phone": r"(?i)(phone|call|tel|mobile|fax|dial|cell)",
+    "email": r"(?i)(mail|contact|write|reach|address|reply)",
+    "ip": r"(?i)(\bip\b|ipv[46]|address|host|server|client|from|login|connect|traffic)",
+    "card": r"(?i)(card|visa|master|amex|credit|debit|payment|account|paid|charge)",
+    "phone": r"(?i)(phone|call|tel|mobile|fax|dial|cell|contact|number|reach|ring)",
 }
-COUNTER = r"(?i)(version|isbn|issn|serial|invoice|order|ticket|build|rev)[^A-Za-z]*$|[$€£]\x20?$"
-CONTEXT = 40
-ACCEPT = 0.9
-BITS = ("long", "separated", "glued_before", "glued_after", "line_start")
+CUES_AFTER = {
+    "email": r"(?i)^[^A-Za-z0-9]{0,4}(e-?mail|is my|to reach|for details)",
+    "ip": r"(?i)^[^A-Za-z0-9]{0,4}(port|ip\b|logged|connected|refused|timed)",
+    "card": r"(?i)^[^A-Za-z0-9]{0,4}(exp|cvv|cvc|valid|card|visa|amex)",
+    "phone": r"(?i)^[^A-Za-z0-9]{0,4}(phone|mobile|cell|fax|tel|ext|direct|office|after)",
+}
+COUNTER = r"(?i)(version|isbn|issn|serial|invoice|order|ticket|build|rev|section|chapter|part|sku|batch|article|dated?|mac|hash)[^A-Za-z]*$|[$€£]\x20?$"
+COUNTER_AFTER = r"(?i)^\x20?(%|€|\$|usd|eur|kg|km|pages|items|rows|o'clock)"
+DATE = r"^\(?(?:[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}[./-][0-9]{1,2}[./-][0-9]{1,2})"
+CONTEXT, CONTEXT_AFTER = 40, 24
+ACCEPT, RIDGE = 0.9, 1e-6
+BITS = ("long", "separated", "glued_before", "glued_after", "line_start", "loose")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -86,28 +110,35 @@ def passes(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def octets(m: Column) -> Column:
+    """A dotted address whatever its marks."""
+    return F.regexp_replace(m, r"[^0-9]+", ".")
+
+
 def votes(kind: str, m: Column, before: Column, after: Column) -> list[Column]:
     """Shape, gazetteer, context: 1 for personal, 0 for no opinion, -1 against."""
     yes = lambda c: F.when(c, 1).otherwise(-1)
     d = digits(m)
     if kind == "email":
-        shape = yes(m.rlike(r"^[A-Za-z0-9].*[A-Za-z]{2,}$"))
-        known = F.when(F.lower(m).rlike(rf"[.\])}}\x20](?:{TLDS})$"), 1).otherwise(0)
+        shape = yes(m.rlike(r"^[A-Za-z0-9].*[A-Za-z]{2,}$") & ~m.rlike(r"(?i)[a-z]\x20at\x20[^\x20]+\.[a-z]+$"))
+        known = yes(F.lower(m).rlike(rf"[.\])}}\x20](?:{TLDS})$"))
     elif kind == "ip":
-        shape = yes(passes(kind, m) & ~m.rlike(r"(^|\.)0[0-9]") & ~after.rlike(r"^\.[0-9]") & ~before.rlike(r"[0-9]\.$"))
-        known = yes(m.rlike(r"^(?:[1-9][0-9]?|1[0-9][0-9]|2[01][0-9]|22[0-3])\.") & ~m.rlike(r"^(10|127)\."))
+        v6, plain = m.contains(":"), octets(m)
+        shape = yes((v6 & m.rlike("[0-9]")) | (~v6 & passes(kind, plain) & ~plain.rlike(r"(^|\.)0[0-9]|^(?:0|127|22[4-9]|2[3-5][0-9])\.") & ~after.rlike(r"^\.[0-9]") & ~before.rlike(r"[0-9]\.$")))
+        known = F.when(v6, F.when(m.rlike(SPECIAL_V6), -1).when(m.rlike("^[23][0-9A-Fa-f]{3}:"), 1).otherwise(0)).otherwise(yes(~plain.rlike(SPECIAL_V4)))
     elif kind == "card":
-        shape = yes(F.when(F.length(d).between(13, 19), luhn(d)).otherwise(False))
-        known = yes(d.rlike(CARD_PREFIX) & F.length(d).between(13, 19))
+        shape = yes(F.when(F.length(d).between(13, 19), luhn(d)).otherwise(False) & ~m.rlike(DATE))
+        known = yes(d.rlike(CARDS))
     else:
-        shape = yes(F.length(d).between(10, 15))
-        known = F.when(m.startswith("+"), yes(m.rlike(CALLING))).otherwise(F.when(d.rlike(r"^[2-9][0-9]{2}[2-9]"), 1).otherwise(-1))
-    context = F.when(before.rlike(COUNTER), -1).when(before.rlike(CUES[kind]), 1).otherwise(0)
+        abroad, home = m.rlike(r"^(\+|00[1-9])"), m.rlike(r"^\(?0[1-9]")
+        shape = yes(F.length(d).between(9, 15) & ~m.rlike(DATE))
+        known = F.when(abroad, yes(F.regexp_replace(m, "^00", "").rlike(CALLING))).when(home, F.when(F.length(d).between(9, 12), 0).otherwise(-1)).otherwise(yes(d.rlike(r"^[2-9][0-8][0-9][2-9]")))
+    context = F.when(before.rlike(COUNTER) | after.rlike(COUNTER_AFTER), -1).when(before.rlike(CUES[kind]) | after.rlike(CUES_AFTER[kind]), 1).otherwise(0)
     return [shape, known, context]
 
 
-def bits(m: Column, before: Column, after: Column) -> Column:
-    flags = [F.length(m) > 18, m.rlike(r"[\x20().-]"), before.rlike("[A-Za-z0-9]$"), after.rlike("^[A-Za-z0-9]"), before.rlike(r"(^|\n)[\x20\t]*$")]
+def bits(m: Column, before: Column, after: Column, loose: bool) -> Column:
+    flags = [F.length(m) > 18, m.rlike(r"[\x20().-]"), before.rlike("[A-Za-z0-9]$"), after.rlike("^[A-Za-z0-9]"), before.rlike(r"(^|\n)[\x20\t]*$"), F.lit(loose)]
     return reduce(lambda a, b: a + b, [f.cast("int") * (1 << i) for i, f in enumerate(flags)])
 
 
@@ -122,11 +153,11 @@ def found(t: Column, kind: str, pattern: str, is_base: bool) -> Column:
 
         def span(m: Column, i: Column, at: Column) -> Column:
             start = F.get(at, i) + F.length(F.get(ps, i))
-            before, after = F.substring(F.get(ps, i), -CONTEXT, CONTEXT), F.substring(F.get(ps, i + 1), 1, 2)
+            before, after = F.substring(F.get(ps, i), -CONTEXT, CONTEXT), F.substring(F.get(ps, i + 1), 1, CONTEXT_AFTER)
             v = votes(kind, m, before, after)
             return F.struct(
                 start.alias("start"), (start + F.length(m)).alias("end"), (passes(kind, m) if is_base else F.lit(False)).alias("base"),
-                *[x.cast("int").alias(f"v{j}") for j, x in enumerate(v)], bits(m, before, after).alias("bits"),
+                *[x.cast("int").alias(f"v{j}") for j, x in enumerate(v)], bits(m, before, after, not is_base).alias("bits"),
             )
 
         return let(starts, lambda at: F.transform(ms, lambda m, i: span(m, i, at)))
@@ -143,12 +174,12 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     quick = {"email": t.contains("@"), "phone": t.contains("+")}
     out = docs.withColumns({f"c_{k}": F.when(quick[k], found(t, k, BASE[k], True)).otherwise(F.array()) if k in quick else found(t, k, BASE[k], True) for k in KINDS})
     taken = F.flatten(F.array(*[F.filter(f"c_{k}", lambda s: s["base"]) for k in KINDS]))
-    loose = {k: F.filter(found(t, k, LOOSE[k], False), lambda s: ~F.exists("c_taken", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))) for k in LOOSE}
+    loose = {k: F.filter(found(t, k, LOOSE[k], False), lambda s: ~F.exists("c_taken", lambda b: _meet(s, b))) for k in LOOSE}
     return out.withColumn("c_taken", taken).withColumns({f"c_{k}": F.concat(f"c_{k}", x) for k, x in loose.items()}).drop("c_taken")
 
 
 def fit(cells: list[tuple], rounds: int = 60) -> dict[str, list[float]]:
-    """Weights of the span classifier by kind, from (kind, v0, v1, v2, bits, n) cells: at most 27 * 32 a kind.
+    """Weights of the span classifier by kind, from (kind, v0, v1, v2, bits, n) cells: at most 27 * 64 a kind.
 
     A kind without candidates has no entry."""
     out = {}
@@ -172,8 +203,8 @@ def fit(cells: list[tuple], rounds: int = 60) -> dict[str, list[float]]:
         scale = n / n.sum()
         for _ in range(50):  # Newton steps of a logistic regression on the posteriors, with a small ridge
             q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            hessian = (x * (scale * q * (1 - q))[:, None]).T @ x + 1e-3 * np.eye(len(w))
-            w = w + np.linalg.solve(hessian, x.T @ (scale * (p - q)) - 1e-3 * w)
+            hessian = (x * (scale * q * (1 - q))[:, None]).T @ x + RIDGE * np.eye(len(w))
+            w = w + np.linalg.solve(hessian, x.T @ (scale * (p - q)) - RIDGE * w)
         out[kind] = [float(a) for a in w]
     return out
 
@@ -200,22 +231,37 @@ def _shown(kind: str) -> Callable[[Column], Column]:
     return lambda s: F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string"))
 
 
+def _meet(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def _apart(kind: str) -> Column:
+    """The accepted spans of a kind, but for added ones that overlap a base span or an added one of an earlier kind, and
+    for loose ones that overlap a match of the kind's base pattern."""
+    earlier = [F.col(f"g_{k}") for k in KINDS[: KINDS.index(kind)]] + [F.filter(f"g_{k}", lambda s: s["base"]) for k in KINDS[KINDS.index(kind) + 1 :]]
+    taken = F.flatten(F.array(*earlier))
+    is_loose = lambda s: s["bits"].bitwiseAND(1 << BITS.index("loose")) > 0
+    strict = F.filter(f"g_{kind}", lambda s: ~is_loose(s))
+    return F.filter(f"g_{kind}", lambda s: s["base"] | ~(F.exists(taken, lambda b: _meet(s, b)) | (is_loose(s) & F.exists(strict, lambda b: _meet(s, b)))))
+
+
 def find_pii(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row for each row of docs: the columns of keep (default: all but the text), and for each kind p_<kind>, an
     array of spans (start, end, base) in order of start: code points, end exclusive.
 
-    Null text is empty and has no spans; repeated rows each have theirs; with no candidates at all no classifier is
-    fitted. The candidates are stored once in the shared folder and read for fitting and for the result."""
-    names = keep or [c for c in docs.columns if c != text]
-    cs = stored(candidates(docs.select(*dict.fromkeys([*names, text])), text).select(*names, *[f"c_{k}" for k in KINDS]), "pii")
+    Null text is empty and has no spans; texts of any length are read whole; repeated rows each have theirs; of added
+    spans that overlap the one of the earlier kind stays; with no candidates at all no classifier is fitted; an empty
+    table gives an empty one. Other columns may have any names; those named like an added one are replaced. The
+    candidates are stored once in the shared folder and read for fitting and for the result."""
+    docs, hidden = shielded(docs if keep is None else docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])]), text)
+    names = [*hidden] + ([text] if text in (keep or ()) else [])
+    cs = stored(candidates(docs, text).select(*names, *[f"c_{k}" for k in KINDS]), "pii")
     every = F.flatten(F.array(*[F.transform(f"c_{k}", _cell(k)) for k in KINDS]))
     counted = cs.select(F.explode(every).alias("s")).groupBy("s").count()
-    weights = fit([(*r["s"], r["count"]) for r in counted.collect()])  # at most 4 * 27 * 32 rows, whatever the input
-    out = {}
-    for k in KINDS:
-        good = F.filter(f"c_{k}", _accepted(weights.get(k)))
-        out[f"p_{k}"] = F.sort_array(F.transform(good, lambda s: F.struct(s["start"], s["end"], s["base"])))
-    return cs.select(*names, *[c.alias(k) for k, c in out.items()])
+    weights = fit([(*r["s"], r["count"]) for r in counted.collect()])  # at most 4 * 27 * 64 rows, whatever the input
+    good = cs.withColumns({f"g_{k}": F.filter(f"c_{k}", _accepted(weights.get(k))) for k in KINDS})
+    out = [F.sort_array(F.transform(_apart(k), lambda s: F.struct(s["start"], s["end"], s["base"]))).alias(f"p_{k}") for k in KINDS]
+    return unshielded(good.select(*names, *out), hidden)
 
 
 def joined(base_only: bool) -> Column:
