@@ -1,8 +1,13 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of one- and two-word sequences are quantised on a log scale: 1 + floor(log2(count)), so that a single occurrence
-is 1. A sequence with quantised count q is put into one Bloom filter q times, under the levels 1 to q. Workers read a
-count back by probing level after level until one is missing. The filter's slices are sized by the levels put in. A
+Counts of one- and two-word sequences are quantised on a log scale of two steps a doubling (1, 2, 3, 4, 6, 8, 12, ...),
+rounded down. A sequence whose count is on step q is put into one Bloom filter q times, under the levels 1 to q. Workers
+read a count back by probing level after level until one is missing.
+
+The probability of a word is (count + 1) / (N + V + 1), that of a word after another (pair + PRIOR * probability of the
+word) / (context + PRIOR). Counts of words and pairs are the lower ends of their steps and that of the context is the
+upper end of its step, so that the probabilities of all words after any context sum to no more than 1 but for what the
+filter misreads. The filter's slices are sized by the levels put in. A
 small filter is broadcast. Beyond, texts are packed in chunks, and the distinct sequences of each chunk are sent to their
 slices, read there and sent back: slices grow in number, not in size, and the error rate is the same at any size."""
 
@@ -19,11 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillon.llm.common import release, stored, table
+from quillon.llm.common import release, shielded, stored, table, unshielded
 from quillon.llm.shingles import HASHES, scrambled, words_of
 
-#: Counts are read back as BASE ** (level - 1), and as 0 where not even level 1 is found.
-BASE = 2.0
 PROBES = 4
 #: Bits of a slice of the filter for each level put in, at any size; about 0.2 % of what was never seen is read as seen.
 BITS_A_LEVEL, LEAST_BITS = 16, 64
@@ -34,7 +37,7 @@ SLICES, SLICE_SEQUENCES = 64, 1 << 22
 #: Bytes of text in a chunk, about; a longer text is a chunk of its own.
 CHUNK = 1 << 22
 #: Weight of the one-word distribution in a two-word one, in words.
-PRIOR = 4.0
+PRIOR = 64.0
 #: Words whose exact counts are broadcast (16 bytes each), the most frequent; the others are joined.
 MOST_WORDS = 1_000_000
 END = b"\n"  # no word holds white space
@@ -139,7 +142,10 @@ def _counts(batches: Iterator[pa.RecordBatch], first: np.uint64, kept: list | No
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64)
+    """The step of a count of 1 or more: no count is on a step above itself, so levels are never more than occurrences."""
+    counts = np.asarray(counts, np.int64)
+    doubling = np.frexp(counts.astype(np.float64))[1].astype(np.int64) - 1
+    return np.maximum(2 * doubling + (2 * counts >= 3 << doubling), 1)
 
 
 def places(keys: np.ndarray, level: np.ndarray | int, size: np.ndarray | int) -> np.ndarray:
@@ -169,13 +175,14 @@ def levels_in(f: np.ndarray, keys: np.ndarray, size: np.ndarray, at: np.ndarray)
         alive = alive[((f[p >> 3] >> (p & 7)) & 1).astype(bool).all(axis=1)]
         out[alive] = level
         level += 1
-        if level > 64:  # a slice without an empty bit
+        if level > 64:  # more than any count reaches: a slice without an empty bit
             break
     return out
 
 
-def counts_of(level: np.ndarray) -> np.ndarray:
-    return np.where(level > 0, BASE ** (level.astype(np.float64) - 1), 0.0)
+#: The least and the largest count on each step; no step, no count.
+LEAST = np.array([0, 1, *[2 ** (i // 2) if i % 2 == 0 else 3 * 2 ** (i // 2 - 1) for i in range(2, 67)]], np.float64)
+LARGEST = np.append(LEAST[1:] - 1, LEAST[-1])
 
 
 def _filled(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,10 +217,10 @@ class Model:
         self.start = np.cumsum(self.size) - self.size
 
     def read(self, hashes: np.ndarray) -> np.ndarray:
-        """Approximate counts, 0 for what was never seen."""
+        """The steps of counts, 0 for what was never seen."""
         keys = hashes >> np.uint64(64 - KEY_BITS)
         k = (keys >> np.uint64(KEY_BITS - 6)).astype(np.int64)
-        return counts_of(levels_in(np.frombuffer(self.data, np.uint8), keys, self.size[k], self.start[k]))
+        return levels_in(np.frombuffer(self.data, np.uint8), keys, self.size[k], self.start[k])
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         key, at = np.unique(sequences(texts), return_inverse=True)
@@ -225,17 +232,18 @@ def sequences(texts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([*map(scrambled, texts), *map(pairs, texts)]) if texts else np.zeros(0, np.uint64)
 
 
-def log_scores(texts: list[np.ndarray], counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
+def log_scores(texts: list[np.ndarray], steps: np.ndarray, total: int, distinct: int) -> np.ndarray:
     """log10 probability of each text: a two-word distribution smoothed by the one-word distribution, itself by one.
-    Counts are those of sequences()."""
+    Steps are those of sequences()."""
     size = np.array([len(x) for x in texts])
     start = np.cumsum(size) - size
-    count, seen = counts[: len(counts) // 2], counts[len(counts) // 2 :]
-    one = (count + 1) / (total + distinct + 1)
-    context = np.empty(len(count))
-    context[1:] = count[:-1]
-    context[start] = count[start + size - 1]  # the end stands before the first word
-    seen = np.minimum(seen, np.minimum(context, count))  # a pair is no more frequent than its words
+    word, pair = steps[: len(steps) // 2], steps[len(steps) // 2 :]
+    one = (LEAST[word] + 1) / (total + distinct + 1)
+    before = np.empty(len(word), word.dtype)
+    before[1:] = word[:-1]
+    before[start] = word[start + size - 1]  # the end stands before the first word
+    context = LARGEST[before]
+    seen = np.minimum(LEAST[pair], np.minimum(context, LARGEST[word]))  # a pair is no more frequent than its words
     return np.add.reduceat(np.log10((seen + PRIOR * one) / (context + PRIOR)), start)
 
 
@@ -354,14 +362,14 @@ def _scored_chunk(words, n: int, total: int, distinct: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         by = right.sort_by("slice").column("levels").to_pylist()
-        counts = counts_of(np.frombuffer(b"".join(by), np.uint8))
+        steps = np.frombuffer(b"".join(by), np.uint8)
         for rows in left.column("s_rows"):
             t = _unpacked(rows.as_py())
             hs = [tokens(x) for x in t.column(n).to_pylist()]
             key, at = np.unique(sequences(hs) >> np.uint64(64 - KEY_BITS), return_inverse=True)
-            if len(key) != len(counts):
-                raise ValueError(f"{len(counts)} levels for {len(key)} sequences of a chunk")
-            more = _columns(hs, log_scores(hs, counts[at], total, distinct), *words.value)
+            if len(key) != len(steps):
+                raise ValueError(f"{len(steps)} levels for {len(key)} sequences of a chunk")
+            more = _columns(hs, log_scores(hs, steps[at], total, distinct), *words.value)
             out.append(pa.Table.from_arrays([*t.columns[:n], *more], [*t.schema.names[:n], *ADDED]))
         return pa.concat_tables(out)
 
@@ -375,15 +383,16 @@ def score_texts(docs: DataFrame, most_words: int = MOST_WORDS, most_tokens: int
     Null texts are empty: one end token. Null ids train. Words are told apart by 64-bit hashes. Exact counts of the
     most frequent words are broadcast up to most_words; all other words of a text are joined with their counts, so
     the base score is exact for any vocabulary. The filter is broadcast up to most_tokens; beyond, sequences are joined
-    with its slices. With no training text N and V are 0. Columns of docs that bear these
-    names are replaced; an empty table gives an empty one."""
+    with its slices. With no training text N and V are 0. Other columns stay, whatever their
+    names; those named like an added one are replaced. Repeated rows are each scored alike; an empty table gives an
+    empty one."""
     spark = docs.sparkSession
-    docs = docs.drop(*[c for c in docs.columns if c.startswith("s_")])
+    docs, hidden = shielded(docs, "doc_id", "text")
     training = docs.filter(is_training(F.col("doc_id"))).select(F.col("text").cast("binary").alias("text"))
     vocabulary = stored(training.mapInArrow(_vocabulary, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     distinct, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     names = [c for c in docs.columns if c != "text"]
-    own = docs.select(*[f"`{c}`" for c in names], F.col("text").cast("binary").alias("s_text"))
+    own = docs.select(*names, F.col("text").cast("binary").alias("s_text"))
     if total <= most_tokens:
         model = spark.sparkContext.broadcast(build(training, total, distinct))
     else:
@@ -421,11 +430,12 @@ def score_texts(docs: DataFrame, most_words: int = MOST_WORDS, most_tokens: int
         sums = each.join(rest, "h").groupBy("s_key").agg(F.count("*").alias("k"), F.sum(F.log10(F.col("n") + 1.0)).alias("l"))
         out = out.join(sums, "s_key", "left").withColumns({"s_known": F.col("s_known") + F.coalesce("k", F.lit(0)), "s_logs": F.col("s_logs") + F.coalesce("l", F.lit(0.0))}).drop("s_key", "k", "l")
     floor = math.log10(total + distinct + 1)
-    return out.withColumns({
+    out = out.withColumns({
         "s_held_out": ~is_training(F.col("doc_id")),
         "s_train_tokens": F.lit(total).cast("long"),
         "s_base": F.col("s_logs") - F.col("s_tokens") * F.lit(floor),
-    }).drop("s_rest", "s_logs")
+    })
+    return unshielded(out.drop("s_rest", "s_logs"), hidden)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
