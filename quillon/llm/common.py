@@ -116,11 +116,6 @@ def hand_back() -> None:
         trim(0)
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z only, as the contracts define it."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def words_of(text: Column) -> Column:
     """Words of a text; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")

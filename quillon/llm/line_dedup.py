@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import drop_path, shared_path, table
+from quillon.llm.common import hand_back, hot_of, join_hot, shielded, stored, table, unshielded, unstore
 from quillon.llm.repeats import repeat_filter, size_for, suspected
 
 SPACES = b" \t\n\x0b\x0c\r"
@@ -60,6 +60,7 @@ def suspects(twice, bits: int):
                     keys += [k for k, h in zip(ks, hit.tolist(), strict=True) if h]
                     ids += [i] * (len(keys) - len(ids))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["id", "key"])
+        hand_back()
 
     return run
 
@@ -77,30 +78,32 @@ def drop_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", most
 
     Null text is one empty line. A null id counts as the smallest id. Rows that share an id are one document, so a
     line in both isn't shared by them. Keys are compared by 128-bit digests. An empty table gives an empty one; the
-    columns of docs stay."""
-    spark, docs = docs.sparkSession, docs.drop("l_id", "l_bytes", "l_keys", "l_lines", "l_dropped", "l_text")
+    columns of docs stay, whatever their names; those named like an added one are replaced. Texts of any length are
+    read line by line, whole."""
+    spark = docs.sparkSession
+    docs, hidden = shielded(docs, text, doc_id)
     own = F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST_ID))
     slim = docs.select(own.alias("id"), F.col(text).cast("binary").alias("text"))
+    lines = 0
     if bits is None:
         lines = docs.select(F.coalesce(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1), F.lit(0))).first()[0]
         bits = size_for(lines)
-    twice = spark.sparkContext.broadcast(repeat_filter(slim.select("text"), line_hashes, bits))
-    path = shared_path(spark, "suspects")
-    slim.mapInArrow(suspects(twice, bits), "id long, key binary").write.parquet(path)
-    pairs = spark.read.schema("id long, key binary").parquet(path).distinct()
-    shared = pairs.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("last")).filter(F.col("n") >= LEAST_DOCS).select("key", "last")
-    kept_path = shared_path(spark, "shared-lines")
-    shared.write.parquet(kept_path)
-    shared = spark.read.schema("key binary, last long").parquet(kept_path)
-    names = [f"`{c}`" for c in docs.columns]
-    columns = docs.select(*names, own.alias("l_id"), F.col(text).cast("binary").alias("l_bytes"))
+    twice = spark.sparkContext.broadcast(repeat_filter(slim.select("text"), line_hashes, bits, lines))
+    pairs = stored(slim.mapInArrow(suspects(twice, bits), "id long, key binary"), "suspects").distinct()
+    twice.destroy()
+    shared = pairs.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("last")).filter(F.col("n") >= LEAST_DOCS)
+    shared = stored(shared, "shared-lines")
+    columns = docs.select(*docs.columns, own.alias("l_id"), F.col(text).cast("binary").alias("l_bytes"))
     if (n := shared.count()) <= most_keys:
-        keys = spark.sparkContext.broadcast({bytes(k): v for k, v in shared.collect()} if n else {})
-        drop_path(spark, path)
-        return columns.mapInArrow(_by_map(keys, len(names)), _schema(docs))
-    # more keys than may be broadcast: each document gets those of its own
-    drops = spark.read.schema("id long, key binary").parquet(path).distinct().join(shared, "key").filter("id < last").groupBy("id").agg(F.collect_list("key").alias("l_keys")).withColumnRenamed("id", "l_id")
-    return columns.join(drops, "l_id", "left").select(*names, "l_id", "l_bytes", "l_keys").mapInArrow(_by_list(len(names)), _schema(docs))
+        keys = spark.sparkContext.broadcast({bytes(k): v for k, v in shared.select("key", "last").collect()} if n else {})
+        unstore(pairs)
+        unstore(shared)
+        return unshielded(columns.mapInArrow(_by_map(keys, len(docs.columns)), _schema(docs)), hidden)
+    # more keys than may be broadcast: each document gets those of its own; lines that very many hold meet by broadcast
+    hot = stored(hot_of(shared, "key", "n"), "hot")
+    drops = join_hot(pairs, shared.select("key", "last"), "key", hot=hot).filter("id < last").groupBy("id").agg(F.collect_list("key").alias("l_keys")).withColumnRenamed("id", "l_id")
+    out = columns.join(drops, "l_id", "left").select(*docs.columns, "l_id", "l_bytes", "l_keys")
+    return unshielded(out.mapInArrow(_by_list(len(docs.columns)), _schema(docs)), hidden)
 
 
 def _schema(docs: DataFrame):

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quillon.llm.common import hand_back
+
 #: Slices of the filters, powers of two: the least, the most, and the marks that one takes, about.
 SLICES, MOST_SLICES, SLICE_MARKS = 64, 4096, 1 << 24
 #: Bits a hash, and the bounds of a filter's size: at most 32 MB, whatever the input.
@@ -40,7 +42,7 @@ def _slices(numbers: list[np.ndarray], bits: int, slices: int) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["slice", "gaps", "twice"])
 
 
-def marks(extract: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, slices: int = SLICES, most: int = 2_000_000):
+def marks(extract: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, slices: int = SLICES, most: int = 1_000_000):
     """mapInArrow: for each slice of the filters, the numbers of the bits marked in this task, and which of them twice.
 
     extract gives, for each document of a batch, the hashes of its distinct members."""
@@ -57,6 +59,8 @@ def marks(extract: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int,
                     held, n = [], 0
         if held:
             yield _slices(held, bits, slices)
+        held.clear()
+        hand_back()
 
     return run
 
@@ -74,6 +78,7 @@ def merged(bits: int, slices: int = SLICES):
                 twice[n[np.unpackbits(np.frombuffer(t, np.uint8), count=len(n)).astype(bool)]] = True
                 once[n] = True
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())], ["slice", "bits"])
+        hand_back()
 
     return run
 
