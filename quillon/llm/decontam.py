@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillon.llm.common import table
+from quillon.llm.common import hand_back, shielded, stored, table, unshielded, unstore
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -148,18 +148,18 @@ FIELDS = "d_words long, d_hits array<struct<start:int,end:int>>, d_items array<l
 
 
 def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Queries]:
-    held, n = [], 0
+    held, n, some = [], 0, False
     for r in benchmark.select(F.col(item_id).cast("long"), F.col(text).cast("binary")).toLocalIterator():
         held.append((r[0], bytes(r[1]) if r[1] is not None else None))
         n += len(held[-1][1] or b"") // 2 + 1
         if n >= BLOCK_WORDS:
             yield Queries(held)
-            held, n = [], 0
-    if held:
+            held, n, some = [], 0, True
+    if held or not some:
         yield Queries(held)
 
 
-def _pass(q, width: int, arrow_schema: pa.Schema | None):
+def _pass(q, width: int):
     """mapInArrow: searches one block; the last columns are those of FIELDS, once a first pass has made them."""
     kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.int64()), pa.int64()]
 
@@ -177,6 +177,7 @@ def _pass(q, width: int, arrow_schema: pa.Schema | None):
             cols = [[r[0] for r in rows], [[{"start": a, "end": e} for a, e in r[1]] for r in rows], [r[2] for r in rows], [r[3] for r in rows]]
             more = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[: width + 1], *more], [*b.schema.names[: width + 1], "d_words", "d_hits", "d_items", "d_longest"])
+        hand_back()
 
     return run
 
@@ -197,16 +198,25 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     with an occurring window) and d_longest (words of the longest verbatim match).
 
     A window is ten words of an item; an item of fewer, but not none, is one window. Null texts have no words. Items
-    with a null id hit words but aren't listed; items that share an id count once. Columns of docs that bear these
-    names are replaced; an empty benchmark hits nothing."""
-    docs = docs.drop("d_words", "d_hits", "d_items", "d_longest", "d_bytes")
-    names, fields = docs.columns, [*docs.schema.fields]
+    with a null id hit words but aren't listed; items that share an id count once. Other columns stay, whatever their
+    names; those named like an added one are replaced. Repeated rows get equal results; empty documents give an empty
+    table, an empty benchmark hits nothing. A benchmark of several blocks is searched block by block: one is on the
+    driver and on the workers at a time, and what a pass has found is stored before the next."""
+    docs, hidden = shielded(docs, text)
     out = docs.withColumn("d_bytes", F.col(text).cast("binary"))
-    schema = T.StructType([*fields, T.StructField("d_bytes", T.BinaryType()), *T._parse_datatype_string(FIELDS).fields])
-    spark = docs.sparkSession
-    for q in [*blocks(benchmark, item_id, item_text)] or [Queries([])]:
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(q), len(names), None), schema)
-    return out.drop("d_bytes")
+    schema = T.StructType([*docs.schema.fields, T.StructField("d_bytes", T.BinaryType()), *T._parse_datatype_string(FIELDS).fields])
+    sc, held, before = docs.sparkSession.sparkContext, None, None
+    for q in blocks(benchmark, item_id, item_text):
+        if held is not None:
+            last, out = before, stored(out, "overlaps")
+            held.destroy()
+            before = out
+            if last is not None:
+                unstore(last)
+        held = sc.broadcast(q)
+        del q
+        out = out.mapInArrow(_pass(held, len(docs.columns)), schema)
+    return unshielded(out.drop("d_bytes"), hidden)
 
 
 def n_hit():

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillon.llm.common import table
+from quillon.llm.common import shielded, table, unshielded
 
 # Families of languages by code; a language that isn't listed is a family of its own.
 FAMILIES = {
@@ -99,8 +99,7 @@ class Model:
         family = np.array([FAMILY.get(c, c) for c in langs])
         lang = np.array(langs)
         self.families = sorted(set(family.tolist()))
-        scale = 1 / (x.std(axis=0) + 1e-4)
-        mean = x.mean(axis=0)
+        scale, mean = (1 / (x.std(axis=0) + 1e-4), x.mean(axis=0)) if len(x) else (np.ones(BUCKETS), np.zeros(BUCKETS))
         z = np.ones((len(x), BUCKETS + 1), np.float32)
         np.multiply(x - mean, scale, out=z[:, :-1])
         z /= np.float32(np.sqrt(BUCKETS))
@@ -154,7 +153,7 @@ def fit(docs: DataFrame, most_rows: int = MOST_ROWS) -> Model:
     """Fit on training rows of docs (doc_id, text, lang) with a language; of each as many, chosen by hash.
 
     Every language is learned, of LEAST_ROWS rows or what it has at the least."""
-    rows = docs.filter(is_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = docs.select("doc_id", "text", "lang").filter(is_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = rows.groupBy("lang").count()
     each = max(most_rows / max(counts.count(), 1), LEAST_ROWS)
     shares = counts.select("lang", (F.least(F.lit(1.0), F.lit(each) / F.col("count")) * (1 << 30)).cast("long").alias("_share"))
@@ -182,12 +181,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of docs without their text, with i_lang and i_score (0 to 1).
 
     Only the text is looked at, all of it. A null text, or one without a letter, is `und` with score 0; so is every
-    text if nothing could be learned. Columns of docs that bear these names are replaced; repeated rows get equal
+    text if nothing could be learned; where machines are even, the sum of margins and then the later code decides.
+    Other columns stay, whatever their names; those named like an added one are replaced. Repeated rows get equal
     results; an empty table gives an empty one."""
-    names = [c for c in docs.columns if c not in (text, "i_lang", "i_score")]
-    own = docs.select(*[f"`{c}`" for c in names], F.col(text).cast("binary").alias("i_bytes"))
+    docs, hidden = shielded(docs, text)
+    names = [*hidden]
+    own = docs.select(*names, F.col(text).cast("binary").alias("i_bytes"))
     schema = T.StructType([*[docs.schema[c] for c in names], T.StructField("i_lang", T.StringType()), T.StructField("i_score", T.DoubleType())])
-    return own.mapInArrow(_predicted(docs.sparkSession.sparkContext.broadcast(model), len(names)), schema)
+    return unshielded(own.mapInArrow(_predicted(docs.sparkSession.sparkContext.broadcast(model), len(names)), schema), hidden)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillon.llm.common import release, shielded, stored, table, unshielded
+from quillon.llm.common import hand_back, release, shielded, stored, table, unshielded
 from quillon.llm.shingles import HASHES, scrambled, words_of
 
 PROBES = 4
@@ -98,6 +98,7 @@ def _gathered(most: int = 1_500_000):
                     held, n = [], 0
         if held:
             yield flush(held)
+        hand_back()
 
     return run
 
@@ -204,6 +205,7 @@ def _answered(slices: int):
             found = levels_in(f, own, np.full(len(own), 8 * len(f)), np.zeros(len(own), np.int64))
             kinds = (pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((chunk, k, found.tobytes()), kinds, strict=True)], ["s_chunk", "slice", "levels"])
+        hand_back()
 
     return run
 
@@ -272,6 +274,7 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held, n = [], 0
     if held:
         yield flush(held)
+    hand_back()
 
 
 def _columns(hs: list[np.ndarray], scores: np.ndarray, known: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
@@ -352,6 +355,7 @@ def _asked(n: int, slices: int):
                 held, less = np.unique(sequences([h for h, x in zip(hs, train, strict=True) if not x]) >> np.uint64(64 - KEY_BITS), return_counts=True)
                 times[np.searchsorted(key, held)] -= less
                 yield _encoded(chunk, key, times, slices)
+        hand_back()
 
     return run
 
@@ -371,6 +375,7 @@ def _scored_chunk(words, n: int, total: int, distinct: int):
                 raise ValueError(f"{len(steps)} levels for {len(key)} sequences of a chunk")
             more = _columns(hs, log_scores(hs, steps[at], total, distinct), *words.value)
             out.append(pa.Table.from_arrays([*t.columns[:n], *more], [*t.schema.names[:n], *ADDED]))
+        hand_back()
         return pa.concat_tables(out)
 
     return run

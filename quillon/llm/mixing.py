@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.llm.common import NOT_SPACE, join_small, stored, table
+from quillon.llm.common import NOT_SPACE, join_small, shielded, stored, table, unshielded
 
 BITS, LEVEL = 60, 12
 WEIGHTS = (5, 2, 1)
@@ -82,15 +82,17 @@ def thresholds(sizes: DataFrame) -> DataFrame:
     return state.select("m_key", "m_source_size", "m_target", "m_all", below.alias("m_below"))
 
 
-def mix(docs: DataFrame, **names: str) -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """Add m_size, m_source_size, m_target, m_copies (0, 1 or 2) and m_taken (words, copies counted) to every row.
 
     Null texts have no words; null sources are a source of their own, last in order; null ids hash as empty. Rows
-    that share id and text share a hash and are taken together. With no words at all every target is 0. An empty
-    table gives an empty one. Other columns stay."""
-    own = hashed(docs, **names)
+    that share id and text share a hash and are taken together; of equal sources the order is that of their names, so
+    there are no ties. With no words at all every target is 0. An empty table gives an empty one. Other columns stay,
+    whatever their names; those named like an added one are replaced."""
+    own, hidden = shielded(docs, text, doc_id, source)
+    own = hashed(own, text, doc_id, source)
     plan = thresholds(stored(own.select("m_key", "m_hash", "m_size"), "sizes"))
-    return applied(own, plan)
+    return unshielded(applied(own, plan), hidden)
 
 
 def applied(own: DataFrame, plan: DataFrame) -> DataFrame:
@@ -99,10 +101,12 @@ def applied(own: DataFrame, plan: DataFrame) -> DataFrame:
     return out.withColumn("m_taken", F.col("m_copies") * F.col("m_size")).drop("m_key", "m_hash", "m_all", "m_below")
 
 
-def mixed(docs: DataFrame, **names: str) -> DataFrame:
-    """The rows of the mix: those taken twice stand twice; the columns are those of docs."""
-    out = mix(docs, **names)
-    return out.withColumn("m_n", F.explode(F.sequence(F.lit(1), F.greatest("m_copies", F.lit(1))))).filter("m_copies > 0").select(docs.columns)
+def mixed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
+    """The rows of the mix: those taken twice stand twice; the columns are those of docs, whatever their names."""
+    own, hidden = shielded(docs, text, doc_id, source)
+    out = mix(own, text, doc_id, source)
+    out = out.withColumn("m_n", F.explode(F.sequence(F.lit(1), F.greatest("m_copies", F.lit(1))))).filter("m_copies > 0").select(own.columns)
+    return unshielded(out, hidden)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import NOT_SPACE, SPACE, words_of
+from quillon.llm.common import NOT_SPACE, SPACE, shielded, unshielded, words_of
 
 # Frequent function words of the languages the rules cover.
 STOP_WORDS = (
@@ -49,7 +49,7 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
     Null text counts as empty; every count is 0 then. Words are runs of characters other than ASCII white space.
     Repeated words: windows of three words are hashed and sorted as single longs (prefix of the hash, position);
     neighbours with one prefix are compared by their words, and the union of the equal windows is counted, so the
-    work is n log n for any text. Columns of the input are kept; they can't clash as the added ones start with q_."""
+    work is n log n for any text. Columns named q_ are this function's own; apply_rules() keeps callers' out of it."""
     t = F.coalesce(F.col(text), F.lit(""))
     df = df.withColumns({
         "q_words": words_of(F.col(text)),
@@ -115,10 +115,12 @@ def apply_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     """Judge every row; adds the q_ counts, q_base_failed, q_failed (names of failed rules) and q_kept.
 
     Null and empty texts have no words and fail by length. An empty table gives an empty table; repeated rows are
-    each judged; other columns pass through."""
+    each judged; other columns pass through, whatever their names; those named like an added one are replaced."""
+    df, hidden = shielded(df, text)
     judged = with_counts(df, text).withColumns({"q_base_failed": base_failed(), "q_failed": compiled(rules)})
     # the row number is a fence: a filter on q_kept that were pushed below the counts would repeat their expressions
-    return judged.withColumn("q_kept", ~F.col("q_base_failed") & (F.size("q_failed") == 0) & (F.monotonically_increasing_id() >= 0))
+    judged = judged.withColumn("q_kept", ~F.col("q_base_failed") & (F.size("q_failed") == 0) & (F.monotonically_increasing_id() >= 0))
+    return unshielded(judged, hidden)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
