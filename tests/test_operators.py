@@ -100,4 +100,34 @@ def test_logit_of_cells_equals_logit_of_persons():
     for _ in range(50):
         mu = 1 / (1 + np.exp(-rows @ c))
         c += np.linalg.solve((rows * (mu * (1 - mu))[:, None]).T @ rows, rows.T @ (y - mu))
-    assert np.allclose(b, c) and (np.diag(cov) > 0).all()
+    mu = 1 / (1 + np.exp(-rows @ c))
+    bread = np.linalg.inv((rows * (mu * (1 - mu))[:, None]).T @ rows)
+    cell = np.repeat(np.arange(60), n)
+    sums = np.array([((y - mu)[cell == i, None] * rows[cell == i]).sum(axis=0) for i in range(60)])
+    want = bread @ (sums.T @ sums) @ bread * (60 / 59) * ((len(y) - 1) / (len(y) - 2))
+    assert np.allclose(b, c) and np.allclose(cov, want, rtol=1e-8)
+
+
+def test_models_of_a_pair_equal_a_fit_of_persons():
+    """Both models with dummies, trend and scaling against Newton's steps over persons' rows."""
+    from quillon.plans.association import fit_pair
+
+    rng, start = np.random.default_rng(4), D("2021-01-01")
+    months = [date(2021 + m // 12, m % 12 + 1, 1) for m in range(20)]
+    cells = [(c, m, int(rng.integers(8, 30)), 0, float(rng.normal(k))) for k, c in enumerate("ABC") for m in months]
+    cells = [(c, m, n, int(rng.binomial(n, 0.3)), v) for c, m, n, _, v in cells]
+    means = {c: np.mean([x[4] for x in cells if x[0] == c]) for c in "ABC"}
+    unit = np.std([x[4] - means[x[0]] for x in cells], ddof=1)
+    rows = [[1.0, v / unit, (m.year - 2021) * 12 + m.month - 1, c == "B", c == "C"] for c, m, n, _, v in cells for _ in range(n)]
+    y = np.array([float(i < e) for _, _, n, e, _ in cells for i in range(n)])
+    cell = np.repeat(np.arange(len(cells)), [x[2] for x in cells])
+    for got, width in zip(fit_pair(cells, start), (2, 5), strict=True):
+        x, b = np.array(rows, float)[:, :width], np.zeros(width)
+        for _ in range(50):
+            mu = 1 / (1 + np.exp(-x @ b))
+            bread = np.linalg.inv((x * (mu * (1 - mu))[:, None]).T @ x)
+            b = b + bread @ x.T @ (y - mu)
+        sums = np.array([((y - mu)[cell == i, None] * x[cell == i]).sum(axis=0) for i in range(len(cells))])
+        error = np.sqrt((bread @ (sums.T @ sums) @ bread)[1, 1] * (60 / 59) * (len(y) - 1) / (len(y) - width))
+        assert got["odds_ratio"] == pytest.approx(np.exp(b[1]), rel=1e-5) and got["ci_low"] == pytest.approx(np.exp(b[1] - 1.959963984540054 * error), rel=1e-5)
+        assert (got["n_obs"], got["n_events"], got["n_clusters"], got["note"]) == (len(y), int(y.sum()), 60, "") and got["signal_sd_within"] == pytest.approx(unit, rel=1e-5)
