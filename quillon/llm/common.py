@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 import weakref
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,11 +43,19 @@ _FOLDER: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    _WRITTEN[path] = spark.sparkContext.applicationId
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    return stored_parts([df], name)
+
+
+def stored_parts(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """Write tables of one schema, one after the other as they come, and read them back as one."""
+    path, schema = "", None
+    for df in parts:
+        spark, schema = df.sparkSession, schema or df.schema
+        if not path:
+            path = shared_path(spark, name)
+            _WRITTEN[path] = spark.sparkContext.applicationId
+        df.write.mode("append").parquet(path)
+    out = spark.read.schema(schema).parquet(path)
     _FOLDER[out] = path
     return out
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillon.llm import chat, decontam, langid, line_dedup, lm_score, mixing, ngram_join, pii, quality, token_files
+from quillon.llm import chat, codebooks, decontam, exact_top, langid, line_dedup, lm_score, mixing, ngram_join, periods, pii, quality, token_files
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_language_id": langid.query,
     "op10_chat_formatting": chat.query,
+    "op11_vector_codes": codebooks.query,
+    "op12_periodic_runs": periods.query,
+    "op13_exact_top": exact_top.query,
 }
 
 ORACLES = {
@@ -24,4 +27,7 @@ ORACLES = {
     "op6_quality_rules": quality.ORACLE_SQL,
     "op7_decontamination": decontam.ORACLE_SQL,
     "op10_chat_formatting": chat.ORACLE_SQL,
+    "op11_vector_codes": codebooks.ORACLE_SQL,
+    "op12_periodic_runs": periods.ORACLE_SQL,
+    "op13_exact_top": exact_top.ORACLE_SQL,
 }
