@@ -71,8 +71,8 @@ def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     source_row orders the versions of a spell, and needs no order over all rows. Some rows are made dirty by their
     own values, so that every rule of the catalogue is broken by some."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("shipped"), "l_returnflag", "l_linenumber", "l_quantity")
-    rows = places(spark, sf_dir).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    order = Window.partitionBy("o_orderkey").orderBy(F.asc_nulls_first("l_linenumber"), "shipped", "l_returnflag")
+    order = Window.partitionBy("l_orderkey").orderBy(F.asc_nulls_first("l_linenumber"), "shipped", "l_returnflag")
+    rows = places(spark, sf_dir).join(lines.withColumn("version", F.row_number().over(order)), F.col("o_orderkey") == F.col("l_orderkey"), "left")  # numbered while narrow
     kind = F.when(F.col("o_orderstatus") == "F", "Voluntary").when(F.col("o_orderstatus") == "O", "Involuntary").otherwise("End of Contract")
     hired, left = F.date_format("ordered", "yyyy-MM-dd"), F.coalesce(F.date_format("shipped", "yyyy-MM-dd"), F.lit(""))
     poor, few = F.col("c_acctbal"), F.col("l_quantity")
@@ -84,7 +84,7 @@ def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         _dirt(F.when(F.col("l_orderkey").isNotNull(), kind).otherwise(""), (few == 3, "")).alias("termination_type"),
         F.when(F.col("l_returnflag") == "R", "true").when(F.col("l_returnflag") == "N", "false").otherwise("").alias("regretted_exit"),
         F.concat(F.lit("HCM_"), F.coalesce("l_returnflag", F.lit("O"))).alias("source_system"), F.date_format(F.coalesce("shipped", "ordered"), "yyyy-MM-dd").alias("record_updated_at"),
-        (F.col("o_orderkey") * 1000 + F.row_number().over(order)).alias("source_row"),
+        (F.col("o_orderkey") * 1000 + F.coalesce("version", F.lit(1))).alias("source_row"),
     )
 
 

@@ -49,23 +49,29 @@ def benjamini_hochberg(df: DataFrame, p: str = "p_value", q: str = "q_value") ->
     return ranked.unionByName(df.filter(F.col(p).isNull()).withColumn(q, F.lit(None).cast("double")))
 
 
-def q_values(p: list[float | None]) -> list[float | None]:
-    """The same for a list on the driver."""
-    known = sorted(x for x in p if x is not None)
-    found: dict[float, float] = {}
-    least = 1.0
-    for rank in range(len(known), 0, -1):
-        least = min(least, known[rank - 1] * len(known) / rank)
-        found[known[rank - 1]] = least
-    return [None if x is None else found[x] for x in p]
+#: Below it the tail of the normal law comes from a series, beyond it from a continued fraction, both of so many terms.
+NEAR, TERMS = 2.2, 80
 
 
-def p_two_sided(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2))
+def two_sided(z: Column) -> Column:
+    """How likely a standard normal value is at least as far from 0 as z; to about twelve digits."""
+    x = F.abs(z) / math.sqrt(2)
+    near = F.least(x, F.lit(NEAR))
+    start = F.struct(near.alias("term"), near.alias("sum"))
 
+    def more(a: Column, k: Column) -> Column:
+        term = a["term"] * 2 * near * near / (2 * k + 1)
+        return F.struct(term.alias("term"), (a["sum"] + term).alias("sum"))
 
-def six_digits(x: float) -> float:
-    return float(f"{x:.6g}")
+    series = 1 - 2 / math.sqrt(math.pi) * F.exp(-near * near) * F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, more, lambda a: a["sum"])
+    far = F.greatest(x, F.lit(NEAR))
+    fraction = F.aggregate(F.sequence(F.lit(TERMS), F.lit(1)), far, lambda a, k: far + k / 2 / a)
+    return F.when(x < NEAR, series).when(x >= NEAR, F.exp(-far * far) / math.sqrt(math.pi) / fraction)  # null has no tail
+
+
+def six_digits(x: Column) -> Column:
+    """Rounded to six significant digits."""
+    return F.when(x.isNotNull(), F.format_string("%.5e", x)).cast("double")
 
 
 class ModelFailed(ValueError):

@@ -22,6 +22,15 @@ def latest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return ranked_duplicates(df, key, order, "_v").filter("_v = 1").drop("_v")
 
 
+def last_by(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The row of each key that is the greatest by order, nulls lowest; of rows that are equal by order any.
+
+    An aggregate: every task keeps one row a key before anything is shuffled, so no key's rows meet, however many."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    by = df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).agg(F.max_by(row, F.struct(*order)).alias("_row"))
+    return by.select("_row.*")
+
+
 def fenced(c: Column) -> Column:
     """The same value, worked out once: a filter on it stays above the projection that makes it, where the optimizer
     would otherwise repeat the whole expression in the filter and in all that it infers from it."""

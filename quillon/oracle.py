@@ -247,6 +247,31 @@ r AS (SELECT v.*, u.*, sqrt((h01 * h01 * s00 - 2 * h00 * h01 * s01 + h00 * h00 *
 SELECT objective_id, indicator_id, persons::BIGINT AS n_obs, gone::BIGINT AS n_events, clusters AS n_clusters, format('{:.6g}', unit)::DOUBLE AS signal_sd_within,
  format('{:.6g}', exp(b1))::DOUBLE AS odds_ratio, format('{:.6g}', exp(b1 - 1.959963984540054 * se))::DOUBLE AS ci_low, format('{:.6g}', exp(b1 + 1.959963984540054 * se))::DOUBLE AS ci_high FROM r"""
 
+# ---- both models, all at once: a group's intercept is swept out of the sums of its cells; the normal tail is one less a power series
+_BOTH = """WITH RECURSIVE c AS (SELECT objective_id, indicator_id, country_code, year(as_of_date) * 12 + month(as_of_date) AS n_month, n::DOUBLE AS n, events::DOUBLE AS e, value, value - avg(value) OVER (PARTITION BY objective_id, indicator_id, country_code) AS off FROM s_cell WHERE value IS NOT NULL),
+u AS (SELECT objective_id, indicator_id, sqrt(sum(off * off) / (count(*) - 1)) AS unit, avg(value) AS mid, avg(n_month) AS mid_month, count(*) AS clusters, sum(n) AS persons, sum(e) AS gone, count(DISTINCT country_code) AS countries FROM c GROUP BY ALL HAVING count(*) > 2),
+x AS (SELECT objective_id, indicator_id, k AS model, CASE WHEN k = 'naive' THEN '' ELSE country_code END AS level, n, e, (value - mid) / unit AS x, CASE WHEN k = 'naive' THEN 0 ELSE n_month - mid_month END AS t
+      FROM c JOIN u USING (objective_id, indicator_id), (VALUES ('naive'), ('within_country')) AS v(k) WHERE unit > 0 AND gone > 0),
+b AS (SELECT DISTINCT objective_id, indicator_id, model, level, 0 AS step, 0::DOUBLE AS a, 0::DOUBLE AS b1, 0::DOUBLE AS b2, 0::DOUBLE AS v FROM x
+ UNION ALL SELECT objective_id, indicator_id, model, level, step + 1, a + (r0 - w1 * d1 - w2 * d2) / w0, b1 + d1, b2 + d2, v FROM
+  (SELECT *, (g1 * h22 - g2 * h12) / det AS d1, CASE WHEN model = 'naive' THEN 0 ELSE (g2 * h11 - g1 * h12) / det END AS d2, (h22 * h22 * s11 - 2 * h22 * h12 * s12 + h12 * h12 * s22) / (det * det) AS v FROM
+   (SELECT *, h11 * h22 - h12 * h12 AS det FROM
+    (SELECT *, sum(w11 - w1 * w1 / w0) OVER m AS h11, sum(w12 - w1 * w2 / w0) OVER m AS h12, CASE WHEN model = 'naive' THEN 1 ELSE sum(w22 - w2 * w2 / w0) OVER m END AS h22, sum(r1 - w1 / w0 * r0) OVER m AS g1, sum(r2 - w2 / w0 * r0) OVER m AS g2,
+      sum(q11 - 2 * w1 / w0 * q1 + w1 * w1 / w0 / w0 * q0) OVER m AS s11, sum(q22 - 2 * w2 / w0 * q2 + w2 * w2 / w0 / w0 * q0) OVER m AS s22, sum(q12 - w1 / w0 * q2 - w2 / w0 * q1 + w1 * w2 / w0 / w0 * q0) OVER m AS s12 FROM
+     (SELECT objective_id, indicator_id, model, level, step, a, b1, b2, sum(w) AS w0, sum(w * x) AS w1, sum(w * t) AS w2, sum(w * x * x) AS w11, sum(w * x * t) AS w12, sum(w * t * t) AS w22, sum(r) AS r0, sum(r * x) AS r1, sum(r * t) AS r2,
+       sum(r * r) AS q0, sum(r * r * x) AS q1, sum(r * r * t) AS q2, sum(r * r * x * x) AS q11, sum(r * r * x * t) AS q12, sum(r * r * t * t) AS q22 FROM
+      (SELECT b.*, x.x, x.t, x.e - x.n / (1 + exp(-(a + b1 * x.x + b2 * x.t))) AS r, x.n / (1 + exp(-(a + b1 * x.x + b2 * x.t))) / (1 + exp(a + b1 * x.x + b2 * x.t)) AS w FROM b JOIN x USING (objective_id, indicator_id, model, level) WHERE step < 20)
+      GROUP BY objective_id, indicator_id, model, level, step, a, b1, b2)
+     WINDOW m AS (PARTITION BY objective_id, indicator_id, model))))),
+f AS (SELECT DISTINCT objective_id, indicator_id, model, b1, sqrt(v * clusters / (clusters - 1) * (persons - 1) / (persons - CASE WHEN model = 'naive' THEN 2 ELSE countries + 2 END)) AS se, persons, gone, clusters, unit
+      FROM b JOIN u USING (objective_id, indicator_id) WHERE step = 20),
+p AS (SELECT *, abs(b1 / se) / sqrt(2.0) AS z, format('{:.6g}', 1 - 2 / sqrt(pi()) * exp(-z * z) * list_sum(list_transform(range(150), lambda i: exp((2 * i + 1) * ln(z) + i * ln(4.0) + lgamma(i + 1) - lgamma(2 * i + 2)))))::DOUBLE AS p_value FROM f),
+o AS (SELECT p_value, sum(count(*)) OVER (ORDER BY p_value) AS r, sum(count(*)) OVER () AS m FROM p WHERE model = 'within_country' GROUP BY p_value),
+q AS (SELECT p_value, 'within_country' AS model, format('{:.6g}', least(1.0, min((p_value * m / r)::DOUBLE) OVER (ORDER BY p_value DESC)))::DOUBLE AS q_value FROM o)
+SELECT objective_id, indicator_id, p.model, CASE objective_id WHEN 'NEW_HIRE_6M' THEN 'exit within 6 months of hire' WHEN 'SENIOR_HIRE_12M' THEN 'exit within 12 months of hire' ELSE 'regretted exit in the month (per person-month at risk)' END AS outcome,
+ persons::BIGINT AS n_obs, gone::BIGINT AS n_events, clusters AS n_clusters, format('{:.6g}', unit)::DOUBLE AS signal_sd_within, format('{:.6g}', exp(b1))::DOUBLE AS odds_ratio,
+ format('{:.6g}', exp(b1 - 1.959963984540054 * se))::DOUBLE AS ci_low, format('{:.6g}', exp(b1 + 1.959963984540054 * se))::DOUBLE AS ci_high, p.p_value, q.q_value, '' AS note FROM p LEFT JOIN q ON q.p_value = p.p_value AND q.model = p.model"""
+
 _P = "(({} * 7919) % 10007) / 10007.0::DOUBLE"
 STEPS["s_test"] = f"SELECT p_brand AS objective_id, p_name || '-' || p_partkey AS indicator_id, {_P.format('p_partkey')} AS p_value FROM part"
 
@@ -300,6 +325,7 @@ _SELECTS = {
     "events_asof": "SELECT e.event_id, e.user_id, max({'t': r.ts, 'i': r.event_id}).i AS seen_id FROM events e LEFT JOIN events r ON r.user_id = e.user_id AND r.ts <= e.ts AND r.event_type <> 'purchase' WHERE e.event_type = 'purchase' GROUP BY e.event_id, e.user_id",
     "model_cells": "SELECT * FROM s_cell",
     "association_cells": f"SELECT objective_id, indicator_id, country_code, {_first(_number('as_of_date') + ' // 3 * 3')} AS period_start, sum(n)::BIGINT AS n, sum(events)::BIGINT AS events, round(sum(n * value) / sum(n), 6) AS signal_mean, round(sum(events) / sum(n), 6) AS event_rate FROM s_cell WHERE value IS NOT NULL GROUP BY ALL",
+    "association_logit": _BOTH,
     "association_naive": _FIT,
     "associations_of": f"SELECT objective_id, indicator_id, country_code, {_first(_number('as_of_date') + ' // 3 * 3')} AS period_start, sum(n)::BIGINT AS n, sum(events)::BIGINT AS events, round(sum(n * value) / sum(n), 6) AS signal_mean, round(sum(events) / sum(n), 6) AS event_rate FROM s_cell WHERE value IS NOT NULL AND objective_id = 'NEW_HIRE_6M' AND indicator_id = 'ship_lines' GROUP BY ALL",
     "bh_qvalues": f"WITH p AS (SELECT c_custkey, {_P.format('c_custkey')} AS p_value FROM customer) SELECT c_custkey, round(p_value, 9) AS p_value, round(q_value, 9) AS q_value FROM p JOIN {_ranked('p')} USING (p_value)",
@@ -319,6 +345,7 @@ _SELECTS = {
     "set_operations": "SELECT user_id, 'either' AS part FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id UNION ALL SELECT user_id, CASE WHEN bool_or(event_type = 'purchase') THEN 'both' ELSE 'clicked only' END FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id HAVING bool_or(event_type = 'click')",
     "tenure_histogram": "SELECT (exit_date - hire_date)::INT AS days, count(*) AS n FROM s_scope WHERE exit_date - hire_date BETWEEN 175 AND 190 GROUP BY ALL",
     "rule_counts": f"SELECT position, id AS rule_id, severity, count(rule_id) AS hits FROM (VALUES {_POSITIONS}) AS c(position, id, severity) LEFT JOIN (SELECT rule_id FROM s_event UNION ALL SELECT rule_id FROM s_xevent) ON rule_id = id GROUP BY position, id, severity",
-    "jsonstat_decode": "WITH s AS (SELECT DISTINCT c_mktsegment FROM customer), x AS (SELECT n_name, c_mktsegment, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL), a AS (SELECT *, (dense_rank() OVER (ORDER BY n_name) - 1) * (SELECT count(*) FROM s) AS base FROM nation) SELECT (base + (SELECT count(*) FROM s WHERE s.c_mktsegment < x.c_mktsegment))::BIGINT AS flat, 'nation=' || x.n_name || '|segment=' || x.c_mktsegment AS coords, CASE WHEN n > 1 THEN n::DOUBLE END AS value, CASE WHEN n <= 1 THEN 'u' END AS status FROM x JOIN a USING (n_name)",
+    "jsonstat_decode": """SELECT l_suppkey, (12 * (year(l_shipdate) - 1995) + month(l_shipdate) - 1) * 3 + CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS flat, 'month=' || strftime(min(l_shipdate), '%Y-%m') || '|flag=' || l_returnflag AS coords,
+ CASE WHEN sum(l_quantity) >= 5 THEN sum(l_quantity)::DOUBLE END AS value, CASE WHEN sum(l_quantity) < 5 THEN 'u' WHEN count(*) < 2 THEN 'p' END AS status FROM lineitem GROUP BY l_suppkey, year(l_shipdate), month(l_shipdate), l_returnflag""",
 }
 ORACLES = {name: whole(sql) for name, sql in _SELECTS.items()}

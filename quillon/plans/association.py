@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from datetime import date
-
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillon.config import Settings
-from quillon.functions.stats import Z_EXACT, ModelFailed, clustered_logit, p_two_sided, q_values, six_digits
+from quillon.functions.stats import Z_EXACT, benjamini_hochberg, six_digits, two_sided
+from quillon.operators.logit import grouped_logit
 from quillon.operators.slices import UNASSIGNED
+from quillon.shared import Scratch
 
 # Columns of the results in their order, models, outcomes and notes, as readers of the table know them.
 RESULT = (
@@ -22,7 +19,7 @@ RESULT = (
 )
 NAIVE, WITHIN = "naive", "within_country"
 OUTCOMES = {"cohort": "exit within {} months of hire", "turnover": "regretted exit in the month (per person-month at risk)"}
-NO_EVENTS, NO_VARIATION, FAILED = "no events", "no within-country variation", "model failed: {}: {}"
+NO_EVENTS, NO_VARIATION, FAILED = "no events", "no within-country variation", "model failed: %s: %s"
 
 
 def model_cells(members: DataFrame, month_counts: DataFrame, asof: DataFrame, s: Settings) -> DataFrame:
@@ -47,67 +44,59 @@ def quarter_cells(cells: DataFrame) -> DataFrame:
     return by.select("objective_id", "indicator_id", "country_code", "period_start", "n", "events", F.round(F.col("_s") / F.col("n"), 6).alias("signal_mean"), F.round(F.col("events") / F.col("n"), 6).alias("event_rate"))
 
 
-class Pair:
-    """The cells of one objective and one signal that have a value, as arrays."""
-
-    def __init__(self, cells: list[tuple[str, date, int, int, float]]):
-        country, month, n, events, value = zip(*cells, strict=True) if cells else ((),) * 5
-        self.n, self.events, self.value = np.array(n, float), np.array(events, float), np.array(value, float)
-        self.month = np.array([m.year * 12 + m.month for m in month], float)
-        self.country = np.unique(np.array(country, str), return_inverse=True)[1]
-
-    def spread(self) -> float:
-        """Sample deviation of the signal from its countries' means, over cells."""
-        if len(self.value) < 3:
-            return math.nan
-        size = np.bincount(self.country)
-        off = self.value - (np.bincount(self.country, self.value) / size)[self.country]
-        return math.sqrt(float(off @ off) / (len(off) - 1))
-
-    def designs(self, unit: float, start: date) -> Iterator[tuple[str, np.ndarray]]:
-        """The columns of each model: the signal in units of its spread comes second."""
-        x = np.column_stack([np.ones(len(self.value)), self.value / unit])
-        yield NAIVE, x
-        yield WITHIN, np.column_stack([x, self.month - (start.year * 12 + start.month), np.eye(self.country.max() + 1)[self.country][:, 1:]])
-
-
-def estimates(pair: Pair, x: np.ndarray) -> dict:
-    """Odds ratio with its interval and p-value, in six digits, or a note of what failed."""
-    try:
-        b, cov = clustered_logit(x, pair.n, pair.events)
-        beta, error = float(b[1]), math.sqrt(cov[1, 1])
-        at = {"odds_ratio": beta, "ci_low": beta - Z_EXACT * error, "ci_high": beta + Z_EXACT * error}
-        return {k: six_digits(math.exp(v)) for k, v in at.items()} | {"p_value": six_digits(p_two_sided(beta / error)), "note": ""}
-    except (ModelFailed, np.linalg.LinAlgError, OverflowError, ZeroDivisionError, ValueError) as e:
-        return {"note": FAILED.format(type(e).__name__, e)[:200]}
-
-
-def fit_pair(cells: list[tuple[str, date, int, int, float]], start: date) -> list[dict]:
-    """Both models of one pair. cells: country, month, persons, events, value."""
-    pair = Pair(cells)
-    counts = {"n_obs": int(pair.n.sum()), "n_events": int(pair.events.sum())}
-    unit = pair.spread()
-    if not counts["n_events"] or not unit > 0 or math.isinf(unit):
-        note = NO_VARIATION if counts["n_events"] else NO_EVENTS
-        return [counts | {"model": m, "n_clusters": 0, "note": note} for m in (NAIVE, WITHIN)]
-    fixed = counts | {"n_clusters": len(cells), "signal_sd_within": six_digits(unit)}
-    return [fixed | {"model": m} | estimates(pair, x) for m, x in pair.designs(unit, start)]
+PAIR = ["objective_id", "indicator_id"]
+
+
+def pairs(cells: DataFrame, s: Settings) -> DataFrame:
+    """A row for each objective and signal: persons, events and cells with a value, the signal's spread, and a note where
+    nothing can be fitted.
+
+    The spread is the sample deviation from countries' means, over cells."""
+    known = F.col("value").isNotNull()
+    by = cells.groupBy(*PAIR, "country_code").agg(F.sum(F.when(known, F.col("n"))).alias("n"), F.sum(F.when(known, F.col("events"))).alias("events"), F.count("value").alias("cells"), (F.var_pop("value") * F.count("value")).alias("off"))
+    out = by.groupBy(*PAIR).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_obs"), F.coalesce(F.sum("events"), F.lit(0)).alias("n_events"), F.sum("cells").alias("cells"), F.sum("off").alias("off"))
+    unit = F.when(F.col("cells") > 2, F.sqrt(F.col("off") / (F.col("cells") - 1)))
+    usable = (unit > 0) & ~F.isnan(unit) & (unit < float("inf"))  # null is no spread
+    texts = [F.lit(x) for o in s.objectives for x in (o.id, OUTCOMES[o.measure].format(o.months))]
+    outcome = F.coalesce(F.element_at(F.create_map(*texts), F.col("objective_id")), F.lit("")) if texts else F.lit("")
+    note = F.when(F.col("n_events") == 0, NO_EVENTS).when(~F.coalesce(usable, F.lit(False)), NO_VARIATION)
+    return out.select(*PAIR, outcome.alias("outcome"), "n_obs", "n_events", "cells", unit.alias("unit"), note.alias("unfit"))
+
+
+def designs(cells: DataFrame, of: DataFrame, s: Settings) -> DataFrame:
+    """The cells of both models: naive has one group and no trend; within countries each has its own level, and all a trend
+    by month. The signal is in units of its spread."""
+    rows = cells.filter("value is not null").join(of.filter("unfit is null").select(*PAIR, "unit"), PAIR)
+    month = 12 * F.year("as_of_date") + F.month("as_of_date") - (12 * s.reporting_start.year + s.reporting_start.month)
+    models = [(NAIVE, F.lit(""), F.lit(0)), (WITHIN, F.col("country_code"), month)]
+    each = F.array(*[F.struct(F.lit(m).alias("model"), g.alias("level"), t.alias("trend")) for m, g, t in models])
+    return rows.select(*PAIR, "n", "events", (F.col("value") / F.col("unit")).alias("signal"), F.explode(each).alias("d")).select(*PAIR, "n", "events", "signal", "d.*")
 
 
 def fit_associations(cells: DataFrame, s: Settings) -> DataFrame:
     """Odds ratios for every objective and signal: naive, and within countries with a trend.
 
-    Cells are of countries and months: a few hundred rows a model reach the driver, whatever the number of persons.
-    What can't be fitted has nulls and a note. q-values are over the within-country tests."""
-    groups: dict[tuple[str, str], list] = {}
-    for r in cells.orderBy("objective_id", "indicator_id", "country_code", "as_of_date").toLocalIterator():
-        own = groups.setdefault((r["objective_id"], r["indicator_id"]), [])
-        if r["value"] is not None:
-            own.append((r["country_code"], r["as_of_date"], r["n"], r["events"], r["value"]))
-    outcome = {o.id: OUTCOMES[o.measure].format(o.months) for o in s.objectives}
-    rows = [{"objective_id": o, "indicator_id": i, "outcome": outcome.get(o, "")} | row for (o, i), own in groups.items() for row in fit_pair(own, s.reporting_start)]
-    tests = [r for r in rows if r["model"] == WITHIN]
-    for r, q in zip(tests, q_values([r.get("p_value") for r in tests]), strict=True):
-        r["q_value"] = None if q is None else six_digits(q)
-    schema = T._parse_datatype_string(RESULT)
-    return cells.sparkSession.createDataFrame([tuple(r.get(f) for f in schema.names) for r in rows], schema)
+    All models are fitted together in rounds of grouped sums; nothing of a model reaches the driver. What can't be
+    fitted has nulls and a note. q-values are over the within-country tests."""
+    scratch = Scratch(cells.sparkSession, "association")
+    rows = scratch.put(cells.select(*PAIR, "country_code", "as_of_date", "n", "events", "value"))
+    of = scratch.put(pairs(rows, s))
+    fits = grouped_logit(designs(rows, of, s), [*PAIR, "model"], "level", "signal", "trend", "n", "events", scratch)
+    error = F.sqrt("variance")
+    tests = fits.select(
+        *PAIR, "model", six_digits(F.exp("slope")).alias("odds_ratio"), six_digits(F.exp(F.col("slope") - Z_EXACT * error)).alias("ci_low"),
+        six_digits(F.exp(F.col("slope") + Z_EXACT * error)).alias("ci_high"), six_digits(two_sided(F.col("slope") / error)).alias("p_value"), F.col("note").alias("_failed"),
+    )
+    tests = scratch.put(tests)
+    ranked = benjamini_hochberg(tests.filter(F.col("model") == WITHIN).select(*PAIR, "model", "p_value")).drop("p_value")
+    both = of.select("*", F.explode(F.array(F.lit(NAIVE), F.lit(WITHIN))).alias("model"))
+    out = both.join(tests, [*PAIR, "model"], "left").join(ranked, [*PAIR, "model"], "left")
+    fitted = F.col("unfit").isNull()
+    failed = F.when(F.col("_failed") != "", F.format_string(FAILED, F.lit("ModelFailed"), F.col("_failed")))
+    out = out.withColumns({
+        "n_clusters": F.when(fitted, F.col("cells")).otherwise(0), "signal_sd_within": F.when(fitted, six_digits(F.col("unit"))),
+        "q_value": six_digits(F.col("q_value")), "note": F.coalesce("unfit", failed, F.lit("")),
+    })
+    result = Scratch(cells.sparkSession, "associations").put(out.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(RESULT).fields]))
+    scratch.drop()
+    return result

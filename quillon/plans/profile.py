@@ -34,10 +34,10 @@ def checks(s: Settings) -> dict[str, Column]:
 def profile(raw: DataFrame, s: Settings) -> DataFrame:
     """(position, check, n): rows, equal rows, ids, ids with differing rows, then the checks over distinct rows.
 
-    One shuffle by id: equal rows are counted and ids summed where they already lie."""
+    Equal rows are counted, then ids summed, each begun in every task before it is shuffled: no id's rows meet."""
     found = checks(s)
     names = [f"_c{i}" for i in range(len(found))]
-    distinct = raw.select(*COLUMNS).repartition("employee_id").groupBy(*COLUMNS).agg(F.count("*").alias("_n"))
+    distinct = raw.select(*COLUMNS).groupBy(*COLUMNS).agg(F.count("*").alias("_n"))
     flags = distinct.select("employee_id", "_n", *[F.coalesce(x, F.lit(False)).cast("int").alias(n) for n, x in zip(names, found.values(), strict=True)])
     ids = flags.groupBy("employee_id").agg(F.sum("_n").alias("_rows"), F.count("*").alias("_kinds"), *[F.sum(n).alias(n) for n in names])
     total = lambda x: F.coalesce(F.sum(x), F.lit(0))

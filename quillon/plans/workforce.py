@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.config import Settings
 from quillon.functions.calendar import iso_date
-from quillon.operators.rows import Rule, broken, fenced, ranked_duplicates, rule_counts
+from quillon.operators.rows import Rule, broken, fenced, last_by, rule_counts
 
 COLUMNS = (
     "employee_id", "country_code", "business_unit", "job_family", "career_level", "employment_type",
@@ -59,21 +59,35 @@ def mapped(c: Column, names: dict[str, str]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), c)
 
 
-def versions(raw: DataFrame) -> DataFrame:
-    """Raw rows with dup_rank (1 for the first of equal rows, 2 for the others) and, for those kept, version_rank (1: the one that counts).
+def firsts(raw: DataFrame) -> DataFrame:
+    """Of equal rows the one with the least source_row, counted off in each task before anything is shuffled."""
+    return raw.groupBy(*COLUMNS).agg(F.min("source_row").alias("source_row"))
 
-    Both orders end with source_row, so every rerun decides alike. The date of a version is compared as text. Rows
-    are shuffled once, by id: equal rows have one id, so both windows find theirs together."""
-    same = Window.partitionBy("employee_id").orderBy(F.xxhash64(*COLUMNS), *COLUMNS, "source_row")  # equal rows lie together; the hash settles most comparisons
-    row = F.struct(*COLUMNS)
-    ranked = raw.repartition("employee_id").withColumn("dup_rank", F.when(F.lag(row).over(same).eqNullSafe(row), 2).otherwise(1))
-    first = F.when(F.col("dup_rank") == 1, 0).otherwise(1)
-    return ranked_duplicates(ranked, ["employee_id"], [first, F.desc_nulls_last("record_updated_at"), F.desc("source_row")], "version_rank")
 
+def last_versions(raw: DataFrame) -> DataFrame:
+    """The row of each id that counts: the first of its equal rows, with the latest date of a version (compared as text; none
+    is earliest) and of those the greatest source_row.
 
-def typed(current: DataFrame, s: Settings, *keep: str) -> DataFrame:
+    Both steps are aggregates that tasks begin on their own, so an id or a row that makes up much of the table reaches
+    the task that finishes it as one row from every other."""
+    return last_by(firsts(raw), ["employee_id"], ["record_updated_at", "source_row"])
+
+
+def removed(raw: DataFrame) -> DataFrame:
+    """(source_row, employee_id, rule_id) of all rows that don't count, and why.
+
+    The numbers of all rows, of firsts and of last versions are laid over each other; the highest step that a number
+    stands on says what became of its row."""
+    number = lambda df, step: df.select("source_row", "employee_id", F.lit(step).alias("_step"))
+    steps = number(raw, 0).unionByName(number(firsts(raw), 1)).unionByName(number(last_versions(raw), 2))
+    last = steps.groupBy("source_row", "employee_id").agg(F.max("_step").alias("_step"))
+    why = F.when(F.col("_step") == 0, "WF_EXACT_DUPLICATE").when(F.col("_step") == 1, "WF_ID_SUPERSEDED")
+    return last.select("source_row", "employee_id", why.alias("rule_id")).filter("rule_id is not null")
+
+
+def typed(current: DataFrame, s: Settings) -> DataFrame:
     out = current.select(
-        "employee_id", "source_row", *keep,
+        "employee_id", "source_row",
         *[blank_to_null(c).alias(c) for c in ("business_unit", "job_family", "employment_type", "termination_type", "source_system")],
         blank_to_null("country_code").alias("country_code_raw"), blank_to_null("career_level").alias("career_level_raw"),
         blank_to_null("hire_date").alias("hire_date_raw"), blank_to_null("termination_date").alias("termination_date_raw"),
@@ -127,12 +141,10 @@ def curate(raw: DataFrame, s: Settings) -> Workforce:
 
     Hits mark the surviving row only; those of removed rows say why they went. The rules of a surviving row are
     found in the same pass that types it, so employees need no join with the hits."""
-    every = versions(raw)
     rules = row_rules(s)
-    state = F.when(F.col("dup_rank") > 1, F.array(F.lit("WF_EXACT_DUPLICATE"))).when(F.col("version_rank") > 1, F.array(F.lit("WF_ID_SUPERSEDED")))
-    events = typed(every, s, "dup_rank", "version_rank").select("source_row", "employee_id", F.explode(F.coalesce(state, broken(rules))).alias("rule_id"))
-    rows = typed(every.filter("dup_rank = 1 and version_rank = 1"), s)
-    return Workforce(_employees(rows, rules, s), events)
+    rows = typed(last_versions(raw), s)
+    hits = rows.select("source_row", "employee_id", F.explode(broken(rules)).alias("rule_id"))
+    return Workforce(_employees(rows, rules, s), removed(raw).unionByName(hits))
 
 
 def _employees(rows: DataFrame, rules: list[tuple[str, Column]], s: Settings) -> DataFrame:

@@ -64,7 +64,7 @@ def latest_version(spark, d):
 
 @query
 def canonicalise_alias(spark, d):
-    w = workforce.typed(workforce.versions(adapters.lifecycle(spark, d)).filter("dup_rank = 1 and version_rank = 1"), S)
+    w = workforce.typed(workforce.last_versions(adapters.lifecycle(spark, d)), S)
     return w.groupBy("country_code_raw", "country_code", "career_level_raw", "career_level").agg(F.count("*").alias("n"))
 
 
@@ -326,5 +326,8 @@ def tenure_histogram(spark, d):
 
 @query
 def jsonstat_decode(spark, d):
-    """A cube of region, month and kind, written as the provider would and decoded."""
-    return jsonstat.decode_cube(jsonstat.demo_cube(adapters.table(spark, d, "nation"), adapters.table(spark, d, "customer")))
+    """A cube of months and flags for each supplier, written as the provider would and decoded."""
+    lines = adapters.table(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_returnflag", "l_quantity")
+    cells = jsonstat.decode_cube(jsonstat.cubes(jsonstat.demo_payloads(lines), "l_suppkey"), "l_suppkey")
+    coords = F.array_join(F.transform(F.map_entries("dims"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    return cells.select("l_suppkey", "flat", coords.alias("coords"), "value", "status")

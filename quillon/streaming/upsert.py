@@ -2,82 +2,90 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from quillon.operators.rows import latest
+from quillon.operators.rows import last_by
 
-#: Parts that the state is kept in, by hash of the id; a batch rewrites those that its ids fall into.
-BUCKETS = 256
+#: Runs of one width that are merged into one of so many times the width.
+FANOUT = 8
+KEY, ORDER = ["employee_id"], ["record_updated_at", "source_row"]
 
 
-def merged(state: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Last versions of state and batch together."""
-    both = batch if state is None else state.unionByName(batch)
-    return latest(both, ["employee_id"], [F.desc_nulls_last("record_updated_at"), F.desc("source_row")])
+def merged(rows: DataFrame) -> DataFrame:
+    """Last versions by date (none is earliest), then by source_row, whatever order rows came in."""
+    return last_by(rows, KEY, ORDER)
 
 
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("employee_id"), F.lit(buckets)).cast("int")
+def runs(n: int, fanout: int = FANOUT) -> list[tuple[int, int]]:
+    """The runs (first batch, last batch) that hold all batches up to n: those of n + 1 written to the base of the fan-out."""
+    out, width = [], 1
+    while width * fanout <= n + 1:
+        width *= fanout
+    at = 0
+    while width:
+        while at + width <= n + 1:
+            out.append((at, at + width - 1))
+            at += width
+        width //= fanout
+    return out
 
 
 class State:
-    """Buckets under root/generation=N/bucket=B, and for each batch N a list of the generation that each bucket is at.
+    """Runs of batches under root/run=FIRST-LAST, each with the last versions of its records among them.
 
-    A reader goes by the last list, so it never sees half a batch; a batch that is repeated starts from the list before
-    it and writes the same again."""
+    A batch writes one run and touches no other: mostly its own rows alone; every FANOUT batches also those of the runs
+    that it completes a wider one with, so that a row is written again once for each width. Which runs count follows
+    from the number of the last finished batch alone, so a reader never sees half a batch, and a batch that is repeated
+    after a failure writes the same run. Batches are numbered by the stream's checkpoint: a root belongs to one checkpoint."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, fanout: int = FANOUT):
+        self.spark, self.root, self.fanout = spark, root, fanout
 
-    def _path(self, name: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+    def _path(self, name: str = ""):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _exists(self, name: str) -> bool:
-        p, store = self._path(name)
-        return store.exists(p)
-
-    def at(self, n: int) -> dict[int, int]:
-        """Generation by bucket after batch n; nothing before the first."""
-        if not self._exists(f"lists/{n}/_SUCCESS"):
-            return {}
-        return dict(map(tuple, self.spark.read.parquet(f"{self.root}/lists/{n}").select("bucket", "generation").collect()))  # a row a bucket
+    def stored(self) -> set[tuple[int, int]]:
+        """Runs that were written to the end."""
+        p, store = self._path()
+        names = [x.getPath().getName() for x in store.listStatus(p)] if store.exists(p) else []
+        done = [n for n in names if n.startswith("run=") and store.exists(self._path(f"{n}/_SUCCESS")[0])]
+        return {(int(a), int(b)) for a, b in (n[4:].split("-") for n in done)}
 
     def last(self) -> int:
         """The last batch that was finished, -1 if none was."""
-        p, store = self._path("lists")
-        done = [int(x.getPath().getName()) for x in store.listStatus(p)] if store.exists(p) else []
-        return max((n for n in done if self._exists(f"lists/{n}/_SUCCESS")), default=-1)
-
-    def read(self, generations: dict[int, int], schema) -> DataFrame | None:
-        paths = [f"{self.root}/generation={g}/bucket={b}" for b, g in generations.items()]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else None
-
-    def write(self, n: int, rows: DataFrame, buckets: int) -> None:
-        """Merge a batch into the buckets that it touches; what the batch before has replaced is deleted."""
-        own = rows.persist()
-        touched = [r[0] for r in own.select(_bucket(buckets)).distinct().collect()]  # BUCKETS at most
-        before = self.at(n - 1)
-        out = merged(self.read({b: before[b] for b in touched if b in before}, rows.schema), own)
-        out.withColumn("bucket", _bucket(buckets)).repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(f"{self.root}/generation={n}")
-        listed = [*(before | dict.fromkeys(touched, n)).items()]
-        self.spark.createDataFrame(listed, "bucket int, generation int").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/lists/{n}")
-        own.unpersist()
-        for b, g in self.at(n - 2).items():
-            if before.get(b) != g:
-                p, store = self._path(f"generation={g}/bucket={b}")
-                store.delete(p, True)
-
-
-def current(spark: SparkSession, root: str, schema) -> DataFrame:
+        return max((b for _, b in self.stored()), default=-1)
+
+    def read(self, of: list[tuple[int, int]], schema) -> DataFrame | None:
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/run={a}-{b}" for a, b in of]) if of else None
+
+    def write(self, n: int, rows: DataFrame) -> None:
+        """Put a batch into a run of its own, or into the wider one that it completes."""
+        have = self.stored()
+        if any(b == n for _, b in have):
+            return  # was finished before
+        if have and max(b for _, b in have) > n:
+            raise ValueError(f"{self.root} has later batches than {n}: it belongs to another checkpoint")
+        new = runs(n, self.fanout)[-1]
+        inside = [r for r in runs(n - 1, self.fanout) if r[0] >= new[0]]
+        if missing := [r for r in runs(n - 1, self.fanout) if r not in have]:
+            raise ValueError(f"{self.root} lacks the runs {missing}")
+        before = self.read(inside, rows.schema)
+        out = merged(rows if before is None else before.unionByName(rows))
+        out.sortWithinPartitions(*KEY).write.mode("overwrite").parquet(f"{self.root}/run={new[0]}-{new[1]}")  # sorted: a look for some ids skips most row groups
+        for old in have - {*runs(n, self.fanout), *runs(n - 1, self.fanout)}:  # what readers may still be at stays for one more batch
+            p, store = self._path(f"run={old[0]}-{old[1]}")
+            store.delete(p, True)
+
+
+def current(spark: SparkSession, root: str, schema, fanout: int = FANOUT) -> DataFrame:
     """The state after the last finished batch."""
-    state = State(spark, root)
-    found = state.read(state.at(state.last()), schema)
-    return spark.createDataFrame([], schema) if found is None else found
+    state = State(spark, root, fanout)
+    found = state.read(runs(state.last(), fanout), schema)
+    return spark.createDataFrame([], schema) if found is None else merged(found)
 
 
-def upsert(stream: DataFrame, root: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+def upsert(stream: DataFrame, root: str, checkpoint: str, fanout: int = FANOUT) -> StreamingQuery:
     """Keep the last version of each record under root; read it with current()."""
-    return stream.writeStream.foreachBatch(lambda df, n: State(df.sparkSession, root).write(n, df, buckets)).option("checkpointLocation", checkpoint).start()
+    return stream.writeStream.foreachBatch(lambda df, n: State(df.sparkSession, root, fanout).write(n, df)).option("checkpointLocation", checkpoint).start()

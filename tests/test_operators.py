@@ -1,5 +1,7 @@
 """Operators on small tables, against results worked out by hand."""
 
+import math
+from dataclasses import replace
 from datetime import date
 
 import numpy as np
@@ -7,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions.calendar import iso_date, month_end_after, period_start
-from quillon.functions.stats import benjamini_hochberg, clustered_logit, q_values, wilson
+from quillon.functions.stats import benjamini_hochberg, clustered_logit, six_digits, two_sided, wilson
 from quillon.operators.rows import duplicated_keys, keep_first, latest
 from quillon.operators.slices import sliced
 from quillon.operators.temporal import asof_join, gaps, monthly_balance, months_at_risk
@@ -86,7 +88,6 @@ def test_q_values_of_many_tests_with_ties(spark):
     for i, x in enumerate(p):
         want = None if x is None else min(1.0, *[y * len(known) / sum(z <= y for z in known) for y in known if y >= x])
         assert got[i] == (None if want is None else pytest.approx(want))
-    assert q_values(p) == [None if x is None else pytest.approx(got[i]) for i, x in enumerate(p)]
 
 
 def test_logit_of_cells_equals_logit_of_persons():
@@ -108,26 +109,103 @@ def test_logit_of_cells_equals_logit_of_persons():
     assert np.allclose(b, c) and np.allclose(cov, want, rtol=1e-8)
 
 
-def test_models_of_a_pair_equal_a_fit_of_persons():
-    """Both models with dummies, trend and scaling against Newton's steps over persons' rows."""
-    from quillon.plans.association import fit_pair
-
-    rng, start = np.random.default_rng(4), D("2021-01-01")
-    months = [date(2021 + m // 12, m % 12 + 1, 1) for m in range(20)]
-    cells = [(c, m, int(rng.integers(8, 30)), 0, float(rng.normal(k))) for k, c in enumerate("ABC") for m in months]
-    cells = [(c, m, n, int(rng.binomial(n, 0.3)), v) for c, m, n, _, v in cells]
-    means = {c: np.mean([x[4] for x in cells if x[0] == c]) for c in "ABC"}
+def refit(cells, start, within):
+    """Slope and its error by Newton's steps over persons' rows, countries as dummies; cells: country, month, n, events, value."""
+    names = sorted({c for c, *_ in cells})
+    means = {c: np.mean([x[4] for x in cells if x[0] == c]) for c in names}
     unit = np.std([x[4] - means[x[0]] for x in cells], ddof=1)
-    rows = [[1.0, v / unit, (m.year - 2021) * 12 + m.month - 1, c == "B", c == "C"] for c, m, n, _, v in cells for _ in range(n)]
+    row = lambda c, m, v: [1.0, v / unit, *([(m.year - start.year) * 12 + m.month - start.month, *[float(c == o) for o in names[1:]]] if within else [])]
+    x = np.array([row(c, m, v) for c, m, n, _, v in cells for _ in range(n)])
     y = np.array([float(i < e) for _, _, n, e, _ in cells for i in range(n)])
-    cell = np.repeat(np.arange(len(cells)), [x[2] for x in cells])
-    for got, width in zip(fit_pair(cells, start), (2, 5), strict=True):
-        x, b = np.array(rows, float)[:, :width], np.zeros(width)
-        for _ in range(50):
-            mu = 1 / (1 + np.exp(-x @ b))
-            bread = np.linalg.inv((x * (mu * (1 - mu))[:, None]).T @ x)
-            b = b + bread @ x.T @ (y - mu)
-        sums = np.array([((y - mu)[cell == i, None] * x[cell == i]).sum(axis=0) for i in range(len(cells))])
-        error = np.sqrt((bread @ (sums.T @ sums) @ bread)[1, 1] * (60 / 59) * (len(y) - 1) / (len(y) - width))
-        assert got["odds_ratio"] == pytest.approx(np.exp(b[1]), rel=1e-5) and got["ci_low"] == pytest.approx(np.exp(b[1] - 1.959963984540054 * error), rel=1e-5)
-        assert (got["n_obs"], got["n_events"], got["n_clusters"], got["note"]) == (len(y), int(y.sum()), 60, "") and got["signal_sd_within"] == pytest.approx(unit, rel=1e-5)
+    cell = np.repeat(np.arange(len(cells)), [c[2] for c in cells])
+    b = np.zeros(x.shape[1])
+    for _ in range(25):
+        mu = 1 / (1 + np.exp(-x @ b))
+        bread = np.linalg.inv((x * (mu * (1 - mu))[:, None]).T @ x)
+        b = b + bread @ x.T @ (y - mu)
+    score = np.zeros((len(cells), x.shape[1]))
+    np.add.at(score, cell, (y - mu)[:, None] * x)
+    g = len(cells)
+    return b[1], np.sqrt((bread @ (score.T @ score) @ bread)[1, 1] * g / (g - 1) * (len(y) - 1) / (len(y) - x.shape[1])), unit
+
+
+def fitted(spark, pairs, start=D("2021-01-01")):
+    """pairs: indicator -> cells; the results by indicator and model."""
+    from quillon import adapters
+    from quillon.plans.association import fit_associations
+
+    rows = [("NEW_HIRE_6M", i, *c) for i, cells in pairs.items() for c in cells]
+    df = spark.createDataFrame(rows, "objective_id string, indicator_id string, country_code string, as_of_date date, n long, events long, value double")
+    return {(r["indicator_id"], r["model"]): r for r in fit_associations(df, replace(adapters.SETTINGS, reporting_start=start)).collect()}
+
+
+def drawn_cells(rng, countries="ABC", months=12, n=(8, 30), effect=0.0, level=0.0, of_level=0.0):
+    days = [date(2021 + m // 12, m % 12 + 1, 1) for m in range(months)]
+    out = []
+    for k, c in enumerate(countries):
+        for m in days:
+            size, v = int(rng.integers(*n)), float(rng.normal())
+            out.append((c, m, size, int(rng.binomial(size, 1 / (1 + np.exp(1.2 - effect * v - of_level * k)))), v + level * k))
+    return out
+
+
+def test_many_models_at_once_equal_fits_of_persons(spark):
+    """Dummies, trend, scaling, clustered errors, p- and q-values, each against persons' rows."""
+    rng = np.random.default_rng(4)
+    pairs = {f"i{k}": drawn_cells(rng, "ABCD"[: 2 + k % 3], 6 + k % 5, effect=k / 20) for k in range(25)}
+    got = fitted(spark, pairs)
+    assert len(got) == 50
+    for i, cells in pairs.items():
+        for model in ("naive", "within_country"):
+            b, error, unit = refit(cells, D("2021-01-01"), model != "naive")
+            r = got[i, model]
+            assert (r["n_obs"], r["n_events"], r["n_clusters"], r["note"]) == (sum(c[2] for c in cells), sum(c[3] for c in cells), len(cells), "")
+            want = [np.exp(b), np.exp(b - 1.959963984540054 * error), np.exp(b + 1.959963984540054 * error), math.erfc(abs(b / error) / math.sqrt(2)), unit]
+            assert [r[c] for c in ("odds_ratio", "ci_low", "ci_high", "p_value", "signal_sd_within")] == [pytest.approx(w, rel=6e-6) for w in want]
+    tests = [r for r in got.values() if r["model"] == "within_country"]
+    for r in tests:
+        q = min(1.0, *[x["p_value"] * len(tests) / sum(y["p_value"] <= x["p_value"] for y in tests) for x in tests if x["p_value"] >= r["p_value"]])
+        assert r["q_value"] == pytest.approx(q, rel=6e-6)
+    assert all(r["q_value"] is None for r in got.values() if r["model"] == "naive")
+
+
+def test_models_find_effects_and_are_not_fooled_by_countries(spark):
+    """A real effect, none, one that only countries have, and models that can't be fitted."""
+    rng = np.random.default_rng(7)
+    day = D("2021-01-01")
+    pairs = {
+        "real": drawn_cells(rng, "ABCDEF", 48, (40, 41), effect=0.5), "none": drawn_cells(rng, "ABCDEF", 48, (40, 41)),
+        "countries": drawn_cells(rng, "ABCDEF", 48, (40, 41), level=2.0, of_level=0.3),
+        "flat": [(c, m, n, e, float(ord(c))) for c, m, n, e, _ in drawn_cells(rng)], "quiet": [(c, m, n, 0, v) for c, m, n, _, v in drawn_cells(rng)],
+        "apart": [(c, m, n, n if v > 0 else 0, v) for c, m, n, _, v in drawn_cells(rng)], "empty": [("A", day, 5, 1, None)], "few": [("A", day, 5, 1, 0.5), ("B", day, 5, 2, 0.7)],
+        "trend": [(c, m, n, e, float(m.year * 12 + m.month)) for c, m, n, e, _ in drawn_cells(rng)], "all": [(c, m, n, n, v) for c, m, n, _, v in drawn_cells(rng)],
+    }
+    got = fitted(spark, pairs)
+    real, none, naive, within = got["real", "within_country"], got["none", "within_country"], got["countries", "naive"], got["countries", "within_country"]
+    assert real["odds_ratio"] > 1.3 and real["p_value"] < 0.001 and none["ci_low"] < 1 < none["ci_high"]
+    assert naive["p_value"] < 0.001 and within["ci_low"] < 1 < within["ci_high"] and within["n_clusters"] == 288
+    note = {k: r["note"] for k, r in got.items()}
+    assert note["flat", "naive"] == note["few", "within_country"] == "no within-country variation" and note["quiet", "naive"] == note["empty", "naive"] == "no events"
+    assert "separated" in note["apart", "naive"] and "separated" in note["all", "within_country"] and "depend" in note["trend", "within_country"] and note["trend", "naive"] == ""
+    for (i, _), r in got.items():
+        assert (r["odds_ratio"] is None) == (r["note"] != "") == (r["p_value"] is None) and (r["n_clusters"] == 0) == (r["note"] in ("no events", "no within-country variation"))
+        assert (i, r["n_obs"]) != ("empty", 5)
+
+
+def test_a_country_without_events_says_nothing_of_the_slope(spark):
+    rng = np.random.default_rng(9)
+    cells = drawn_cells(rng, "ABC", 20)
+    more = cells + [("D", m, n, 0, v) for _, m, n, _, v in drawn_cells(rng, "D", 20)]
+    got = fitted(spark, {"three": cells, "four": more})
+    three, four = got["three", "within_country"], got["four", "within_country"]
+    scale = four["signal_sd_within"] / three["signal_sd_within"]
+    assert math.log(four["odds_ratio"]) == pytest.approx(math.log(three["odds_ratio"]) * scale, rel=1e-4) and four["n_clusters"] == 80
+
+
+def test_tails_of_the_normal_law(spark):
+    z = [0.0, 1e-9, 0.3, -1.96, 3.1, 3.2, 5.0, -8.5, 20.0, 38.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in z], "z double").coalesce(1).select(two_sided(F.col("z"))).collect()]
+    assert got == [pytest.approx(math.erfc(abs(x) / math.sqrt(2)), rel=1e-11) for x in z]
+    assert spark.range(1).select(two_sided(F.lit(None).cast('double'))).first()[0] is None
+    rounded = spark.createDataFrame([(123456.7,), (0.000123456789,), (None,), (-2.0,)], "x double").coalesce(1).select(six_digits(F.col("x"))).collect()
+    assert [r[0] for r in rounded] == [123457.0, 0.000123457, None, -2.0]

@@ -13,7 +13,7 @@ from quillon.sources import ingest, jsonstat, settings, worldbank
 from quillon.sources.contract import CurateError, Indicator, SourceContractError
 from quillon.sources.files import SnapshotMeta, SnapshotStore, csv_file, digest, lifecycle_csv
 from quillon.sources.http import FetchError, fetch
-from quillon.streaming.upsert import State, current, upsert
+from quillon.streaming.upsert import State, current, runs, upsert
 
 I = Indicator("x", "eurostat", "set", "M", ("EL", "IT"), {"unit": "PC"}, "release")  # noqa: E741
 
@@ -31,7 +31,23 @@ def test_jsonstat_cells(spark):
     assert dense.count() == 7
 
 
-@pytest.mark.parametrize("change, why", [({"size": [1, 2, 2, 3]}, "sizes"), ({"error": "no"}, "says no"), ({"id": ["unit"], "size": [1]}, "no dimension geo"), ({"dimension": {}}, "no categories of unit")])
+def test_cubes_of_a_million_cells_and_ten_thousand_cubes(spark):
+    """Linear in cells: every cell of a large cube stands where it belongs; many cubes are decoded side by side."""
+    side = 1000
+    axis = lambda k: {"category": {"index": [f"{k}{i}" for i in range(side)]}}
+    doc = {"id": ["a", "b"], "size": [side, side], "dimension": {"a": axis("a"), "b": axis("b")}, "value": {str(i): i for i in range(side * side)}, "status": {"7": "p"}}
+    cells = jsonstat.decode_cube(jsonstat.cubes(spark.createDataFrame([(json.dumps(doc),)], "body string")))
+    right = (F.col("dims")["a"] == F.concat(F.lit("a"), F.floor(F.col("flat") / side))) & (F.col("dims")["b"] == F.concat(F.lit("b"), F.col("flat") % side)) & (F.col("value") == F.col("flat"))
+    r = cells.agg(F.count("*"), F.count_if(right), F.countDistinct("flat"), F.max(F.struct(F.col("status").isNotNull(), "flat"))["flat"]).first()
+    assert tuple(r) == (side * side, side * side, side * side, 7)
+    small = spark.range(10_000, numPartitions=8).select("id", F.format_string('{"id":["g"],"size":[2],"dimension":{"g":{"category":{"index":{"y":1,"x":0}}}},"value":[%d,null],"status":{"1":"u"}}', "id").alias("body"))
+    got = jsonstat.decode_cube(jsonstat.cubes(small.withColumnRenamed("id", "k"), "k"), "k")
+    assert got.filter("value = k and dims['g'] = 'x' and flat = 0").count() == got.filter("value is null and dims['g'] = 'y' and status = 'u'").count() == 10_000 and got.count() == 20_000
+    odd = spark.createDataFrame([("[]",), ("{",), (None,), ("{}",)], "body string")
+    assert jsonstat.decode_cube(jsonstat.cubes(odd)).count() == 0
+
+
+@pytest.mark.parametrize("change, why", [({"value": {"0": "x"}}, "isn't one"), ({"value": {"8": 1}}, "no dimension has"), ({"value": [1] * 9}, "no dimension has"), ({"status": {"k": "p"}}, "no dimension has"), ({"value": "x"}, "neither"), ({"size": [1, 2, 2, 3]}, "sizes"), ({"error": "no"}, "says no"), ({"id": ["unit"], "size": [1]}, "no dimension geo"), ({"dimension": {}}, "no categories of unit")])
 def test_jsonstat_refuses_other_shapes(spark, change, why):
     with pytest.raises(SourceContractError, match=why):
         jsonstat.JsonStat().parse(spark, cube(**change), I)
@@ -293,19 +309,36 @@ def test_cli_codes_gate_and_manifests(spark, tmp_path, capsys):
 
 
 def test_stream_keeps_the_latest_version(spark, tmp_path):
+    """Restarts, late rows, rows without a date, a batch that is repeated, and what a batch writes."""
     (tmp_path / "in").mkdir()
     schema, root = "employee_id string, record_updated_at string, source_row long, v string", str(tmp_path / "state")
     assert current(spark, root, schema).count() == 0
-    first = [("a", "2025-01-01", 1, "old"), ("b", "2025-01-01", 2, "only"), *[(f"x{i}", "2025-01-01", 10 + i, "x") for i in range(40)]]
-    for rows in (first, [("a", "2025-02-01", 3, "new"), ("b", "2024-01-01", 4, "stale")], [("a", "2025-02-01", 5, "newer")]):
+    first = [("a", "2025-01-01", 1, "old"), ("b", "2025-01-01", 2, "only"), (None, "2025-01-01", 9, "nobody"), *[(f"x{i}", "2025-01-01", 10 + i, "x") for i in range(400)]]
+    batches = [first, [("a", "2025-02-01", 3, "new"), ("b", "2024-01-01", 4, "stale"), ("b", None, 99, "undated")], [("a", "2025-02-01", 5, "newer")], *[[(f"x{k}", f"2025-03-{k + 1:02}", 1000 + k, f"late {k}"), ("a", f"2024-03-{k + 1:02}", 2000 + k, "stale")] for k in range(7)]]
+    want: dict = {}
+    rows_of = lambda r: spark.read.parquet(f"{root}/run={r[0]}-{r[1]}").count()
+    for n, rows in enumerate(batches):  # a new query for each: every batch is a restart
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        q = upsert(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), root, str(tmp_path / "ck"), buckets=8)
+        q = upsert(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), root, str(tmp_path / "ck"), fanout=3)
         q.processAllAvailable()
         q.stop()
-    got = {r["employee_id"]: r["v"] for r in current(spark, root, schema).collect()}
-    assert got == {"a": "newer", "b": "only", **{f"x{i}": "x" for i in range(40)}}
-    state = State(spark, root)
-    assert state.last() == 2 and len(state.at(2)) == 8 and sorted(set(state.at(2).values())) in ([0, 1, 2], [0, 2])
-    again = spark.createDataFrame([("a", "2025-02-01", 5, "newer")], schema)
-    state.write(2, again, 8)  # a batch that is repeated changes nothing
-    assert {r["employee_id"]: r["v"] for r in current(spark, root, schema).collect()} == got
+        for i, day, row, v in rows:
+            want[i] = max(want.get(i, ("", 0, "")), (day or "", row, v))
+        state = State(spark, root, 3)
+        assert state.last() == n and {*runs(n, 3)} <= state.stored() <= {*runs(n, 3), *runs(n - 1, 3)}
+        if (n, n) in runs(n, 3):
+            assert rows_of((n, n)) == len({r[0] for r in rows})  # nothing but the batch is written
+    got = {r["employee_id"]: r["v"] for r in current(spark, root, schema, 3).collect()}
+    assert got == {k: v[2] for k, v in want.items()} and runs(9, 3) == [(0, 8), (9, 9)] and rows_of((0, 8)) == len(want)
+    state.write(9, spark.createDataFrame([("a", "2030-01-01", 5, "repeated")], schema))  # a batch that is repeated changes nothing
+    assert {r["employee_id"]: r["v"] for r in current(spark, root, schema, 3).collect()} == got
+    with pytest.raises(ValueError, match="another checkpoint"):
+        state.write(0, spark.createDataFrame(first, schema))
+
+
+def test_runs_cover_all_batches():
+    for fanout in (2, 3, 8):
+        for n in range(-1, 200):
+            found = runs(n, fanout)
+            assert [b for a, c in found for b in range(a, c + 1)] == [*range(n + 1)] and len(found) <= fanout * 8
+            assert n < 0 or found[-1][1] == n and {*found[:-1]} <= {*runs(n - 1, fanout)}  # a batch writes its last run and no other
