@@ -9,13 +9,13 @@ import sys
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from quillon import __version__, http_api, pipeline, serving
+from quillon import __version__, http_api, pipeline, serving, verify
 from quillon.config import ConfigError, Settings, standard
 from quillon.session import session
 from quillon.sources import ingest as ingestion
 from quillon.sources import settings as files
 from quillon.sources.contract import CurateError, Indicator
-from quillon.sources.files import SnapshotStore, lifecycle_csv
+from quillon.sources.files import SnapshotStore, csv_file, lifecycle_csv
 
 log = logging.getLogger("quillon")
 STEPS = {
@@ -23,6 +23,7 @@ STEPS = {
     "curate": "lifecycle rows and series to checked tables",
     "analyse": "checked tables to measures and models",
     "run": "ingest, curate and analyse",
+    "verify": "work finished tables out again by other means; exit code 1 if any number differs",
     "health": "whether all tables are built",
     "serve": "answer questions over HTTP",
     "version": "the version",
@@ -106,12 +107,28 @@ def curated(spark, j: Job) -> dict:
     return tables
 
 
+def verified(spark, j: Job) -> bool:
+    """Whether all checks agree; they are left as a CSV report."""
+    if missing := serving.missing_tables(spark, j.args.tables):
+        raise CurateError(f"not built: {', '.join(missing)}")
+    found = pipeline.saved(verify.checks(spark, j.args.tables, j.settings), j.args.tables, "verification")
+    csv_file(found, f"{j.args.reports}/verification.csv", ["check", "of"])
+    wrong = found.filter("not agrees")
+    for r in wrong.orderBy("check", "of").limit(20).collect():
+        log.error("%s of %s: %s, but %s by other means", r["check"], r["of"], r["pipeline"], r["independent"])
+    n, bad = found.count(), wrong.count()
+    log.info("%s of %s checks agree", n - bad, n)
+    return not bad
+
+
 def done(spark, j: Job) -> bool:
     a, good = j.args, True
     if a.step == "health":
         state = serving.health(spark, a.tables)
         print(json.dumps(state))
         return state["status"] == "ok"
+    if a.step == "verify":
+        return verified(spark, j)
     if a.step == "serve":
         with http_api.server(serving.Service(spark, a.tables, j.settings), a.host, a.port) as s:
             log.info("listening on %s:%s", *s.server_address)

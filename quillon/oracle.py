@@ -319,6 +319,7 @@ _SELECTS = {
     "headcount_month_end": f"SELECT * EXCLUDE (n), {_last('n')} AS month_end FROM s_heads",
     "turnover_ttm": "SELECT * REPLACE (round(avg_headcount_ttm, 9) AS avg_headcount_ttm) FROM s_year",
     "wilson_interval": f"SELECT DISTINCT numerator, denominator, round({_LOW}, 9) AS ci_low, round({_HIGH}, 9) AS ci_high FROM s_monthly",
+    "wilson_in_sql": f"SELECT objective_id, variant, country_code, numerator, denominator, round({_LOW}, 9) AS ci_low, round({_HIGH}, 9) AS ci_high FROM (SELECT objective_id, variant, country_code, sum(numerator)::BIGINT AS numerator, sum(denominator)::BIGINT AS denominator FROM s_monthly WHERE segment_value = 'All' GROUP BY ALL)",
     "objective_measures": "SELECT * FROM s_measure",
     "signal_values_lag": "SELECT * FROM s_value",
     "signal_asof": "SELECT * FROM s_known",

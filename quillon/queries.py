@@ -11,9 +11,11 @@ from quillon import adapters, serving
 from quillon.adapters import SETTINGS as S
 from quillon.functions.calendar import iso_date
 from quillon.functions.calendar import period_months, period_start, month_end_after
+from quillon.functions.sql import register
 from quillon.functions.stats import benjamini_hochberg, wilson
 from quillon.operators import rows, temporal
 from quillon.plans import association, external, profile, retention, signals, workforce
+from quillon.shared import Scratch
 from quillon.sources import jsonstat
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +173,16 @@ def wilson_interval(spark, d):
     return _rounded(m.select("numerator", "denominator", wilson(k, n, False).alias("ci_low"), wilson(k, n, True).alias("ci_high")))
 
 
+@query
+def wilson_in_sql(spark, d):
+    """Intervals of pooled cohorts by a SQL text that calls the session's own functions."""
+    register(spark)
+    monthly = retention.cohort_monthly(retention.cohort_members(_scoped(spark, d), S))
+    select = """SELECT objective_id, variant, country_code, sum(numerator) AS numerator, sum(denominator) AS denominator, wilson_low(sum(numerator), sum(denominator)) AS ci_low,
+        wilson_high(sum(numerator), sum(denominator)) AS ci_high FROM {monthly} WHERE segment_value = 'All' GROUP BY objective_id, variant, country_code"""
+    return _rounded(spark.sql(select, monthly=monthly))
+
+
 @query
 def objective_measures(spark, d):
     return _rounded(_measures(spark, d))
@@ -183,7 +195,7 @@ def signal_values_lag(spark, d):
 
 @query
 def signal_asof(spark, d):
-    return signals.signal_asof(_external(spark, d).observations, S)
+    return _asof(spark, d)
 
 
 @query
@@ -195,9 +207,18 @@ def events_asof(spark, d):
     return temporal.asof_join(left, right, ["user_id"], "at", "seen_at", [F.col("seen_id")]).select("event_id", "user_id", "seen_id")
 
 
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder, for plans that read a table more than once."""
+    return Scratch(df.sparkSession, name).put(df)
+
+
+def _asof(spark, d):
+    return signals.signal_asof(_once(_external(spark, d).observations, "observations"), S)
+
+
 def _cells(spark, d):
-    emp = _scoped(spark, d)
-    return association.model_cells(retention.cohort_members(emp, S), retention.person_month_counts(emp, S), signals.signal_asof(_external(spark, d).observations, S), S)
+    emp = _once(_scoped(spark, d), "employees")
+    return association.model_cells(retention.cohort_members(emp, S), retention.person_month_counts(emp, S), _asof(spark, d), S)
 
 
 @query
@@ -256,7 +277,7 @@ def measures_slice(spark, d):
 
 @query
 def signal_series(spark, d):
-    return serving.signal_series(signals.signal_asof(_external(spark, d).observations, S), "ship_lines", ["ASIA", "EUROPE"], S.reporting_start)
+    return serving.signal_series(_asof(spark, d), "ship_lines", ["ASIA", "EUROPE"], S.reporting_start)
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -45,6 +46,15 @@ class Parsed:
     status_labels: dict[str, str]
 
 
+@dataclass(frozen=True)
+class Series:
+    """A payload taken apart by a task of its own: rows of geo, period, value, status and the dimensions that weren't pinned."""
+
+    rows: Iterator[tuple[str, str, float | None, str | None, dict[str, str]]]
+    updated: str | None
+    labels: dict[str, str]
+
+
 class Source(Protocol):
     def request(self, indicator: Indicator) -> Request: ...
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quillon import cli, http_api, pipeline, serving
 from quillon.config import ConfigError, standard
 from quillon.plans import workforce
-from quillon.sources import ingest, jsonstat, settings, worldbank
+from quillon.sources import datasource, ingest, jsonstat, settings, worldbank
 from quillon.sources.contract import CurateError, Indicator, SourceContractError
 from quillon.sources.files import SnapshotMeta, SnapshotStore, csv_file, digest, lifecycle_csv
 from quillon.sources.http import FetchError, fetch
@@ -109,6 +109,33 @@ def test_replay_isolates_failures(spark, tmp_path):
     assert not ingest.ingest(spark, store, (I,))[0].ok
 
 
+def test_snapshots_are_a_source_of_spark(spark, tmp_path):
+    """Read by format, stored payloads are what staged() gives; a partition for each series and place; checks end the read."""
+    store = SnapshotStore(str(tmp_path))
+    meta = lambda p, i, b: SnapshotMeta(p, i, "set", "u", [], "t", 200, digest(b), len(b), None, 2)
+    row = {"indicator": {"id": "GDP"}, "countryiso3code": "ITA", "date": "2022", "value": 1.5, "obs_status": "E"}
+    wb = json.dumps([{"pages": 1, "lastupdated": "d"}, [row, row | {"date": "2023", "value": None, "obs_status": ""}, row | {"countryiso3code": "GRC"}]]).encode()
+    known = cube(extension={"status": {"label": {"p": "provisional"}}})
+    listed = (I, Indicator("gdp", "worldbank", "GDP", "A", ("ITA",)), Indicator("dense", "eurostat", "set", "M", ("IT",), {"unit": "PC"}))
+    for i, body in zip(listed, (known, wb, cube(value=[1, None, 3, 4, 5, 6, 7, 8.5], status={})), strict=True):
+        store.write(body, meta(i.provider, i.id, body))
+    spark.dataSource.register(datasource.Snapshots)
+    read = lambda which, at=str(tmp_path), **more: spark.read.format("quillon_series").option("indicators", datasource.listed(which)).options(**more).load(at)
+    want, missing = ingest.staged(spark, store, listed)
+    got = read(listed)
+    assert not missing and got.schema.names == want.schema.names and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 13
+    assert got.rdd.getNumPartitions() == 7 and read(listed, tmp_path.as_uri()).count() == 13
+    gone = Indicator("gone", "eurostat", "set", "M")
+    assert read((I, gone), missing="skip").count() == 3
+    for change in (lambda: store._file("eurostat", "x", "json").write_bytes(b"{}"), lambda: store.write(b"{}", meta("eurostat", "x", b"{}"))):
+        change()
+        with pytest.raises(Exception, match="checksum|no id"):
+            read((I,)).collect()
+    for bad, why in (([{"message": []}], "says"), ([{"pages": 2}, []], "2 pages"), ([{"pages": 1}, [row | {"indicator": {"id": "Z"}}]], "rows of Z"), ([{"pages": 1}, [{}]], "lacks"), ([{"pages": 1}, [row | {"value": "x"}]], "number"), ({}, "list"), ([1, 2, 3], "metadata"), ([{"pages": 1}, "x"], "no list")):
+        with pytest.raises(SourceContractError, match=why):
+            worldbank.series(json.dumps(bad).encode(), listed[1])
+
+
 def test_live_ingest_checks_before_it_stores(spark, tmp_path):
     store = SnapshotStore(str(tmp_path))
     (good,) = ingest.ingest(spark, store, (I,), live=True, get=lambda r: (200, cube()))
@@ -193,6 +220,30 @@ def built(spark, tmp_path_factory):
     return at
 
 
+def test_finished_tables_are_verified_by_other_means(spark, built, tmp_path, monkeypatch):
+    """All checks agree on a whole run; a changed number is found, and ends the command with 1."""
+    from shutil import copytree
+
+    from quillon import verify
+
+    root = str(built / "tables")
+    found = verify.checks(spark, root, standard()).collect()
+    kinds = {r["check"] for r in found}
+    assert kinds >= {"cohort retained", "cohort hired", "turnover exits", "turnover head count", "intervals that agree", "as-of values that agree", "model persons", "model events"}
+    assert [r for r in found if not r["agrees"]] == [] and len(found) > 150
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    copytree(root, tmp_path / "t")
+    call = ["verify", "--tables", str(tmp_path / "t"), "--reports", str(tmp_path / "r")]
+    assert cli.main(call) == 0 and (tmp_path / "r" / "verification.csv").read_text().count("\n") == len(found) + 1
+    m = spark.read.parquet(root + "/objective_measures")
+    one = F.col("objective_id") == "NEW_HIRE_6M"
+    m.withColumn("numerator", F.when(one & (F.col("grain") == "year") & (F.col("country_code") == "IT") & (F.col("segment_value") == "All"), F.col("numerator") + 1).otherwise(F.col("numerator"))).write.mode("overwrite").parquet(str(tmp_path / "t" / "objective_measures"))
+    assert cli.main(call) == 1
+    wrong = {(r["check"], r["of"]) for r in spark.read.parquet(str(tmp_path / "t" / "verification")).filter("not agrees").collect()}
+    assert ("cohort retained", "NEW_HIRE_6M main 2022 IT All") in wrong and {k.split()[0] for k, _ in wrong} <= {"cohort", "intervals"}
+    assert cli.main(["verify", "--tables", str(tmp_path / "none")]) == 1
+
+
 def test_whole_run_repeats_byte_by_byte(spark, built):
     report = json.loads((built / "reports" / "quality_report.json").read_text())
     assert (report["workforce_rows_read"], report["employees"], report["external_values"], len(report["rules"])) == (144, 144, 120, 23)
