@@ -19,9 +19,11 @@ class GateError(RuntimeError):
 
 
 def saved(df: DataFrame, root: str, name: str) -> DataFrame:
-    """A finished table: later steps and readers use what is written."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}")
-    return df.sparkSession.read.parquet(f"{root}/{name}")
+    """A finished table: later steps and readers use what is written. Some are laid out by what requests ask for, a file a folder."""
+    by = serving.LAYOUT.get(name, ())
+    rows = df.repartition(*by).sortWithinPartitions(*[c for c in ("country_code", "segment_value", "period_start", "as_of_date") if c in df.columns]) if by else df
+    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{root}/{name}")
+    return serving.laid_out(df.sparkSession, root, name).select(df.columns)
 
 
 def curate(spark: SparkSession, raw: DataFrame, staged: DataFrame, s: Settings, root: str) -> dict[str, DataFrame]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quillon.config import Settings
 from quillon.functions.stats import Z, ModelFailed, clustered_logit
 from quillon.operators.slices import ALL_COUNTRIES, ALL_SEGMENTS
+from quillon.serving import laid_out
 
 #: A check: what was compared, for what, the table's number, the second one, and whether they agree.
 CHECK = "check string, of string, pipeline double, independent double, agrees boolean"
@@ -176,7 +177,7 @@ def models(results: DataFrame, cells: DataFrame, s: Settings) -> DataFrame:
 
 def checks(spark: SparkSession, root: str, s: Settings) -> DataFrame:
     """All checks of the tables under root, in one table of CHECK."""
-    t = {n: spark.read.parquet(f"{root}/{n}") for n in ("employees", "external_observations", "objective_measures", "signal_asof", "association_results")}
+    t = {n: laid_out(spark, root, n) for n in ("employees", "external_observations", "objective_measures", "signal_asof", "association_results")}
     parts = [
         cohorts(t["employees"], t["objective_measures"], s), turnover(t["employees"], t["objective_measures"], s), intervals(t["objective_measures"]),
         known(t["external_observations"], t["signal_asof"], s), models(t["association_results"], samples(t["employees"], t["signal_asof"], s), s),

@@ -220,6 +220,22 @@ def built(spark, tmp_path_factory):
     return at
 
 
+def test_requests_read_only_the_files_of_their_slice(spark, built):
+    """A request for one objective, variant and grain, or one signal, opens one folder; values are never text of a statement."""
+    t = serving.open_tables(spark, str(built / "tables"))
+    for df, of, names in (
+        (serving.measures(t["objective_measures"], "NEW_HIRE_6M", "IT"), t["objective_measures"], ("objective_id", "variant", "grain")),
+        (serving.signal_series(t["signal_asof"], "unemployment_rate", ["IT"], date(2021, 1, 1)), t["signal_asof"], ("indicator_id",)),
+        (serving.association_cells(t["association_cells"], "NEW_HIRE_6M", "unemployment_rate"), t["association_cells"], ("objective_id", "indicator_id")),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pruned = plan[plan.index("PartitionFilters") :].split("]")[0]
+        assert all(n in pruned for n in names) and df.count() > 0
+        scans = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        assert scans.size() == 1 and len({f.rsplit("/", 1)[0] for f in df.inputFiles()}) <= len({f.rsplit("/", 1)[0] for f in of.inputFiles()})
+    assert serving.measures(t["objective_measures"], "' OR '1'='1").count() == 0
+
+
 def test_finished_tables_are_verified_by_other_means(spark, built, tmp_path, monkeypatch):
     """All checks agree on a whole run; a changed number is found, and ends the command with 1."""
     from shutil import copytree
