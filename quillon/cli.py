@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from quillon import __version__, http_api, pipeline, serving, verify
 from quillon.config import ConfigError, Settings, standard
 from quillon.session import session
+from quillon.shared import Scratch
 from quillon.sources import ingest as ingestion
 from quillon.sources import settings as files
 from quillon.sources.contract import CurateError, Indicator
@@ -101,7 +102,11 @@ def curated(spark, j: Job) -> dict:
     """Tables of the rows and series at hand; the gate stops after the report is written."""
     staged, missing = ingestion.staged(spark, SnapshotStore(j.args.snapshots), j.indicators, j.sources)
     log.info("series missing: %s", missing or "none")
-    tables = pipeline.curate(spark, lifecycle_csv(spark, j.lifecycle), staged, j.settings, j.args.tables)
+    scratch = Scratch(spark, "lifecycle")
+    try:
+        tables = pipeline.curate(spark, lifecycle_csv(spark, j.lifecycle, scratch), staged, j.settings, j.args.tables)
+    finally:
+        scratch.drop()
     pipeline.report(tables, j.settings, j.args.reports, pipeline.origin(j.lifecycle) | {"missing_indicators": missing})
     pipeline.gate(tables)
     return tables

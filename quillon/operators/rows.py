@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.shared import Scratch
+
 
 def ranked_duplicates(df: DataFrame, columns: list[str], order: list[Column], name: str = "dup_rank") -> DataFrame:
     """Number equal rows; 1 is the one to keep."""
@@ -31,6 +33,18 @@ def last_by(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return by.select("_row.*")
 
 
+def sums_before(df: DataFrame, order: list[str], n: str, name: str, scratch: Scratch) -> DataFrame:
+    """For each row, the sum of n over all rows before it; order must tell rows apart.
+
+    Two levels: rows are dealt to tasks by ranges of the order and written, the tasks' sums (a row a task) are added up, and
+    each range adds up its own rows from there. No task sees all rows."""
+    dealt = scratch.put(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = dealt.groupBy("_range").agg(F.sum(n).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
+    own = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.withColumn(name, F.coalesce(F.sum(n).over(own), F.lit(0))).join(F.broadcast(ranges), "_range").withColumn(name, F.col(name) + F.col("_from")).drop("_range", "_from")
+
+
 def fenced(c: Column) -> Column:
     """The same value, worked out once: a filter on it stays above the projection that makes it, where the optimizer
     would otherwise repeat the whole expression in the filter and in all that it infers from it."""

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon import serving
 from quillon.config import Settings
 from quillon.plans import association, external, retention, signals, workforce
-from quillon.sources.files import csv_file, json_file, write_whole
+from quillon.sources.files import csv_file, json_file
+from quillon.sources.store import Files
 
 
 class GateError(RuntimeError):
@@ -55,16 +53,12 @@ def analyse(spark: SparkSession, s: Settings, root: str) -> dict[str, DataFrame]
 
 
 def origin(path: str) -> dict:
-    """Name and hash of the lifecycle file, or of a folder's files in order of names; nothing where it can't be opened."""
-    files = sorted(p for p in Path(path).glob("*.csv")) if Path(path).is_dir() else [Path(path)]
-    if not all(f.is_file() for f in files):
+    """Name and hash of the lifecycle file, or of a folder's files in order of names; nothing where there is none."""
+    files = Files()
+    if not files.exists(path):
         return {"workforce_source": path}
-    whole = hashlib.sha256()
-    for f in files:
-        with open(f, "rb") as opened:
-            while part := opened.read(1 << 20):
-                whole.update(part)
-    return {"workforce_source": Path(path).name, "workforce_source_sha256": whole.hexdigest()}
+    found = [f for f in files.files(path) if f.endswith(".csv")] if files.is_folder(path) else [path]
+    return {"workforce_source": path.rstrip("/").rsplit("/", 1)[-1], "workforce_source_sha256": files.sha256(found)}
 
 
 def counted(tables: dict[str, DataFrame]) -> dict:
@@ -104,12 +98,12 @@ def report(tables: dict[str, DataFrame], s: Settings, reports: str, source: dict
         json_file(f"{reports}/quality_report.json", facts | {"rules": listed})
         lines = ["# Data quality", "", *[f"* {k.replace('_', ' ')}: {v}" for k, v in facts.items()], "", "| rule | severity | hits | meaning |", "|---|---|---|---|"]
         lines += [f"| {r['rule_id']} | {r['severity']} | {r['hits']} | {r['rule_text']} |" for r in rules]
-        write_whole(Path(f"{reports}/quality_report.md"), ("\n".join(lines) + "\n").encode())
+        Files().write(f"{reports}/quality_report.md", ("\n".join(lines) + "\n").encode())
     if "objective_measures" in tables:
         lines = ["# Yearly rates", "", "| objective | year | rate | target | status | confidence |", "|---|---|---|---|---|---|"]
         lines += [f"| {r['objective_id']} | {r['year']} | {r['rate']} | {r['target']} | {r['status']} | {r['confidence'] or ''} |" for r in serving.headlines(tables["objective_measures"]).collect()]
         lines += ["", "# Definitions", "", *[f"* {d['objective_id']}: {d['definition']}; goal: {d['goal']}" for d in serving.definitions(s)]]
-        write_whole(Path(f"{reports}/analysis_summary.md"), ("\n".join(lines) + "\n").encode())
+        Files().write(f"{reports}/analysis_summary.md", ("\n".join(lines) + "\n").encode())
 
 
 def run(spark: SparkSession, raw: DataFrame, staged: DataFrame, s: Settings, root: str, reports: str) -> dict[str, DataFrame]:

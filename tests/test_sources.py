@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from quillon import cli, http_api, pipeline, serving
 from quillon.config import ConfigError, standard
+from quillon.operators.rows import sums_before
 from quillon.plans import workforce
+from quillon.shared import Scratch
 from quillon.sources import datasource, ingest, jsonstat, settings, worldbank
 from quillon.sources.contract import CurateError, Indicator, SourceContractError
-from quillon.sources.files import SnapshotMeta, SnapshotStore, csv_file, digest, lifecycle_csv
+from quillon.sources.files import SnapshotMeta, SnapshotStore, csv_field, csv_file, digest, lifecycle_csv
 from quillon.sources.http import FetchError, fetch
+from quillon.sources.store import Files
 from quillon.streaming.upsert import State, current, runs, upsert
 
 I = Indicator("x", "eurostat", "set", "M", ("EL", "IT"), {"unit": "PC"}, "release")  # noqa: E741
@@ -127,7 +130,7 @@ def test_snapshots_are_a_source_of_spark(spark, tmp_path):
     assert got.rdd.getNumPartitions() == 7 and read(listed, tmp_path.as_uri()).count() == 13
     gone = Indicator("gone", "eurostat", "set", "M")
     assert read((I, gone), missing="skip").count() == 3
-    for change in (lambda: store._file("eurostat", "x", "json").write_bytes(b"{}"), lambda: store.write(b"{}", meta("eurostat", "x", b"{}"))):
+    for change in (lambda: (tmp_path / "eurostat" / "x.json").write_bytes(b"{}"), lambda: store.write(b"{}", meta("eurostat", "x", b"{}"))):
         change()
         with pytest.raises(Exception, match="checksum|no id"):
             read((I,)).collect()
@@ -178,6 +181,8 @@ def test_lifecycle_rows_are_numbered_in_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         got = lifecycle_csv(spark, str(tmp_path / "many")).orderBy("source_row").collect()
         assert [r["employee_id"] for r in got] == want and [r["source_row"] for r in got] == [*range(2, 3007)]
+        few = lifecycle_csv(spark, str(tmp_path / "many"), most_blocks=0)  # more blocks than may be broadcast
+        assert sorted(map(tuple, few.collect())) == sorted(map(tuple, got)) and "ResolvedHint" not in few._jdf.queryExecution().analyzed().toString()
     spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
     (tmp_path / "bad.csv").write_text("a,b\n1,2\n")
     with pytest.raises(CurateError, match="employee_id"):
@@ -190,6 +195,60 @@ def test_csv_tells_null_from_empty_text(spark, tmp_path):
     assert (tmp_path / "x.csv").read_text() == 'i,a,b,c,d,e,f\n1,,"","a""b",true,0.5,x|y\n2,"a,b","n\nl", ,,,""\n'
 
 
+def test_large_csv_is_the_sorted_rows_line_by_line(spark, tmp_path):
+    """Many parts, ties, nulls and odd text: the file is what one pass over the sorted rows would write."""
+    n = 200_000
+    odd = F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 7 == 1, "").when(F.col("id") % 7 == 2, 'a,"b"').when(F.col("id") % 7 == 3, "l\nm").otherwise(F.col("id").cast("string"))
+    df = spark.range(n, numPartitions=7).select(F.xxhash64("id").alias("k"), F.col("id").alias("i"), odd.alias("t"), (F.col("id") / 3e6).alias("x"), F.expr("date_add(date'2020-01-01', cast(id % 900 as int))").alias("d"), F.expr("timestamp'2020-01-01 00:00:00.5' + make_interval(0, 0, 0, 0, 0, 0, id)").alias("at"), F.array(F.col("id"), F.lit(1)).alias("l"))
+    df = df.withColumn("tie", F.col("i") % 3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for path in (str(tmp_path / "deep" / "x.csv"), (tmp_path / "y.csv").as_uri()):
+        assert csv_file(df, path, ["tie", "k"]) == n
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    rows = df.collect()
+    rows.sort(key=lambda r: (r["tie"], r["k"]))
+    want = "".join(",".join(map(csv_field, [*r[:5], r["at"].replace(tzinfo=None), *r[6:]])) + "\n" for r in rows)
+    for path in ("deep/x.csv", "y.csv"):
+        assert (tmp_path / path).read_bytes().decode() == "k,i,t,x,d,at,l,tie\n" + want
+    assert sorted(p.name for p in tmp_path.rglob("*")) == ["deep", "x.csv", "y.csv"]
+    assert csv_file(df.filter("i < 0"), str(tmp_path / "y.csv"), ["k"]) == 0 and (tmp_path / "y.csv").read_text() == "k,i,t,x,d,at,l,tie\n"
+
+
+def test_sums_before_a_million_blocks(spark):
+    """No window over all rows; the sums are those of the sorted rows."""
+    scratch = Scratch(spark, "blocks")
+    n = 1_000_000
+    blocks = spark.range(n, numPartitions=16).select(F.format_string("f%03d", F.col("id") % 500).alias("f"), F.floor(F.col("id") / 500).alias("b"), (F.col("id") % 11).alias("n"))
+    got = sums_before(blocks, ["f", "b"], "n", "o", scratch)
+    assert got.filter("f = 'f000' and b = 0").first()["o"] == 0
+    # of a row and the next one, the sums differ by the row's n; the last one's sum is all but its own n
+    g = got.orderBy("f", "b").toPandas()
+    assert len(g) == n and (g["o"].diff().iloc[1:].to_numpy() == g["n"].iloc[:-1].to_numpy()).all() and g["o"].iloc[0] == 0
+    assert sums_before(blocks.filter("n > 20"), ["f", "b"], "n", "o", scratch).count() == 0
+    scratch.drop()
+
+
+def test_files_by_address(spark, tmp_path):
+    """Snapshots, manifests and reports are kept by address as by path, replaced whole, with nothing left beside them."""
+    files, at = Files(spark), tmp_path.as_uri()
+    for body in (b"", b"one", bytes(range(256)) * 5000):
+        files.write(f"{at}/a/b.bin", body)
+        assert files.read(f"{at}/a/b.bin") == body == (tmp_path / "a" / "b.bin").read_bytes() and files.size(str(tmp_path / "a" / "b.bin")) == len(body)
+    assert files.sha256([f"{at}/a/b.bin", str(tmp_path / "a" / "b.bin")]) == digest(body * 2)
+    assert [p.name for p in (tmp_path / "a").iterdir()] == ["b.bin"] and files.is_folder(f"{at}/a") and not files.exists(f"{at}/c")
+    for gone in (lambda: files.read(f"{at}/c"), lambda: files.read(f"{at}/a"), lambda: files.files(f"{at}/c")):
+        with pytest.raises(FileNotFoundError):
+            gone()
+    files.join(b"0", [], f"{at}/a/c.bin")
+    assert files.read(f"{at}/a/c.bin") == b"0" and [x.rsplit("/", 1)[1] for x in files.files(f"{at}/a")] == ["b.bin", "c.bin"]
+    store = snapshots(spark, f"{at}/snap")
+    outcomes = ingest.ingest(spark, store, ingest.STANDARD[:2])
+    assert [o.ok for o in outcomes] == [True, False] and ingest.staged(spark, store, ingest.STANDARD)[0].count() == 120
+    ingest.manifest(f"{at}/runs/1.json", "1", outcomes)
+    assert json.loads((tmp_path / "runs" / "1.json").read_text())["indicators"][0]["state"] == "replayed"
+    assert sorted(p.name for p in (tmp_path / "snap" / "eurostat").iterdir()) == ["unemployment_rate.json", "unemployment_rate.meta.json"]
+
+
 def write_people(path, hired=range(1, 13)):
     """Managers and leaders of two units hired in 2022, some of whom left; clean rows."""
     lines = [",".join(workforce.COLUMNS)]
