@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import re
+import time
 import uuid
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from inspect import signature
@@ -56,13 +57,19 @@ def server(service: Service, host: str = "127.0.0.1", port: int = 8000) -> Threa
 
     class Handler(BaseHTTPRequestHandler):
         def do_GET(self) -> None:
+            begun = time.perf_counter()
             state, body = answer(service, self.path)
             data = json.dumps(body, default=str).encode()
             self.send_response(state)
             self.send_header("Content-Type", "application/json")
             self.send_header("Content-Length", str(len(data)))
+            self.send_header("Cache-Control", "no-store")  # tables change with every run
             self.end_headers()
             self.wfile.write(data)
+            log.info("request", extra={"method": self.command, "path": self.path, "state": state, "ms": round(1000 * (time.perf_counter() - begun), 1)})
+
+        def log_request(self, *args) -> None:
+            """Logged with its time, once it is answered."""
 
         def log_message(self, form: str, *args) -> None:
             log.info(form, *args)

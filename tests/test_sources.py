@@ -1,6 +1,8 @@
 """Decoders, snapshots, replay, outputs, the whole run and the stream."""
 
 import json
+import logging
+import re
 from datetime import date
 
 import pytest
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 from quillon import cli, http_api, pipeline, serving
 from quillon.config import ConfigError, standard
 from quillon.operators.rows import sums_before
-from quillon.plans import workforce
+from quillon.plans import profile, workforce
+from quillon.runtime import Runtime, runtime
 from quillon.shared import Scratch
 from quillon.sources import datasource, ingest, jsonstat, settings, worldbank
 from quillon.sources.contract import CurateError, Indicator, SourceContractError
@@ -367,7 +370,7 @@ def test_service_over_http(spark, built):
     with http_api.server(serving.Service(spark, str(built / "tables"), standard()), port=0) as s:
         threading.Thread(target=s.serve_forever, daemon=True).start()
         with urlopen(f"http://127.0.0.1:{s.server_address[1]}/api/health") as r:
-            assert json.loads(r.read())["status"] == "ok" and r.headers["Content-Type"] == "application/json"
+            assert json.loads(r.read())["status"] == "ok" and r.headers["Content-Type"] == "application/json" and r.headers["Cache-Control"] == "no-store"
         s.shutdown()
 
 
@@ -434,6 +437,59 @@ def test_cli_codes_gate_and_manifests(spark, tmp_path, capsys):
     assert rules["EX_PERIOD_UNPARSEABLE"] == 2
 
 
+def test_environment_sets_folders_limits_and_logs(spark, tmp_path, monkeypatch):
+    assert runtime({"HOME": "x"}) == Runtime() and runtime({"QUILLON_DATA": ""}).folder("tables") == "tables"
+    r = runtime({"QUILLON_DATA": "file:///d/", "QUILLON_CONFIG": "c", "QUILLON_HTTP_TIMEOUT": "2.5", "QUILLON_HTTP_TRIES": "2", "QUILLON_LOG_LEVEL": "debug"})
+    a = cli.parser(r).parse_args(["ingest", "--reports", "mine"])
+    assert (a.snapshots, a.tables, a.reports, a.config, a.log_level) == ("file:///d/snapshots", "file:///d/tables", "mine", "c", "DEBUG")
+    for name, text in (("HTTP_TIMEOUT", "0"), ("HTTP_TIMEOUT", "nan"), ("HTTP_TIMEOUT", "x"), ("HTTP_TRIES", "0"), ("HTTP_TRIES", "1.5"), ("LOG_LEVEL", "loud"), ("OTHER", "1")):
+        monkeypatch.setenv(f"QUILLON_{name}", text)
+        assert cli.main(["version"]) == 2
+        monkeypatch.delenv(f"QUILLON_{name}")
+    asked = []
+    monkeypatch.setattr(cli, "fetch", lambda request, tries, timeout: asked.append((tries, timeout)) or (200, cube()))
+    monkeypatch.setenv("QUILLON_HTTP_TRIES", "2")
+    monkeypatch.setenv("QUILLON_DATA", tmp_path.as_uri())
+    assert cli.main(["ingest", "--live", "--only", "unemployment_rate"]) == 1 and asked == [(2, 30.0)]  # the payload is of another series
+    assert len([*(tmp_path / "reports" / "runs").iterdir()]) == 1
+
+
+def test_logs_carry_fields():
+    record = logging.makeLogRecord({"name": "quillon.http", "levelname": "WARNING", "levelno": 30, "msg": "again %s", "args": ("now",), "tries": 2, "left": None})
+    assert cli.TextLines("%(levelname)s %(name)s %(message)s").format(record) == "WARNING quillon.http again now tries=2"
+    entry = json.loads(cli.JsonLines().format(record))
+    assert entry.pop("time").endswith("+00:00") and entry == {"level": "WARNING", "logger": "quillon.http", "message": "again now", "tries": 2}
+    try:
+        raise ValueError("odd")
+    except ValueError as e:
+        record.exc_info = (ValueError, e, e.__traceback__)
+    assert "ValueError: odd" in json.loads(cli.JsonLines().format(record))["raised"]
+    cli.logs(True, "ERROR")
+    assert logging.getLogger().level == logging.ERROR
+
+
+def test_profile_is_a_step(spark, tmp_path):
+    write_people(tmp_path / "rows.csv", [1, 2])
+    with open(tmp_path / "rows.csv", "a") as f:
+        f.write("Q1,EL|X,Sales,J,Manager,Permanent,2022-01-01,2022-06-30,Voluntary,false,HCM_A,2025-03-01\n" * 2 + "Q2,,Sales,J,Manager,Permanent,odd,,,,HCM_A,2025-01-01\n")
+    assert cli.main(["profile", "--reports", str(tmp_path)]) == 2
+    assert cli.main(["profile", "--lifecycle", str(tmp_path / "rows.csv"), "--reports", str(tmp_path)]) == 0
+    checks = (tmp_path / "profile_checks.csv").read_text().splitlines()
+    assert checks[0] == "position,check,n" and checks[1:3] == ["0,rows,27", "1,equal rows,1"] and len(checks) == 18
+    details = (tmp_path / "profile_details.csv").read_text().splitlines()
+    assert "boundary,days,180,1" in details and 'values,country_code,"",1' in details and "values,country_code,EL|X,1" in details and "range,first hire_date,2022-01-01,25" in details
+    text = (tmp_path / "data_profile.md").read_text()
+    assert "| EL\\|X | 1 |" in text and "| (blank) | 1 |" in text and "| 180 | 1 |" in text and "* record_updated_at: 2025-01-01 to 2025-03-01" in text
+
+
+def test_profile_lists_the_most_frequent_of_many_values(spark):
+    rows = spark.range(300).select(*[F.concat(F.lit("v"), F.least("id", F.lit(99))).alias(c) if c == "country_code" else F.col("id").cast("string").alias(c) if c == "employee_id" else F.lit("").alias(c) for c in workforce.COLUMNS])
+    text = profile.report(profile.profile(rows, standard()), profile.details(rows), standard())
+    assert "| v99 | 201 |" in text and "50 more values" in text and len(re.findall("^\\| v[0-9]", text, re.M)) == 50 and "hire_date: None to None" in text
+    empty = rows.filter("false")
+    assert "| rows | 0 |" in profile.report(profile.profile(empty, standard()), profile.details(empty), standard())
+
+
 def test_stream_keeps_the_latest_version(spark, tmp_path):
     """Restarts, late rows, rows without a date, a batch that is repeated, and what a batch writes."""
     (tmp_path / "in").mkdir()
