@@ -93,17 +93,17 @@ def drop_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", most
     twice.destroy()
     shared = pairs.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("last")).filter(F.col("n") >= LEAST_DOCS)
     shared = stored(shared, "shared-lines")
-    columns = docs.select(*docs.columns, own.alias("l_id"), F.col(text).cast("binary").alias("l_bytes"))
+    columns, n_columns, at = docs.select(*docs.columns, own.alias("l_id")), len(docs.columns), docs.columns.index(text)
     if (n := shared.count()) <= most_keys:
         keys = spark.sparkContext.broadcast({bytes(k): v for k, v in shared.select("key", "last").collect()} if n else {})
         unstore(pairs)
         unstore(shared)
-        return unshielded(columns.mapInArrow(_by_map(keys, len(docs.columns)), _schema(docs)), hidden)
+        return unshielded(columns.mapInArrow(_by_map(keys, n_columns, at), _schema(docs)), hidden)
     # more keys than may be broadcast: each document gets those of its own; lines that very many hold meet by broadcast
     hot = stored(hot_of(shared, "key", "n"), "hot")
     drops = join_hot(pairs, shared.select("key", "last"), "key", hot=hot).filter("id < last").groupBy("id").agg(F.collect_list("key").alias("l_keys")).withColumnRenamed("id", "l_id")
-    out = columns.join(drops, "l_id", "left").select(*docs.columns, "l_id", "l_bytes", "l_keys")
-    return unshielded(out.mapInArrow(_by_list(len(docs.columns)), _schema(docs)), hidden)
+    out = columns.join(drops, "l_id", "left").select(*docs.columns, "l_id", "l_keys")
+    return unshielded(out.mapInArrow(_by_list(n_columns, at), _schema(docs)), hidden)
 
 
 def _schema(docs: DataFrame):
@@ -117,19 +117,29 @@ def _result(b: pa.RecordBatch, n: int, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*b.columns[:n], *more], [*b.schema.names[:n], "l_lines", "l_dropped", "l_text"])
 
 
-def _by_map(keys, n: int):
+def _texts(b: pa.RecordBatch, at: int) -> list[bytes | None]:
+    """The texts of a batch as the bytes that they are kept in."""
+    c = b.column(at)
+    return c.cast(pa.large_binary() if pa.types.is_large_string(c.type) else pa.binary()).to_pylist()
+
+
+def _by_map(keys, n: int, at: int):
+    """mapInArrow over n columns, the text among them, and the id: lines dropped by the keys that all tasks have."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _result(b, n, [filtered(t, i, keys.value) for i, t in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True)])
+            yield _result(b, n, [filtered(t, i, keys.value) for i, t in zip(b.column(n).to_pylist(), _texts(b, at), strict=True)])
 
     return run
 
 
-def _by_list(n: int):
+def _by_list(n: int, at: int):
+    """mapInArrow over n columns, the text among them, the id and the keys that the document loses."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = [b.column(n + j).to_pylist() for j in range(3)]
-            yield _result(b, n, [filtered(t, i, dict.fromkeys(map(bytes, ks or ()), None)) for i, t, ks in zip(*cols, strict=True)])
+            cols = zip(b.column(n).to_pylist(), _texts(b, at), b.column(n + 1).to_pylist(), strict=True)
+            yield _result(b, n, [filtered(t, i, dict.fromkeys(map(bytes, ks or ()), None)) for i, t, ks in cols])
 
     return run
 

@@ -193,6 +193,13 @@ def test_lines_shared_by_three(spark, most_keys, bits):
     assert line_dedup.drop_lines(empty(spark)).count() == 0
 
 
+def test_lines_meet_keys_with_one_copy_of_each_text(spark):
+    """Beyond the keys that may be broadcast, an exchange holds the text once, not also as bytes."""
+    df = docs(spark, [f"this line is shared by all of them\nown line of number {i}" for i in range(9)])
+    plan = line_dedup.drop_lines(df, most_keys=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and plan.count("cast(text") == 0 and "l_bytes" not in plan
+
+
 def test_twice_seen_filter_has_no_false_negative():
     rng, bits = np.random.default_rng(2), 20
     tasks = [rng.integers(0, 1 << 63, (500, 2)).astype(np.uint64) for _ in range(3)]
