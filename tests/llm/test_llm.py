@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame as DF
 from pyspark.sql import functions as F
 
 from quillon.llm import chat, common, decontam, graph, langid, line_dedup, lm_score, mixing, ngram_join, pii, quality, repeats, shingles, token_files, wavelet
@@ -169,6 +170,39 @@ def test_components_of_chains_and_hubs(spark):
     assert got == {i: 0 if i <= 60 else 100 if 100 <= i < 200 else i for i in range(300)}
 
 
+def test_components_read_links_again_only_between_what_has_not_met(spark, monkeypatch):
+    """Links that all rounds together join with vertices: a few times the links, not links times rounds."""
+    rng = np.random.default_rng(3)
+    order = rng.permutation(3000).tolist()
+    path = list(zip(order[:2000], order[1:2000]))  # a long way in no order
+    near = [(a, b) for b in range(2000, 3000) for a in rng.integers(2000, 2020, 5).tolist() if a < b]
+    near = [(order[a], order[b]) for a, b in near]  # near copies: many links each
+    v = common.stored(spark.range(3000).select(F.col("id").alias("v")), "v")
+    links = common.stored(spark.createDataFrame(path + near, "a long, b long"), "links")
+    joined, real = [], DF.join
+    monkeypatch.setattr(DF, "join", lambda self, *x, **k: joined.append(real(self, *x, **k)) or joined[-1])
+    monkeypatch.setattr(graph, "unstore", lambda df: None)
+    got = {r["v"]: r["label"] for r in graph.components(v, links).collect()}
+    rows = sum(j.count() for j in joined if "b" in j.columns)
+    monkeypatch.undo()
+    first, rest = min(order[:2000]), min(order[2000:])
+    assert got == {x: first if i < 2000 else rest for i, x in enumerate(order)}
+    assert rows <= 4 * len(path + near)
+
+
+def test_jaccard_components_without_broadcast(spark, monkeypatch):
+    """Beyond MOST_IDS classes nothing that grows with them is broadcast, also where a group is split by further orders."""
+    texts = [*EDGE, *near(seed=7), *[" ".join(f"p{i}" for i in range(60)) + f" own{i} " * (i % 30) for i in range(40)]]
+    monkeypatch.setattr(ngram_join, "LEAST_BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "MOST_IDS", 0)
+    sent = []
+    monkeypatch.setattr(ngram_join.F, "broadcast", lambda df, real=F.broadcast: sent.append(df.columns) or real(df))
+    kept = {r["doc_id"] for r in ngram_join.one_of_each(docs(spark, texts)).collect()}
+    monkeypatch.undo()
+    assert kept == {i for i, (_, c) in brute_components(texts).items() if c == i}
+    assert not [c for c in sent if {"cls", "_id", "doc_id"} & {*c}]
+
+
 # lines
 def brute_lines(texts, ids):
     key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
