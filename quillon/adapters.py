@@ -68,10 +68,11 @@ def _dirt(clean, *cases):
 def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row a line of an order, a version of its spell; orders without lines have one row.
 
-    source_row orders the versions of a spell, and needs no order over all rows. Some rows are made dirty by their
+    source_row orders the versions of a spell, and needs no order over all rows. Lines that are alike in all that a row is made
+    of may be numbered either way; all others stand in one order, whenever and wherever they are read. Some rows are made dirty by their
     own values, so that every rule of the catalogue is broken by some."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("shipped"), "l_returnflag", "l_linenumber", "l_quantity")
-    order = Window.partitionBy("l_orderkey").orderBy(F.asc_nulls_first("l_linenumber"), "shipped", "l_returnflag")
+    order = Window.partitionBy("l_orderkey").orderBy(F.asc_nulls_first("l_linenumber"), "shipped", "l_returnflag", "l_quantity")
     rows = places(spark, sf_dir).join(lines.withColumn("version", F.row_number().over(order)), F.col("o_orderkey") == F.col("l_orderkey"), "left")  # numbered while narrow
     kind = F.when(F.col("o_orderstatus") == "F", "Voluntary").when(F.col("o_orderstatus") == "O", "Involuntary").otherwise("End of Contract")
     hired, left = F.date_format("ordered", "yyyy-MM-dd"), F.coalesce(F.date_format("shipped", "yyyy-MM-dd"), F.lit(""))

@@ -144,3 +144,19 @@ def test_flagship_runs(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).filter(F.col("status") == "met").limit(1).count() == 1
+
+
+def test_lines_alike_but_for_quantity_are_numbered_alike_however_they_are_read(spark, tmp_path):
+    """Equal order, line, date and flag: which of two lines is the later version mustn't hang on the order of rows in a file."""
+    from quillon import adapters
+
+    sf = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").filter("l_orderkey < 40")
+    twice = lines.unionByName(lines.withColumn("l_quantity", F.lit(1.0))).unionByName(lines.withColumn("l_quantity", F.lit(60.0)))
+    got = []
+    for name, order in (("up", F.asc("l_quantity")), ("down", F.desc("l_quantity"))):
+        for t in ("nation", "region", "customer", "orders"):
+            spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{tmp_path}/{name}/{t}.parquet")
+        twice.coalesce(1).sortWithinPartitions(order).write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        got.append(sorted(map(str, workforce.curate(adapters.lifecycle(spark, f"{tmp_path}/{name}"), adapters.SETTINGS).employees.collect())))
+    assert got[0] == got[1]
