@@ -190,6 +190,25 @@ def test_components_read_links_again_only_between_what_has_not_met(spark, monkey
     assert rows <= 4 * len(path + near)
 
 
+@pytest.mark.parametrize("last_links", [0, 40, 4096])
+def test_last_links_are_followed_in_one_task(spark, monkeypatch, last_links):
+    """The last links take one job, whatever the rounds they would need; the labels are the same."""
+    rng = np.random.default_rng(4)
+    order = rng.permutation(400).tolist()
+    links = list(zip(order[:199], order[1:200])) + [(order[200], x) for x in order[201:300]] + [(order[i], order[i]) for i in range(300, 310)]
+    want, names, real = {x: x for x in range(-1, 400)}, [], graph.stored
+    for x in order[:200]:
+        want[x] = min(order[:200])
+    for x in order[200:300]:
+        want[x] = min(order[200:300])
+    v, links = spark.range(-1, 400).select(F.col("id").alias("v")), spark.createDataFrame(links, "a long, b long")
+    monkeypatch.setattr(graph, "stored", lambda df, name: names.append(name) or real(df, name))
+    assert {r["v"]: r["label"] for r in graph.components(v, links, last_links=last_links).collect()} == want
+    assert names == ["edges", "ends", "labels"] if last_links == 4096 else names.count("hooks") > 0
+    none = links.filter("a = b")
+    assert graph.components(v, none, last_links=last_links).filter("v <> label").count() == 0
+
+
 def test_jaccard_components_without_broadcast(spark, monkeypatch):
     """Beyond MOST_IDS classes nothing that grows with them is broadcast, also where a group is split by further orders."""
     texts = [*EDGE, *near(seed=7), *[" ".join(f"p{i}" for i in range(60)) + f" own{i} " * (i % 30) for i in range(40)]]
